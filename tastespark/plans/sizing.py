@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when a cheap bounded count proves it small; beyond
+the bound the plain DataFrame is returned and the planner (with AQE's
+run-time size check) picks a shuffle join instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, bound: int) -> int:
+    """Count rows, stopping after ``bound + 1`` (the limit is pushed into the scan)."""
+    return df.limit(bound + 1).count()
+
+
+def guarded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    if row_count_at_most(df, max_rows) <= max_rows:
+        return F.broadcast(df)
+    return df
