@@ -156,3 +156,145 @@ ORACLES: dict[str, str] = {
     "content_similarity": content_similarity(0.4),
     "top_similar_items": top_similar_items(10),
 }
+
+
+# ---- P5 near-real-time scoring ----------------------------------------------------------------
+
+SIM04 = "sim AS (select id1, id2, similarity from directed where similarity >= 0.4)"
+TOP10 = """top AS (select id1, id2, similarity, rank from (
+  select *, row_number() over (partition by id1 order by similarity desc, id2) as rank from directed)
+  where rank <= 10)"""
+SIM_CTES = (CATALOG, FEATURES, PAIRS, BOTH_DIRECTIONS, SIM04)
+
+
+def neighbor_score_a() -> str:
+    return (with_(RATINGS, *SIM_CTES, RATING_EVENTS, """recent AS (
+  select user_id, item_id as recent_item, rating as recent_rate from (
+    select *, row_number() over (partition by user_id order by ts desc, item_id) as rn from ratings)
+  where rn <= 5)""", """cands AS (
+  select e.event_id, e.user_id, e.ts as event_ts, s.id2 as item_id
+  from rating_events e join sim s on s.id1 = e.item_id)""", """ap AS (
+  select c.event_id, c.user_id, c.event_ts, c.item_id, r.recent_rate,
+         coalesce(s.similarity, cast(0.6 as double)) as sim
+  from cands c join recent r on r.user_id = c.user_id
+  left join sim s on s.id1 = c.item_id and s.id2 = r.recent_item)""", """per AS (
+  select event_id, user_id, event_ts, item_id, sum(sim * recent_rate) as weighted, count(*) as n_kept,
+         count(case when recent_rate >= 3.0 then 1 end) as n_like,
+         count(case when recent_rate < 3.0 then 1 end) as n_dislike
+  from ap where sim > 0.5 group by event_id, user_id, event_ts, item_id)""")
+            + """select event_id, user_id, event_ts, item_id,
+  round(round(weighted / sum(n_kept) over (partition by event_id)
+              + log2(greatest(n_like, 1)) - log2(greatest(n_dislike, 1)), 9), 6) as score
+from per""")
+
+
+def _scores_b(n: int, t: float, user_marks: bool) -> tuple[str, ...]:
+    weight = "h.rating * 2.0" if user_marks else "coalesce(k.score, 0.0)"
+    return (RATINGS, *SIM_CTES, TOP10, RATING_EVENTS,
+            "hist AS (select * from ratings where user_id in (select user_id from rating_events))",
+            """anchors AS (select user_id, item_id as anchor_item from (
+  select *, row_number() over (partition by user_id order by ts desc, item_id) as rn from hist) where rn = 1)""",
+            f"""cands AS (select a.user_id, a.anchor_item, t.id2 as item_id, t.rank
+  from anchors a join top t on t.id1 = a.anchor_item where t.rank <= {n})""",
+            f"""bp AS (
+  select c.user_id, c.anchor_item, c.item_id, c.rank, coalesce(s.similarity, 0.0) as sim,
+         coalesce(k.score, 0.0) as cscore, {weight} as w
+  from cands c join hist h on h.user_id = c.user_id
+  left join sim s on s.id1 = c.item_id and s.id2 = h.item_id
+  left join catalog k on k.id = h.item_id)""",
+            f"""per AS (
+  select user_id, anchor_item, item_id, rank,
+         sum(case when sim >= {t} then w * sim else 0.0 end) as psum,
+         count(case when sim >= {t} then 1 end) as n_sim,
+         count(case when sim >= {t} and cscore >= 7.0 then 1 end) as n_in,
+         count(case when sim >= {t} and cscore < 7.0 then 1 end) as n_re
+  from bp group by user_id, anchor_item, item_id, rank)""",
+            """scored AS (select user_id, anchor_item, item_id, rank,
+  round((case when n_sim = 0 then 0.0 else psum / n_sim end)
+        + log10(greatest(n_in, 1)) - log10(greatest(n_re, 1)), 9) as priority from per)""")
+
+
+def neighbor_score_b(n: int, t: float, user_marks: bool) -> str:
+    return (with_(*_scores_b(n, t, user_marks))
+            + "select user_id, anchor_item, item_id, rank, round(priority, 6) as priority from scored")
+
+
+MERGE = """best AS (
+  select user_id, item_id, max(priority) as priority from (
+    select user_id, item_id, priority from scored
+    union all
+    select user_id, item_id, priority * cast(0.9 as double) from last_recs
+    where user_id in (select user_id from scored)) group by user_id, item_id)""", """merged AS (
+  select * from (select *, row_number() over (partition by user_id order by priority desc, item_id) as slot
+                 from best) where slot <= 10)"""
+
+
+def merge_decayed() -> str:
+    return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE)
+            + "select user_id, item_id, round(priority, 6) as priority, slot from merged")
+
+
+SUPPLEMENT = (
+    "kept AS (select * from merged where priority >= 3.0)",
+    """low_slots AS (select user_id, slot, row_number() over (partition by user_id order by slot) as j
+  from merged where priority < 3.0)""",
+    "need AS (select user_id, count(*) as n_low from low_slots group by user_id)",
+    """excluded AS (select distinct user_id, item_id from (
+  select user_id, item_id from kept
+  union all select user_id, item_id from ratings where user_id in (select user_id from need)))""",
+    """anch AS (select user_id, item_id as anchor_item from (
+  select *, row_number() over (partition by user_id order by ts desc, item_id) as rn from ratings) where rn = 1)""",
+    """user_genre AS (select n.user_id, split_part(c.filmtype, '/', 1) as genre, n.n_low
+  from need n join anch a on a.user_id = n.user_id join catalog c on c.id = a.anchor_item)""",
+    """pools AS (select genre, id from (
+  select g.genre, c.id, row_number() over (partition by g.genre order by c.score desc, c.id) as pool_rank
+  from (select distinct genre from user_genre) g join catalog c on contains(c.filmtype, g.genre))
+  where pool_rank <= 50)""",
+    """g_pick AS (select user_id, item_id, j from (
+  select ug.user_id, ug.n_low, p.id as item_id,
+         row_number() over (partition by ug.user_id
+                            order by (p.id * 7919 + ug.user_id * 104729 + 0) % 1000003, p.id) as j
+  from user_genre ug join pools p on p.genre = ug.genre
+  where not exists (select 1 from excluded e where e.user_id = ug.user_id and e.item_id = p.id))
+  where j <= n_low)""",
+    """short AS (select n.user_id, n.n_low, coalesce(c.n_genre, 0) as n_genre
+  from need n left join (select user_id, count(*) as n_genre from g_pick group by user_id) c
+  on c.user_id = n.user_id where n.n_low > coalesce(c.n_genre, 0))""",
+    """excl_all AS (select user_id, item_id from excluded union all select user_id, item_id from g_pick)""",
+    "ncat AS (select count(*) as n from catalog)",
+    """idx AS (select id as item_id, row_number() over (order by (id * 7919 + 0) % 1000003, id) - 1 as pos
+  from catalog)""",
+    """f_pick AS (select user_id, item_id, n_genre + k as j from (
+  select s.user_id, s.n_low, s.n_genre, i.item_id,
+         row_number() over (partition by s.user_id
+                            order by ((i.pos - (s.user_id * 104729 + 0) % nc.n) % nc.n + nc.n) % nc.n) as k
+  from short s, idx i, ncat nc
+  where not exists (select 1 from excl_all e where e.user_id = s.user_id and e.item_id = i.item_id))
+  where k <= n_low - n_genre)""",
+    """picks AS (select user_id, item_id, j, cast(1.51 as double) as priority from g_pick
+  union all select user_id, item_id, j, cast(3.1 as double) as priority from f_pick)""",
+    """supp AS (select user_id, item_id, priority, slot from kept
+  union all
+  select l.user_id, p.item_id, p.priority, l.slot from low_slots l join picks p on p.user_id = l.user_id and p.j = l.j)""",
+)
+
+
+def supplemented_recs() -> str:
+    return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE, *SUPPLEMENT)
+            + "select user_id, item_id, round(priority, 6) as priority, slot from supp")
+
+
+def packed_recs() -> str:
+    return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE, *SUPPLEMENT)
+            + "select user_id, string_agg(printf('%d:%.4f,', item_id, round(priority, 4)), '' order by slot) "
+              "as packed from supp group by user_id")
+
+
+ORACLES.update({
+    "neighbor_score_a": neighbor_score_a(),
+    "neighbor_score_b0": neighbor_score_b(10, 0.4, False),
+    "neighbor_score_b1": neighbor_score_b(8, 0.45, True),
+    "merge_decayed": merge_decayed(),
+    "supplemented_recs": supplemented_recs(),
+    "packed_recs": packed_recs(),
+})

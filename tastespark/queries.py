@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .operators import content
+from .operators import content, neighbors
+from .operators import ratings as ratings_ops
 from .session import ensure_checkpoint_dir, ship_package
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +53,76 @@ def q_top_similar_items(spark, sf_dir):
     cat = fixtures.catalog(spark, sf_dir)
     s = content.content_similarity(cat, min_similarity=None, top_n=10)
     return s.select("id1", "id2", r6("similarity"), "rank")
+
+
+# ---- P5 near-real-time scoring, batch form -----------------------------------------------------
+
+def _sim_tables(spark, sf_dir):
+    cat = fixtures.catalog(spark, sf_dir)
+    sim = content.content_similarity(cat, min_similarity=0.4)
+    top = content.content_similarity(cat, min_similarity=None, top_n=10)
+    return cat, sim, top
+
+
+def _scores_b(spark, sf_dir, params):
+    cat, sim, top = _sim_tables(spark, sf_dir)
+    ev = fixtures.rating_events(spark, sf_dir)
+    hist = fixtures.ratings(spark, sf_dir)
+    return neighbors.neighbor_score_b(ev.select("user_id"), hist, top, sim, cat, n=params["n"],
+                                      min_similarity=params["min_similarity"],
+                                      score_cut=params["score_cut"], score_source=params["score_source"])
+
+
+@register("neighbor_score_a")
+def q_neighbor_score_a(spark, sf_dir):
+    """RC14 / JN6-JN8 / AG8 / WN1 / SC10: variant A scores of every rating event."""
+    cat = fixtures.catalog(spark, sf_dir)
+    sim = content.content_similarity(cat, min_similarity=0.4)
+    ev = fixtures.rating_events(spark, sf_dir)
+    out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), sim, **neighbors.VARIANT_A)
+    return out.select("event_id", "user_id", "event_ts", "item_id", r6("score"))
+
+
+@register("neighbor_score_b0")
+def q_neighbor_score_b0(spark, sf_dir):
+    """RC15 / WN2 / WN3 / JN6: variant B0 priorities for every user with an event."""
+    return _scores_b(spark, sf_dir, neighbors.VARIANT_B0).select(
+        "user_id", "anchor_item", "item_id", "rank", r6("priority"))
+
+
+@register("neighbor_score_b1")
+def q_neighbor_score_b1(spark, sf_dir):
+    """RC16: variant B1 (user marks, N = 8, similarity >= 0.45)."""
+    return _scores_b(spark, sf_dir, neighbors.VARIANT_B1).select(
+        "user_id", "anchor_item", "item_id", "rank", r6("priority"))
+
+
+def _merged(spark, sf_dir):
+    now = _scores_b(spark, sf_dir, neighbors.VARIANT_B0)
+    return neighbors.merge_decayed(now, fixtures.last_recs(spark, sf_dir), n=neighbors.VARIANT_B0["n"])
+
+
+@register("merge_decayed")
+def q_merge_decayed(spark, sf_dir):
+    """RC17 / TK4 / SC16: B0 list merged with the decayed last list, best 10 per user."""
+    return _merged(spark, sf_dir).select("user_id", "item_id", r6("priority"), "slot")
+
+
+def _supplemented(spark, sf_dir):
+    merged = _merged(spark, sf_dir)
+    hist = fixtures.ratings(spark, sf_dir)
+    anchors = ratings_ops.latest_rating(hist)
+    return neighbors.supplement(merged, anchors, fixtures.catalog(spark, sf_dir), hist,
+                               max_slots=neighbors.VARIANT_B0["n"])
+
+
+@register("supplemented_recs")
+def q_supplemented_recs(spark, sf_dir):
+    """RC18 / WN5 / TK5 / SC12 / PR10: low-priority slots refilled."""
+    return _supplemented(spark, sf_dir).select("user_id", "item_id", r6("priority"), "slot")
+
+
+@register("packed_recs")
+def q_packed_recs(spark, sf_dir):
+    """SNK4 format: one packed ``item:priority,`` string per user."""
+    return neighbors.pack_recommendations(_supplemented(spark, sf_dir))
