@@ -298,3 +298,104 @@ ORACLES.update({
     "supplemented_recs": supplemented_recs(),
     "packed_recs": packed_recs(),
 })
+
+
+# ---- ratings, splits, metrics -----------------------------------------------------------------
+
+PSEUDO = "1 + cast((user_id * 31 + item_id * 17) % 41 as double) / 10.0"
+SPLITS = ("train AS (select * from ratings where bucket < 6)",
+          "validation AS (select * from ratings where bucket >= 6 and bucket < 8)",
+          "test AS (select * from ratings where bucket >= 8)")
+PRED = (f"""pred AS (select user_id, item_id, {PSEUDO} as prediction from test
+  where user_id in (select user_id from train) and item_id in (select item_id from train))""",)
+
+ORACLES.update({
+    "rating_profile": with_(RATINGS) + """select count(*) as n_ratings, count(distinct user_id) as n_users,
+  count(distinct item_id) as n_items, round(avg(rating), 6) as mean_rating from ratings""",
+    "rating_split_counts": with_(RATINGS) + """select case when bucket < 6 then 'train'
+  when bucket >= 6 and bucket < 8 then 'validation' when bucket >= 8 then 'test' end as split,
+  count(*) as n_ratings, count(distinct user_id) as n_users, count(distinct item_id) as n_items
+from ratings group by 1""",
+    "train_plus_personal": with_(RATINGS, MY_RATINGS) + """select user_id, item_id, rating from ratings where bucket < 6
+union all select user_id, item_id, rating from my_ratings where rating > 0""",
+    "baseline_rmse": with_(RATINGS, *SPLITS, """m AS (select avg(rating) as mean_rating from (
+  select rating from train union all select rating from validation))""",
+                           """b AS (select sqrt(avg(pow(t.rating - m.mean_rating, 2))) as baseline_rmse from test t, m)""",
+                           f"""p AS (select sqrt(sum(pow({PSEUDO} - rating, 2)) / count(*)) as model_rmse from test)""")
+    + """select round(m.mean_rating, 6) as mean_rating, round(b.baseline_rmse, 6) as baseline_rmse,
+  round(p.model_rmse, 6) as model_rmse,
+  round((b.baseline_rmse - p.model_rmse) / b.baseline_rmse * 100.0, 6) as improvement_pct from m, b, p""",
+    "recent_ratings_k5": with_(RATINGS) + """select user_id, item_id, rating, ts, rank from (
+  select *, row_number() over (partition by user_id order by ts desc, item_id) as rank from ratings)
+where rank <= 5""",
+    "user_history": with_(RATINGS, """anchors AS (select user_id, item_id, ts from (
+  select *, row_number() over (partition by user_id order by ts desc, item_id) as rn from ratings) where rn = 1)""")
+    + """select r.user_id, r.item_id, r.rating, r.ts, (r.item_id = a.item_id and r.ts = a.ts) as is_anchor
+from ratings r join anchors a on a.user_id = r.user_id""",
+    "unseen_candidates": with_(CATALOG, MY_RATINGS)
+    + "select id from catalog where id not in (select item_id from my_ratings where rating > 0)",
+    "metric_rmse": with_(RATINGS, *SPLITS, *PRED, """j AS (select t.rating, p.prediction from test t
+  left join pred p on p.user_id = t.user_id and p.item_id = t.item_id)""")
+    + """select count(prediction) as n_pred, count(*) as n_truth,
+  round(sum(pow(prediction - rating, 2)) / count(prediction), 6) as mse,
+  round(sqrt(sum(pow(prediction - rating, 2)) / count(prediction)), 6) as rmse,
+  round(sqrt(sum(pow(prediction - rating, 2)) / count(*)), 6) as rmse_all from j""",
+    "metric_map": with_(RATINGS, *SPLITS, *PRED,
+                        """ranked AS (select user_id, item_id,
+  row_number() over (partition by user_id order by prediction desc, item_id) as rank from pred)""",
+                        "rel AS (select distinct user_id, item_id from test where rating >= 4.0)",
+                        "nrel AS (select user_id, count(*) as n_rel from rel group by user_id)",
+                        """hits AS (select r.user_id, r.rank,
+  row_number() over (partition by r.user_id order by r.rank) as hit_no
+  from ranked r join rel on rel.user_id = r.user_id and rel.item_id = r.item_id)""",
+                        """ap AS (select user_id, sum(cast(hit_no as double) / cast(rank as double)) as prec_sum
+  from hits group by user_id)""",
+                        """per AS (select u.user_id, coalesce(a.prec_sum / n.n_rel, 0.0) as ap
+  from (select distinct user_id from ranked) u left join ap a on a.user_id = u.user_id
+  left join nrel n on n.user_id = u.user_id)""")
+    + "select round(avg(ap), 6) as map, count(*) as n_users from per",
+})
+
+# ---- dense vectors ----------------------------------------------------------------------------
+
+_COS = "list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[]))"
+ORACLES.update({
+    "vector_cosine_pairs": f"""select a.vec_id as id1, b.vec_id as id2, round({_COS}, 6) as similarity
+from embeddings a join embeddings b on a.vec_id <> b.vec_id where {_COS} >= 0.3""",
+    "vector_top_similar": f"""select id1, id2, round(similarity, 6) as similarity, rank from (
+  select *, row_number() over (partition by id1 order by similarity desc, id2) as rank from (
+    select a.vec_id as id1, b.vec_id as id2, {_COS} as similarity
+    from embeddings a join embeddings b on a.vec_id <> b.vec_id)) where rank <= 10""",
+})
+
+# ---- segments and counters --------------------------------------------------------------------
+
+POPULAR = """popular AS (select item_id, count(*) as n_ratings from ratings group by item_id
+  order by n_ratings desc, item_id limit 5)"""
+ORACLES.update({
+    "like_minded_users": with_(RATINGS, CATALOG, USERS) + """select distinct r.user_id from ratings r
+  join catalog c on c.id = r.item_id join users u on u.id = r.user_id
+where r.rating >= 5 and split_part(c.filmtype, '/', 1) = 'ECONOMY' and u.age = 18 and u.occupation = 2
+order by user_id limit 10""",
+    "known_users": with_(RATINGS, RATING_EVENTS)
+    + "select distinct user_id from rating_events where user_id in (select user_id from ratings)",
+    "new_users": with_(RATINGS, RATING_EVENTS)
+    + "select distinct user_id from rating_events where user_id not in (select user_id from ratings)",
+    "popular_items": with_(RATINGS, POPULAR) + "select item_id, n_ratings from popular",
+    "new_user_defaults": with_(RATINGS, RATING_EVENTS, POPULAR, """new AS (select distinct user_id from rating_events
+  where user_id not in (select user_id from ratings))""")
+    + "select n.user_id, p.item_id, p.n_ratings from new n, popular p",
+    "order_totals": with_(ORDER_EVENTS) + """select cast(id as varchar) as id, count(*) as n_orders,
+  cast(sum(price) as bigint) as total_price from order_events group by id""",
+    "order_grand_total": with_(ORDER_EVENTS)
+    + "select count(*) as n_orders, cast(sum(price) as bigint) as total_price from order_events",
+    "minute_totals": with_(ORDER_EVENTS) + """select cast(id as varchar) as id,
+  time_bucket(interval '1 minute', ts) as window_start,
+  time_bucket(interval '1 minute', ts) + interval '1 minute' as window_end,
+  count(*) as n_orders, cast(sum(price) as bigint) as total_price
+from order_events group by 1, 2, 3""",
+    "word_count": "select word, count(*) as n from (select unnest(string_split(text, ' ')) as word from documents) "
+                  "group by word",
+    "parsed_events": with_(RATING_EVENTS) + """select event_id, cast(user_id as integer) as user_id,
+  cast(item_id as integer) as item_id, rate, epoch_us(ts) // 1000 as epoch_ms from rating_events""",
+})

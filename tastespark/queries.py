@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .operators import content, neighbors
+from .functions import text as text_fn
+from .io import table
+from .operators import content, metrics, neighbors, segments, vectors
+from .plans.topk import top_k_per_group
 from .operators import ratings as ratings_ops
 from .session import ensure_checkpoint_dir, ship_package
 
@@ -126,3 +129,173 @@ def q_supplemented_recs(spark, sf_dir):
 def q_packed_recs(spark, sf_dir):
     """SNK4 format: one packed ``item:priority,`` string per user."""
     return neighbors.pack_recommendations(_supplemented(spark, sf_dir))
+
+
+# ---- ratings, splits, metrics -----------------------------------------------------------------
+
+@register("rating_profile")
+def q_rating_profile(spark, sf_dir):
+    """AG1-AG3: rows, distinct users and items, mean rating."""
+    return ratings_ops.rating_profile(fixtures.ratings(spark, sf_dir)).select(
+        "n_ratings", "n_users", "n_items", r6("mean_rating"))
+
+
+@register("rating_split_counts")
+def q_rating_split_counts(spark, sf_dir):
+    """PR5 / PR6 / RC4 / AG1 / AG2: the three-way bucket split, counted per split."""
+    return ratings_ops.split_counts(fixtures.ratings(spark, sf_dir))
+
+
+@register("train_plus_personal")
+def q_train_plus_personal(spark, sf_dir):
+    """ST1 / SRC5: training split plus the personal ratings above 0."""
+    train = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))["train"]
+    return ratings_ops.with_personal(train, fixtures.my_ratings(spark, sf_dir))
+
+
+@register("baseline_rmse")
+def q_baseline_rmse(spark, sf_dir):
+    """AG6 / ST2: mean of train + validation as the prediction for the test split;
+    the pseudo-prediction's RMSE gives the improvement."""
+    sp = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))
+    fit = sp["train"].unionByName(sp["validation"])
+    base = metrics.baseline_rmse(fit, sp["test"])
+    pred = sp["test"].select("user_id", "item_id",
+                             metrics.pseudo_prediction(F.col("user_id"), F.col("item_id")).alias("prediction"))
+    model_rmse = metrics.error_metrics(pred, sp["test"]).select("rmse").scalar()
+    return base.select(
+        r6("mean_rating"), r6("baseline_rmse"), F.round(model_rmse, 6).alias("model_rmse"),
+        F.round(metrics.improvement_pct(F.col("baseline_rmse"), model_rmse), 6).alias("improvement_pct"))
+
+
+@register("recent_ratings_k5")
+def q_recent_ratings_k5(spark, sf_dir):
+    """WN1: latest five ratings of every user."""
+    return ratings_ops.recent_ratings(fixtures.ratings(spark, sf_dir), 5).select(
+        "user_id", "item_id", "rating", "ts", "rank")
+
+
+@register("user_history")
+def q_user_history(spark, sf_dir):
+    """WN2: all ratings of every user with the newest (anchor) flagged."""
+    return ratings_ops.user_history(fixtures.ratings(spark, sf_dir).drop("bucket"))
+
+
+@register("unseen_candidates")
+def q_unseen_candidates(spark, sf_dir):
+    """JN9: catalog items the personal user has not rated."""
+    cat = fixtures.catalog(spark, sf_dir).select("id")
+    mine = ratings_ops.positive_personal(fixtures.my_ratings(spark, sf_dir))
+    return ratings_ops.unrated_items(cat, mine, fixtures.PERSONAL_USER_ID)
+
+
+def _pseudo_predictions(spark, sf_dir):
+    sp = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))
+    train, test = sp["train"], sp["test"]
+    # like ALS with coldStartStrategy="drop": no prediction for ids unseen in training
+    known = test.join(train.select("user_id").distinct(), "user_id", "left_semi") \
+                .join(train.select("item_id").distinct(), "item_id", "left_semi")
+    pred = known.select("user_id", "item_id",
+                        metrics.pseudo_prediction(F.col("user_id"), F.col("item_id")).alias("prediction"))
+    return pred, test
+
+
+@register("metric_rmse")
+def q_metric_rmse(spark, sf_dir):
+    """AG4 / AG5 / AG7 / JN3 on the deterministic pseudo-prediction."""
+    pred, test = _pseudo_predictions(spark, sf_dir)
+    return metrics.error_metrics(pred, test).select("n_pred", "n_truth", r6("mse"), r6("rmse"), r6("rmse_all"))
+
+
+@register("metric_map")
+def q_metric_map(spark, sf_dir):
+    """AG11 / JN11 / AG9: MAP of each user's held-out items ranked by the
+    pseudo-prediction, relevant = held-out ratings of 4 and above."""
+    pred, test = _pseudo_predictions(spark, sf_dir)
+    ranked = top_k_per_group(pred, ["user_id"], [F.col("prediction").desc(), F.col("item_id").asc()], None, "rank")
+    relevant = test.filter(F.col("rating") >= 4.0)
+    return metrics.mean_average_precision(ranked, relevant).select(r6("map"), "n_users")
+
+
+# ---- dense vectors ----------------------------------------------------------------------------
+
+@register("vector_cosine_pairs")
+def q_vector_cosine_pairs(spark, sf_dir):
+    """RC10 / JN2 / SC9 / PR7 / PR8: embedding pairs with cosine >= 0.3, both directions."""
+    emb = table(spark, sf_dir, "embeddings")
+    return vectors.vector_similarity(emb, "vec_id", "embedding", min_similarity=0.3).select(
+        "id1", "id2", r6("similarity"))
+
+
+@register("vector_top_similar")
+def q_vector_top_similar(spark, sf_dir):
+    """WN4: the 10 nearest embeddings of every embedding by cosine, itself excluded."""
+    emb = table(spark, sf_dir, "embeddings")
+    return vectors.vector_similarity(emb, "vec_id", "embedding", min_similarity=None, top_n=10).select(
+        "id1", "id2", r6("similarity"), "rank")
+
+
+# ---- segments and counters --------------------------------------------------------------------
+
+@register("like_minded_users")
+def q_like_minded_users(spark, sf_dir):
+    """RC13 / JN4 / PR9 / AG13: age-18, occupation-2 users who rated an ECONOMY item 5."""
+    return segments.like_minded_users(fixtures.ratings(spark, sf_dir), fixtures.catalog(spark, sf_dir),
+                                      fixtures.users(spark, sf_dir), "ECONOMY", limit=10)
+
+
+@register("known_users")
+def q_known_users(spark, sf_dir):
+    """JN10: event users with a rating history."""
+    return segments.split_users(fixtures.rating_events(spark, sf_dir), fixtures.ratings(spark, sf_dir))[0]
+
+
+@register("new_users")
+def q_new_users(spark, sf_dir):
+    """JN10: event users without a rating history."""
+    return segments.split_users(fixtures.rating_events(spark, sf_dir), fixtures.ratings(spark, sf_dir))[1]
+
+
+@register("popular_items")
+def q_popular_items(spark, sf_dir):
+    """RC19: the five most rated items."""
+    return segments.popular_items(fixtures.ratings(spark, sf_dir), 5)
+
+
+@register("new_user_defaults")
+def q_new_user_defaults(spark, sf_dir):
+    """RC19 / STR8 routing: new users get the popular list."""
+    ev, hist = fixtures.rating_events(spark, sf_dir), fixtures.ratings(spark, sf_dir)
+    new = segments.split_users(ev, hist)[1]
+    return segments.default_for_new_users(new, segments.popular_items(hist, 5))
+
+
+@register("order_totals")
+def q_order_totals(spark, sf_dir):
+    """AG10 / SC13 / STR5: per product count and price total from JSON order messages."""
+    return segments.order_totals(segments.parse_orders(fixtures.order_payloads(spark, sf_dir)))
+
+
+@register("order_grand_total")
+def q_order_grand_total(spark, sf_dir):
+    """STR5 grand total over all order messages."""
+    return segments.grand_total(segments.parse_orders(fixtures.order_payloads(spark, sf_dir)))
+
+
+@register("minute_totals")
+def q_minute_totals(spark, sf_dir):
+    """STR6: per product and one-minute window, count and price total."""
+    return segments.minute_totals(segments.parse_orders(fixtures.order_payloads(spark, sf_dir)))
+
+
+@register("word_count")
+def q_word_count(spark, sf_dir):
+    """AG12 / PR12: words of every whole document split on spaces, counted."""
+    return segments.word_count(table(spark, sf_dir, "documents"))
+
+
+@register("parsed_events")
+def q_parsed_events(spark, sf_dir):
+    """PR1 / SC15 / SC14: CSV rating messages parsed back to typed columns."""
+    good, _ = text_fn.split_rejects(text_fn.parse_rating_csv(fixtures.rating_payloads(spark, sf_dir)))
+    return good.select("event_id", "user_id", "item_id", "rate", "epoch_ms")
