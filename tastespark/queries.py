@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import text as text_fn
 from .io import table
-from .operators import content, metrics, neighbors, segments, vectors
+from .operators import content, factors, metrics, neighbors, segments, vectors
 from .plans.topk import top_k_per_group
 from .operators import ratings as ratings_ops
 from .session import ensure_checkpoint_dir, ship_package
@@ -299,3 +299,93 @@ def q_parsed_events(spark, sf_dir):
     """PR1 / SC15 / SC14: CSV rating messages parsed back to typed columns."""
     good, _ = text_fn.split_rejects(text_fn.parse_rating_csv(fixtures.rating_payloads(spark, sf_dir)))
     return good.select("event_id", "user_id", "item_id", "rate", "epoch_ms")
+
+
+# ---- ALS (rows-only: factor models have no SQL oracle) ----------------------------------------
+
+ALS_PARAMS = {"rank": 8, "max_iter": 5, "reg": 0.1}
+
+
+def _als_train(spark, sf_dir):
+    sp = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))
+    return sp, factors.train_als(sp["train"], **ALS_PARAMS)
+
+
+@register("als_predict_pairs")
+def q_als_predict_pairs(spark, sf_dir):
+    """RC1 / RC5: ALS trained on the training split predicts the test split."""
+    sp, model = _als_train(spark, sf_dir)
+    return factors.predict(model, sp["test"]).select("user_id", "item_id", r6("prediction"))
+
+
+@register("als_recommend_all")
+def q_als_recommend_all(spark, sf_dir):
+    """RC8 / RC11: top 10 items for every user."""
+    _, model = _als_train(spark, sf_dir)
+    return factors.recommend_all(model, 10).select("user_id", "item_id", r6("prediction"), "rank")
+
+
+@register("als_recommend_subset")
+def q_als_recommend_subset(spark, sf_dir):
+    """RC7: top 10 for the users that sent rating events (seen items not excluded)."""
+    _, model = _als_train(spark, sf_dir)
+    users = fixtures.rating_events(spark, sf_dir).select("user_id")
+    return factors.recommend_for(model, users, 10).select("user_id", "item_id", r6("prediction"), "rank")
+
+
+@register("als_unseen_top10")
+def q_als_unseen_top10(spark, sf_dir):
+    """RC9 / ST1 / JN9: personal ratings join training, then the 10 best unseen items."""
+    sp = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))
+    mine = ratings_ops.assert_not_empty(ratings_ops.positive_personal(fixtures.my_ratings(spark, sf_dir)),
+                                        "personal ratings")
+    model = factors.train_als(ratings_ops.with_personal(sp["train"], mine), **ALS_PARAMS)
+    items = fixtures.catalog(spark, sf_dir).select("id")
+    return factors.recommend_unseen(model, fixtures.PERSONAL_USER_ID, items, mine, 10).select(
+        "user_id", "item_id", r6("prediction"), "rank")
+
+
+@register("als_grid")
+def q_als_grid(spark, sf_dir):
+    """RC3 / AG4: the 2 x 2 x 2 grid scored on the validation split, best model on test
+    (with the mean baseline of AG6)."""
+    sp = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))
+    results, best = factors.grid_search(sp["train"], sp["validation"], factors.GRID_SELECTION)
+    rows = [(r["rank"], float(r["reg"]), r["max_iter"], float(r["rmse"]), int(r["n_pred"])) for r in results]
+    return spark.createDataFrame(rows, "rank int, reg double, max_iter int, rmse double, n_pred bigint")
+
+
+@register("als_implicit")
+def q_als_implicit(spark, sf_dir):
+    """RC2: implicit-preference ALS (alpha 1.0), top 10 per user."""
+    sp = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))
+    model = factors.train_als(sp["train"], rank=10, max_iter=10, reg=1.0, implicit=True, alpha=1.0)
+    return factors.recommend_all(model, 10).select("user_id", "item_id", r6("prediction"), "rank")
+
+
+@register("als_factor_similarity")
+def q_als_factor_similarity(spark, sf_dir):
+    """RC10 / P2: item-item cosine over ALS item factors, >= 0.6, both directions."""
+    _, model = _als_train(spark, sf_dir)
+    return factors.factor_similarity(model, 0.6).select("id1", "id2", r6("similarity"))
+
+
+@register("als_similar_items")
+def q_als_similar_items(spark, sf_dir):
+    """WN4: the 10 items whose factors are closest to one item's (itself excluded)."""
+    _, model = _als_train(spark, sf_dir)
+    item = fixtures.ratings(spark, sf_dir).groupBy("item_id").count() \
+        .orderBy(F.col("count").desc(), "item_id").first()["item_id"]
+    return factors.similar_items(model, int(item), 10).select("id1", "id2", r6("similarity"), "rank")
+
+
+@register("als_metrics")
+def q_als_metrics(spark, sf_dir):
+    """AG7 / AG11: test-split MSE / RMSE and MAP of the top-10 lists against held-out
+    ratings of 4 and above."""
+    sp, model = _als_train(spark, sf_dir)
+    err = metrics.error_metrics(factors.predict(model, sp["test"]), sp["test"])
+    mp = metrics.mean_average_precision(factors.recommend_all(model, 10),
+                                        sp["test"].filter(F.col("rating") >= 4.0))
+    return err.select("n_pred", "n_truth", r6("mse"), r6("rmse"), r6("rmse_all"),
+                      F.round(mp.select("map").scalar(), 6).alias("map"))

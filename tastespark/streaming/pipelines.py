@@ -1,0 +1,175 @@
+"""Structured Streaming pipelines: STR1-STR8 with sinks SNK3, SNK4, SNK7, SNK8.
+
+* The recommender runs P5 inside ``foreachBatch``: every micro-batch is
+  handled as one set of joins (latest event per user, history, similarity,
+  aggregate), never per record.  Ranking windows are not allowed on
+  streaming DataFrames, which is why the scoring sits in ``foreachBatch``.
+* Sinks are idempotent: output is written to ``batch_id=<n>`` partitions with
+  dynamic partition overwrite, so a batch replayed after a failure replaces
+  its own output instead of appending twice.
+* Offsets and state live in ``checkpointLocation`` under the session's shared
+  checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.text import parse_rating_csv, split_rejects
+from ..operators import neighbors, segments
+from ..operators.ratings import latest_rating
+from ..session import scratch_path
+
+DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # STR1
+
+
+def _writer(df: DataFrame, trigger: dict | None, checkpoint: str):
+    w = df.writeStream.option("checkpointLocation", checkpoint)
+    t = trigger or DEFAULT_TRIGGER
+    return w.trigger(**t)
+
+
+def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
+    """Idempotent per-batch write: overwrite only this batch's partition."""
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Current state of an idempotent batch log: the newest batch's row(s) per key."""
+    log = spark.read.parquet(path)
+    newest = log.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
+    return log.join(newest, keys + ["batch_id"])
+
+
+def parsed_rating_stream(messages: DataFrame, rejects_path: str | None = None) -> DataFrame:
+    """PR1 on a stream; malformed messages are dropped from the scoring input
+    (and can be kept with ``reject_sink``)."""
+    good, _ = split_rejects(parse_rating_csv(messages))
+    return good.select("user_id", "item_id", "rate", "epoch_ms",
+                       F.timestamp_millis(F.col("epoch_ms")).alias("event_ts"))
+
+
+def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFrame, top_similar: DataFrame,
+                      catalog: DataFrame, last: DataFrame | None, params: dict | None = None) -> DataFrame:
+    """P5 variant B for one batch: users of the batch (latest event each, Q22),
+    scores (RC15/RC16), merge with their last list (RC17), supplement (RC18)."""
+    params = params or neighbors.VARIANT_B1
+    users = batch.select("user_id", "item_id", F.col("event_ts").alias("ts"), F.lit(0).alias("event_id"))
+    users = neighbors.latest_event_per_user(users).select("user_id")
+    now = neighbors.neighbor_score_b(users, history, top_similar, similarity, catalog, n=params["n"],
+                                     min_similarity=params["min_similarity"], score_cut=params["score_cut"],
+                                     score_source=params["score_source"])
+    if last is not None:
+        merged = neighbors.merge_decayed(now, last, params["n"])
+    else:
+        merged = neighbors.merge_decayed(now, now.limit(0), params["n"])
+    anchors = latest_rating(history.join(users, "user_id", "left_semi"))
+    return neighbors.supplement(merged, anchors, catalog, history, max_slots=params["n"])
+
+
+def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
+                      top_similar: DataFrame, catalog: DataFrame, out_path: str,
+                      checkpoint: str | None = None, trigger: dict | None = None,
+                      params: dict | None = None) -> StreamingQuery:
+    """STR2 + SNK4: per batch, recompute and upsert each active user's packed list.
+
+    The last list of a user (RC17 input) is the newest entry already in the
+    sink, so a user's lists chain from batch to batch (Q18, Q21 upsert).
+    """
+    events = parsed_rating_stream(messages)
+    checkpoint = checkpoint or scratch_path(spark, "recommender-ckpt")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():                                   # TK6
+            return
+        try:
+            prev = latest_per_key(spark, out_path, ["user_id"]).select("user_id", "entries")
+            last = prev.select("user_id", F.explode("entries").alias("e")).select(
+                "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
+        except Exception:  # noqa: BLE001 - no output yet
+            last = None
+        recs = recommender_batch(batch, history, similarity, top_similar, catalog, last, params)
+        packed = neighbors.pack_recommendations(recs)
+        entries = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(
+            F.struct("slot", "item_id", "priority"))).alias("entries"))
+        write_batch_partition(packed.join(entries, "user_id"), out_path, batch_id)
+
+    return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
+
+
+def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
+                    out_path: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """STR2 + SNK3: variant A scores appended per batch, with user id and event time (Q15)."""
+    events = parsed_rating_stream(messages)
+    checkpoint = checkpoint or scratch_path(spark, "variant-a-ckpt")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        ev = batch.select(F.monotonically_increasing_id().alias("event_id"), "user_id", "item_id",
+                          F.col("event_ts").alias("ts"))
+        scores = neighbors.neighbor_score_a(ev, history, similarity, **neighbors.VARIANT_A)
+        write_batch_partition(scores, out_path, batch_id)
+
+    return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
+
+
+def start_batch_counter(spark: SparkSession, messages: DataFrame, out_path: str,
+                        checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """STR3: number of records per micro-batch."""
+    checkpoint = checkpoint or scratch_path(spark, "counter-ckpt")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch_partition(batch.agg(F.count(F.lit(1)).alias("n_records")), out_path, batch_id)
+
+    return _writer(messages, trigger, checkpoint).foreachBatch(handle).start()
+
+
+def running_totals(messages: DataFrame) -> DataFrame:
+    """STR4 / STR5 / SC13: cumulative count and price per product from state."""
+    return segments.order_totals(segments.parse_orders(messages))
+
+
+def start_running_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
+                         trigger: dict | None = None) -> StreamingQuery:
+    """STR4 / STR5 + SNK7: per-product cumulative totals and the grand total,
+    written in ``update`` mode through ``foreachBatch``: each batch writes the
+    keys it changed, with values read from state (never re-added to a store)."""
+    checkpoint = checkpoint or scratch_path(spark, "totals-ckpt")
+    totals = running_totals(messages)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch_partition(batch, out_path, batch_id)
+
+    return (totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or DEFAULT_TRIGGER)).foreachBatch(handle).start())
+
+
+def current_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """Per-product totals as of the newest batch that touched each product."""
+    return latest_per_key(spark, out_path, ["id"]).drop("batch_id")
+
+
+def start_minute_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
+                        trigger: dict | None = None, watermark: str = "10 minutes") -> StreamingQuery:
+    """STR6: per product and one-minute event-time window, in ``append`` mode; the
+    watermark bounds the state kept for late events."""
+    checkpoint = checkpoint or scratch_path(spark, "minute-ckpt")
+    orders = segments.parse_orders(messages).withWatermark("ts", watermark)
+    agg = segments.minute_totals(orders)
+    return (agg.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or DEFAULT_TRIGGER)).format("parquet").option("path", out_path).start())
+
+
+def start_console(df: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+    """SNK8: print each batch (debugging only)."""
+    return df.writeStream.format("console").trigger(**(trigger or DEFAULT_TRIGGER)).start()
+
+
+def run_available(q_factory: Callable[[], StreamingQuery]) -> None:
+    """Run a query over what is available now and wait for it (tests, backfills)."""
+    q = q_factory()
+    q.awaitTermination()

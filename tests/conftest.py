@@ -1,0 +1,37 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tastespark.session import get_spark
+
+    s = get_spark("local[4]", 8, app_name="tastespark-tests")
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+
+
+@pytest.fixture()
+def tmpdir_path():
+    return tempfile.mkdtemp(prefix="tastespark-test-")
+
+
+@pytest.fixture(scope="session")
+def duck():
+    import duckdb
+
+    from tastespark.io import TABLES
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"create view {t} as select * from '{SF001}/{t}.parquet'")
+    return con
