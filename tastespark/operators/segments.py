@@ -67,7 +67,7 @@ def grand_total(orders: DataFrame) -> DataFrame:
 
 def minute_totals(orders: DataFrame, ts_col: str = "ts", window: str = "1 minute") -> DataFrame:
     """STR6: per id and time window, count and sum of price."""
-    w = F.window(F.col(ts_col).cast("timestamp"), window)
+    w = F.window(F.col(ts_col), window)
     return orders.groupBy(F.col("id"), w.alias("w")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("price").alias("total_price")).select(
         "id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),

@@ -183,8 +183,8 @@ def neighbor_score_a() -> str:
          count(case when recent_rate < 3.0 then 1 end) as n_dislike
   from ap where sim > 0.5 group by event_id, user_id, event_ts, item_id)""")
             + """select event_id, user_id, event_ts, item_id,
-  round(round(weighted / sum(n_kept) over (partition by event_id)
-              + log2(greatest(n_like, 1)) - log2(greatest(n_dislike, 1)), 9), 6) as score
+  round(weighted / sum(n_kept) over (partition by event_id)
+        + log2(greatest(n_like, 1)) - log2(greatest(n_dislike, 1)), 9) as score
 from per""")
 
 
@@ -216,7 +216,7 @@ def _scores_b(n: int, t: float, user_marks: bool) -> tuple[str, ...]:
 
 def neighbor_score_b(n: int, t: float, user_marks: bool) -> str:
     return (with_(*_scores_b(n, t, user_marks))
-            + "select user_id, anchor_item, item_id, rank, round(priority, 6) as priority from scored")
+            + "select user_id, anchor_item, item_id, rank, round(priority, 9) as priority from scored")
 
 
 MERGE = """best AS (
@@ -231,7 +231,7 @@ MERGE = """best AS (
 
 def merge_decayed() -> str:
     return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE)
-            + "select user_id, item_id, round(priority, 6) as priority, slot from merged")
+            + "select user_id, item_id, round(priority, 9) as priority, slot from merged")
 
 
 SUPPLEMENT = (
@@ -281,12 +281,12 @@ SUPPLEMENT = (
 
 def supplemented_recs() -> str:
     return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE, *SUPPLEMENT)
-            + "select user_id, item_id, round(priority, 6) as priority, slot from supp")
+            + "select user_id, item_id, round(priority, 9) as priority, slot from supp")
 
 
 def packed_recs() -> str:
     return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE, *SUPPLEMENT)
-            + "select user_id, string_agg(printf('%d:%.4f,', item_id, round(priority, 4)), '' order by slot) "
+            + "select user_id, string_agg(printf('%d:%.4f,', item_id, priority), '' order by slot) "
               "as packed from supp group by user_id")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 TILE = "_tile"
 LO = "_lo"
 HI = "_hi"
+MAX_PAIR_PARTITIONS = 20000
 
 
 def n_tiles_for(n_items: int, tile_size: int) -> int:
@@ -51,6 +52,12 @@ def score_tile_pairs(items: DataFrame, id_col: str,
         n_items = items.count()
     t = n_tiles_for(n_items, tile_size)
     rep = replicate_to_tile_pairs(items, id_col, t)
+    # The scoring stage is CPU-bound while its input is small: an explicit
+    # partition count (one per tile pair, capped) keeps AQE from coalescing it
+    # into a few large tasks.  The hash partitioning on (lo, hi) also satisfies
+    # the grouping below, so this adds no second shuffle.
+    n_pairs = t * (t + 1) // 2
+    rep = rep.repartition(min(n_pairs, MAX_PAIR_PARTITIONS), LO, HI)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo = int(pdf[LO].iloc[0])
@@ -75,9 +82,14 @@ def _np_dtype(field) -> str:
 
 def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_tile: bool,
                  min_score: float | None, top_n: int | None,
-                 names: tuple[str, str, str] = ("id1", "id2", "similarity")) -> pd.DataFrame:
+                 names: tuple[str, str, str] = ("id1", "id2", "similarity"),
+                 one_direction: bool = False) -> pd.DataFrame:
     """Directed pairs (both directions) kept from a score matrix.
 
+    With ``one_direction`` (threshold only, no ``top_n``) each unordered pair
+    is emitted once and the caller mirrors it on the JVM side
+    (``mirror_pairs``), which halves what crosses the Python boundary.
+
     Row i of ``score`` scores ``ids_l[i]`` against every ``ids_r[j]``; both id
     vectors are ascending.  A pair is kept when ``score >= min_score`` (if
     given) and, if ``top_n`` is given, when it is among the ``top_n`` best of
@@ -87,6 +99,13 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
     """
     blocks = []
     mats = [(score, ids_l, ids_r)]
+    if one_direction and top_n is None:
+        keep = np.ones(score.shape, dtype=bool) if min_score is None else score >= min_score
+        if same_tile:
+            keep &= np.triu(np.ones(score.shape, dtype=bool), k=1)
+        r, c = np.nonzero(keep)
+        return pd.DataFrame({names[0]: ids_l[r].astype("int64"), names[1]: ids_r[c].astype("int64"),
+                             names[2]: score[r, c].astype("float64")})
     if same_tile:
         score = score.copy()
         np.fill_diagonal(score, -np.inf)
@@ -115,3 +134,10 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
         return pd.DataFrame({names[0]: pd.Series(dtype="int64"), names[1]: pd.Series(dtype="int64"),
                              names[2]: pd.Series(dtype="float64")})
     return pd.concat(blocks, ignore_index=True)
+
+
+def mirror_pairs(pairs: DataFrame, a: str = "id1", b: str = "id2", v: str = "similarity") -> DataFrame:
+    """Both directions of symmetric pairs with one generator (no union, no recompute)."""
+    both = F.explode(F.array(F.struct(F.col(a).alias(a), F.col(b).alias(b)),
+                             F.struct(F.col(b).alias(a), F.col(a).alias(b)))).alias("_p")
+    return pairs.select(both, v).select(F.col(f"_p.{a}").alias(a), F.col(f"_p.{b}").alias(b), v)

@@ -40,6 +40,13 @@ def r6(c: str) -> F.Column:
     return F.round(F.col(c), 6).alias(c)
 
 
+def r9(c: str) -> F.Column:
+    """Scores that are ranked and compared with cuts are fixed to 9 digits inside the
+    operators; rounding them again to 6 would create half-way ties that engines
+    break differently, so they are emitted at 9 digits."""
+    return F.round(F.col(c), 9).alias(c)
+
+
 # ---- P1 content similarity ----------------------------------------------------------------------
 
 @register("content_similarity")
@@ -83,21 +90,21 @@ def q_neighbor_score_a(spark, sf_dir):
     sim = content.content_similarity(cat, min_similarity=0.4)
     ev = fixtures.rating_events(spark, sf_dir)
     out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), sim, **neighbors.VARIANT_A)
-    return out.select("event_id", "user_id", "event_ts", "item_id", r6("score"))
+    return out.select("event_id", "user_id", "event_ts", "item_id", r9("score"))
 
 
 @register("neighbor_score_b0")
 def q_neighbor_score_b0(spark, sf_dir):
     """RC15 / WN2 / WN3 / JN6: variant B0 priorities for every user with an event."""
     return _scores_b(spark, sf_dir, neighbors.VARIANT_B0).select(
-        "user_id", "anchor_item", "item_id", "rank", r6("priority"))
+        "user_id", "anchor_item", "item_id", "rank", r9("priority"))
 
 
 @register("neighbor_score_b1")
 def q_neighbor_score_b1(spark, sf_dir):
     """RC16: variant B1 (user marks, N = 8, similarity >= 0.45)."""
     return _scores_b(spark, sf_dir, neighbors.VARIANT_B1).select(
-        "user_id", "anchor_item", "item_id", "rank", r6("priority"))
+        "user_id", "anchor_item", "item_id", "rank", r9("priority"))
 
 
 def _merged(spark, sf_dir):
@@ -108,7 +115,7 @@ def _merged(spark, sf_dir):
 @register("merge_decayed")
 def q_merge_decayed(spark, sf_dir):
     """RC17 / TK4 / SC16: B0 list merged with the decayed last list, best 10 per user."""
-    return _merged(spark, sf_dir).select("user_id", "item_id", r6("priority"), "slot")
+    return _merged(spark, sf_dir).select("user_id", "item_id", r9("priority"), "slot")
 
 
 def _supplemented(spark, sf_dir):
@@ -122,7 +129,7 @@ def _supplemented(spark, sf_dir):
 @register("supplemented_recs")
 def q_supplemented_recs(spark, sf_dir):
     """RC18 / WN5 / TK5 / SC12 / PR10: low-priority slots refilled."""
-    return _supplemented(spark, sf_dir).select("user_id", "item_id", r6("priority"), "slot")
+    return _supplemented(spark, sf_dir).select("user_id", "item_id", r9("priority"), "slot")
 
 
 @register("packed_recs")
