@@ -168,7 +168,9 @@ SIM_CTES = (CATALOG, FEATURES, PAIRS, BOTH_DIRECTIONS, SIM04)
 
 
 def neighbor_score_a() -> str:
-    return (with_(RATINGS, *SIM_CTES, RATING_EVENTS, """recent AS (
+    return (with_(RATINGS, CATALOG, FEATURES, PAIRS, BOTH_DIRECTIONS,
+                  "sim AS (select id1, id2, similarity from directed where similarity >= 0.6)",
+                  RATING_EVENTS, """recent AS (
   select user_id, item_id as recent_item, rating as recent_rate from (
     select *, row_number() over (partition by user_id order by ts desc, item_id) as rn from ratings)
   where rn <= 5)""", """cands AS (

@@ -136,6 +136,41 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
     return pd.concat(blocks, ignore_index=True)
 
 
+def flag_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_tile: bool,
+               min_score: float, top_n: int,
+               names: tuple[str, str, str] = ("id1", "id2", "similarity")) -> pd.DataFrame:
+    """Directed pairs kept because ``score >= min_score`` or because they are in
+    their row's tile-level top ``top_n``, flagged ``above`` / ``in_top`` so one
+    pass feeds both a threshold table and an exact top-n table."""
+    mats = [(score, ids_l, ids_r)]
+    if same_tile:
+        score = score.copy()
+        np.fill_diagonal(score, -np.inf)
+        mats = [(score, ids_l, ids_r)]
+    else:
+        mats.append((score.T, ids_r, ids_l))
+    blocks = []
+    for m, a, b in mats:
+        if m.size == 0:
+            continue
+        above = m >= min_score
+        top = np.zeros(m.shape, dtype=bool)
+        k = min(top_n, m.shape[1])
+        order = np.argsort(-m, axis=1, kind="stable")[:, :k]
+        np.put_along_axis(top, order, True, axis=1)
+        if same_tile:
+            top &= np.isfinite(m)
+        r, c = np.nonzero(above | top)
+        blocks.append(pd.DataFrame({names[0]: a[r].astype("int64"), names[1]: b[c].astype("int64"),
+                                    names[2]: m[r, c].astype("float64"), "above": above[r, c],
+                                    "in_top": top[r, c]}))
+    if not blocks:
+        return pd.DataFrame({names[0]: pd.Series(dtype="int64"), names[1]: pd.Series(dtype="int64"),
+                             names[2]: pd.Series(dtype="float64"), "above": pd.Series(dtype=bool),
+                             "in_top": pd.Series(dtype=bool)})
+    return pd.concat(blocks, ignore_index=True)
+
+
 def mirror_pairs(pairs: DataFrame, a: str = "id1", b: str = "id2", v: str = "similarity") -> DataFrame:
     """Both directions of symmetric pairs with one generator (no union, no recompute)."""
     both = F.explode(F.array(F.struct(F.col(a).alias(a), F.col(b).alias(b)),

@@ -67,10 +67,12 @@ def q_top_similar_items(spark, sf_dir):
 
 # ---- P5 near-real-time scoring, batch form -----------------------------------------------------
 
+# threshold of the similar-items table written by the batch job and read by variant A
+SIMILAR_TABLE_THRESHOLD = 0.6
+
 def _sim_tables(spark, sf_dir):
     cat = fixtures.catalog(spark, sf_dir)
-    sim = content.content_similarity(cat, min_similarity=0.4)
-    top = content.content_similarity(cat, min_similarity=None, top_n=10)
+    sim, top = content.similarity_tables(cat, min_similarity=0.4, top_n=10)
     return cat, sim, top
 
 
@@ -85,9 +87,12 @@ def _scores_b(spark, sf_dir, params):
 
 @register("neighbor_score_a")
 def q_neighbor_score_a(spark, sf_dir):
-    """RC14 / JN6-JN8 / AG8 / WN1 / SC10: variant A scores of every rating event."""
+    """RC14 / JN6-JN8 / AG8 / WN1 / SC10: variant A scores of every rating event.
+
+    Variant A reads the similar-items table the batch job writes with its 0.6
+    threshold (RC10, Q25), here the content similarity at >= 0.6."""
     cat = fixtures.catalog(spark, sf_dir)
-    sim = content.content_similarity(cat, min_similarity=0.4)
+    sim = content.content_similarity(cat, min_similarity=SIMILAR_TABLE_THRESHOLD)
     ev = fixtures.rating_events(spark, sf_dir)
     out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), sim, **neighbors.VARIANT_A)
     return out.select("event_id", "user_id", "event_ts", "item_id", r9("score"))
