@@ -121,12 +121,7 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
         if min_score is not None:
             keep &= m >= min_score
         if top_n is not None and top_n < m.shape[1]:
-            # stable sort on -score; columns are in ascending id order, so ties go to the smaller id
-            masked = np.where(keep, m, -np.inf)
-            order = np.argsort(-masked, axis=1, kind="stable")[:, :top_n]
-            sel = np.zeros(m.shape, dtype=bool)
-            np.put_along_axis(sel, order, True, axis=1)
-            keep &= sel
+            keep &= row_top_k(np.where(keep, m, -np.inf), top_n)
         r, c = np.nonzero(keep)
         blocks.append(pd.DataFrame({names[0]: a[r].astype("int64"), names[1]: b[c].astype("int64"),
                                     names[2]: m[r, c].astype("float64")}))
@@ -136,6 +131,20 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
     return pd.concat(blocks, ignore_index=True)
 
 
+def row_top_k(m: np.ndarray, k: int) -> np.ndarray:
+    """Boolean mask of each row's ``k`` best entries (ties to the smaller column,
+    columns being in ascending id order), in linear time per row: the k-th value
+    comes from a partition, ties at it are taken left to right."""
+    n = m.shape[1]
+    if k >= n:
+        return np.ones(m.shape, dtype=bool)
+    kth = -np.partition(-m, k - 1, axis=1)[:, k - 1]
+    greater = m > kth[:, None]
+    need = k - greater.sum(axis=1)
+    ties = m == kth[:, None]
+    return greater | (ties & (np.cumsum(ties, axis=1) <= need[:, None]))
+
+
 def flag_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_tile: bool,
                min_score: float, top_n: int,
                names: tuple[str, str, str] = ("id1", "id2", "similarity")) -> pd.DataFrame:
@@ -154,10 +163,7 @@ def flag_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_til
         if m.size == 0:
             continue
         above = m >= min_score
-        top = np.zeros(m.shape, dtype=bool)
-        k = min(top_n, m.shape[1])
-        order = np.argsort(-m, axis=1, kind="stable")[:, :k]
-        np.put_along_axis(top, order, True, axis=1)
+        top = row_top_k(m, top_n)
         if same_tile:
             top &= np.isfinite(m)
         r, c = np.nonzero(above | top)
