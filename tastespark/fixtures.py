@@ -81,6 +81,18 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def catalog_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog columns that depend on ``part`` alone (id, name, filmtype,
+    releasedate, score): consumers that need no actor or region read one table
+    instead of aggregating ``lineitem``."""
+    pk = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        pk.alias("id"), F.col("p_name").alias("name"),
+        F.concat(F.col("p_type"), F.lit("/"), F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))).alias("filmtype"),
+        F.when(F.col("p_size") == 50, F.lit(-1)).otherwise(F.lit(1970) + F.col("p_size")).cast("int").alias("releasedate"),
+        F.round((F.col("p_retailprice") - 900) / 10, 2).alias("score"))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     m = F.col("c_nationkey") % 7

@@ -90,3 +90,13 @@ def json_field(c: Column, field: str) -> Column:
 def csv_line(*cols: Column | str, sep: str = ",") -> Column:
     """SC14: output line of joined fields."""
     return F.concat_ws(sep, *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols])
+
+
+def fmt_decimal(c: Column, digits: int = 2) -> Column:
+    """SC11: ``%1.2f``-style number text."""
+    return F.format_string(f"%1.{digits}f", c)
+
+
+def fmt_int(c: Column, width: int = 2) -> Column:
+    """SC11: ``%2d``-style number text."""
+    return F.format_string(f"%{width}d", c)

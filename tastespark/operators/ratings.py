@@ -116,3 +116,23 @@ def unrated_items(catalog_ids: DataFrame, rated: DataFrame, user_id: int | None
 def distinct_ids(df: DataFrame, col: str) -> DataFrame:
     """ST4: distinct values of one column."""
     return df.select(col).distinct()
+
+
+def user_ratings(ratings: DataFrame, user_id: int) -> DataFrame:
+    """PR11: one user's ratings (the filter reaches the scan as a pushed predicate)."""
+    return ratings.filter(F.col("user_id") == user_id)
+
+
+def items_per_user(ratings: DataFrame) -> DataFrame:
+    """AG9: the set of items of each user (bounded by that user's ratings)."""
+    return ratings.groupBy("user_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+
+
+def add_columns(df: DataFrame, a: str, b: str, out: str = "total") -> DataFrame:
+    """PR4: arithmetic projection ``a + b``."""
+    return df.select("*", (F.col(a) + F.col(b)).alias(out))
+
+
+def sort_scored(df: DataFrame, col: str = "score", ascending: bool = True) -> DataFrame:
+    """TK3: full sort of scored rows (range-partitioned, distributed)."""
+    return df.orderBy(F.col(col).asc() if ascending else F.col(col).desc(), *[c for c in df.columns if c != col])

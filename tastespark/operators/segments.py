@@ -83,3 +83,13 @@ def word_count(texts: DataFrame, text_col: str = "text", sep: str = " ") -> Data
 def first_ratings_per_user(ratings: DataFrame, k: int) -> DataFrame:
     """TK2: ``k`` ratings of one user, highest rating first."""
     return top_k_per_group(ratings, ["user_id"], [F.col("rating").desc(), F.col("item_id").asc()], k, "rank")
+
+
+def attach_titles(df: DataFrame, titles: DataFrame, id_col: str = "item_id",
+                  max_broadcast_rows: int = 5_000_000) -> DataFrame:
+    """JN5: title lookup as a join; the title table is broadcast only when a
+    bounded count proves it small, otherwise a shuffle join is planned."""
+    from ..plans.sizing import guarded_broadcast
+
+    t = titles.select(F.col("id").alias(id_col), F.col("name").alias("title"))
+    return df.join(guarded_broadcast(t, max_broadcast_rows), id_col, "left")

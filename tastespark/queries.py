@@ -77,9 +77,10 @@ def _sim_tables(spark, sf_dir):
 
 
 def _scores_b(spark, sf_dir, params):
-    cat, sim, top = _sim_tables(spark, sf_dir)
+    _, sim, top = _sim_tables(spark, sf_dir)
     ev = fixtures.rating_events(spark, sf_dir)
     hist = fixtures.ratings(spark, sf_dir)
+    cat = fixtures.catalog_basic(spark, sf_dir)
     return neighbors.neighbor_score_b(ev.select("user_id"), hist, top, sim, cat, n=params["n"],
                                       min_similarity=params["min_similarity"],
                                       score_cut=params["score_cut"], score_source=params["score_source"])
@@ -127,7 +128,7 @@ def _supplemented(spark, sf_dir):
     merged = _merged(spark, sf_dir)
     hist = fixtures.ratings(spark, sf_dir)
     anchors = ratings_ops.latest_rating(hist)
-    return neighbors.supplement(merged, anchors, fixtures.catalog(spark, sf_dir), hist,
+    return neighbors.supplement(merged, anchors, fixtures.catalog_basic(spark, sf_dir), hist,
                                max_slots=neighbors.VARIANT_B0["n"])
 
 
@@ -196,7 +197,7 @@ def q_user_history(spark, sf_dir):
 @register("unseen_candidates")
 def q_unseen_candidates(spark, sf_dir):
     """JN9: catalog items the personal user has not rated."""
-    cat = fixtures.catalog(spark, sf_dir).select("id")
+    cat = fixtures.catalog_basic(spark, sf_dir).select("id")
     mine = ratings_ops.positive_personal(fixtures.my_ratings(spark, sf_dir))
     return ratings_ops.unrated_items(cat, mine, fixtures.PERSONAL_USER_ID)
 
@@ -252,7 +253,7 @@ def q_vector_top_similar(spark, sf_dir):
 @register("like_minded_users")
 def q_like_minded_users(spark, sf_dir):
     """RC13 / JN4 / PR9 / AG13: age-18, occupation-2 users who rated an ECONOMY item 5."""
-    return segments.like_minded_users(fixtures.ratings(spark, sf_dir), fixtures.catalog(spark, sf_dir),
+    return segments.like_minded_users(fixtures.ratings(spark, sf_dir), fixtures.catalog_basic(spark, sf_dir),
                                       fixtures.users(spark, sf_dir), "ECONOMY", limit=10)
 
 
@@ -352,7 +353,7 @@ def q_als_unseen_top10(spark, sf_dir):
     mine = ratings_ops.assert_not_empty(ratings_ops.positive_personal(fixtures.my_ratings(spark, sf_dir)),
                                         "personal ratings")
     model = factors.train_als(ratings_ops.with_personal(sp["train"], mine), **ALS_PARAMS)
-    items = fixtures.catalog(spark, sf_dir).select("id")
+    items = fixtures.catalog_basic(spark, sf_dir).select("id")
     return factors.recommend_unseen(model, fixtures.PERSONAL_USER_ID, items, mine, 10).select(
         "user_id", "item_id", r6("prediction"), "rank")
 

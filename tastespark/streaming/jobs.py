@@ -173,3 +173,30 @@ def run_available(q_factory: Callable[[], StreamingQuery]) -> None:
     """Run a query over what is available now and wait for it (tests, backfills)."""
     q = q_factory()
     q.awaitTermination()
+
+
+def route_batch(batch: DataFrame, history: DataFrame, model, popular: DataFrame, k: int = 5) -> DataFrame:
+    """STR8 for one batch: known users (JN10 semi join) get their ALS top ``k``
+    (RC7), new users (anti join) the popular list (RC19)."""
+    from ..operators import factors
+
+    known, new = segments.split_users(batch, history)
+    rec_known = factors.recommend_for(model, known, k).select(
+        "user_id", "item_id", F.col("prediction").alias("score"), F.lit("model").alias("source"))
+    rec_new = segments.default_for_new_users(new, popular).select(
+        "user_id", "item_id", F.col("n_ratings").cast("double").alias("score"), F.lit("popular").alias("source"))
+    return rec_known.unionByName(rec_new)
+
+
+def start_user_router(spark: SparkSession, messages: DataFrame, history: DataFrame, model, popular: DataFrame,
+                      out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
+                      k: int = 5) -> StreamingQuery:
+    """STR8: route every batch's users to model or popular recommendations."""
+    events = parsed_rating_stream(messages)
+    checkpoint = checkpoint or scratch_path(spark, "router-ckpt")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        users = batch.select(F.col("user_id").cast("bigint").alias("user_id")).distinct()
+        write_batch_partition(route_batch(users, history, model, popular, k), out_path, batch_id)
+
+    return _writer(events, trigger, checkpoint).foreachBatch(handle).start()

@@ -193,3 +193,18 @@ def test_pr1_rejects_bad_rows(spark):
     df = spark.createDataFrame([("7,abc,3.0,1",), ("7,8,3.0,1",)], "value string")
     good, bad = T.split_rejects(T.parse_rating_csv(df))
     assert good.count() == 1 and bad.count() == 1
+
+
+def test_small_helpers(spark):
+    from tastespark.operators import ratings as R, segments as SG
+
+    df = spark.createDataFrame([(1, 10, 4.0), (1, 11, 5.0), (2, 10, 3.0)], "user_id int, item_id int, rating double")
+    assert R.user_ratings(df, 1).count() == 2
+    assert R.items_per_user(df).filter("user_id = 1").first()["items"] == [10, 11]
+    assert R.add_columns(df, "user_id", "item_id").first()["total"] == 11
+    assert [r.rating for r in R.sort_scored(df, "rating").collect()] == [3.0, 4.0, 5.0]
+    titles = spark.createDataFrame([(10, "red widget")], "id int, name string")
+    assert SG.attach_titles(df, titles).filter("item_id = 10").first()["title"] == "red widget"
+    v = spark.range(1).select(T.fmt_decimal(F.lit(29.2893), 2).alias("a"), T.fmt_int(F.lit(7), 2).alias("b")).first()
+    assert (v.a, v.b) == ("29.29", " 7")
+    assert one(spark, T.pick_field(F.col("s"), 2), "s string", ("7|42|5",)) == "42"

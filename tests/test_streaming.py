@@ -9,7 +9,7 @@ from conftest import SF001
 from tastespark import fixtures
 from tastespark.operators import content, neighbors, segments
 from tastespark.sources import streams
-from tastespark.streaming import pipelines as P
+from tastespark.streaming import jobs as P
 
 NOW = {"availableNow": True}
 
@@ -87,3 +87,19 @@ def test_recommender_stream_upserts(spark, tmpdir_path):
     n = neighbors.VARIANT_B1["n"]
     lens = [r["packed"].count(",") for r in cur.select("packed").collect()]
     assert lens and max(lens) <= n
+
+
+def test_user_router_stream(spark, tmpdir_path):
+    from tastespark.operators import factors, segments as seg
+
+    hist = fixtures.ratings(spark, SF001)
+    model = factors.train_als(hist, rank=4, max_iter=2, reg=0.1)
+    popular = seg.popular_items(hist, 5)
+    out = os.path.join(tmpdir_path, "route")
+    msgs = streams.rating_message_stream(spark, SF001)
+    P.start_user_router(spark, msgs, hist, model, popular, out, os.path.join(tmpdir_path, "ck"), NOW).awaitTermination()
+    got = spark.read.parquet(out)
+    ev = fixtures.rating_events(spark, SF001)
+    known, new = seg.split_users(ev, hist)
+    assert got.filter("source = 'popular'").select("user_id").distinct().count() == new.count()
+    assert got.filter("source = 'model'").select("user_id").distinct().count() == known.count()
