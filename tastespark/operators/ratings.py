@@ -123,11 +123,6 @@ def user_ratings(ratings: DataFrame, user_id: int) -> DataFrame:
     return ratings.filter(F.col("user_id") == user_id)
 
 
-def items_per_user(ratings: DataFrame) -> DataFrame:
-    """AG9: the set of items of each user (bounded by that user's ratings)."""
-    return ratings.groupBy("user_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-
-
 def add_columns(df: DataFrame, a: str, b: str, out: str = "total") -> DataFrame:
     """PR4: arithmetic projection ``a + b``."""
     return df.select("*", (F.col(a) + F.col(b)).alias(out))

@@ -22,3 +22,23 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "pos") -> DataFr
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return s.join(F.broadcast(offs), "_pid").select(*cols, (F.col("_off") + local).alias(name))
+
+
+def row_number_unbounded(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """``row_number()`` per key for groups of any size, without one task per group.
+
+    The frame is range-partitioned by ``keys + order`` (a hot key spans several
+    partitions), numbered inside each partition, and shifted by the count of
+    the key's rows in earlier partitions.  The offset table has one row per
+    (partition, key) and its window per key spans at most the partition count.
+    ``order`` must end in a unique tie-breaker.
+    """
+    cols = df.columns
+    s = df.orderBy(*[F.col(k) for k in keys], *order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
+    ).checkpoint(eager=True)
+    per = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("_pid", *keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    j = s.join(offs, ["_pid", *keys])
+    return j.select(*cols, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).alias(name))

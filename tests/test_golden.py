@@ -200,7 +200,6 @@ def test_small_helpers(spark):
 
     df = spark.createDataFrame([(1, 10, 4.0), (1, 11, 5.0), (2, 10, 3.0)], "user_id int, item_id int, rating double")
     assert R.user_ratings(df, 1).count() == 2
-    assert R.items_per_user(df).filter("user_id = 1").first()["items"] == [10, 11]
     assert R.add_columns(df, "user_id", "item_id").first()["total"] == 11
     assert [r.rating for r in R.sort_scored(df, "rating").collect()] == [3.0, 4.0, 5.0]
     titles = spark.createDataFrame([(10, "red widget")], "id int, name string")
@@ -208,3 +207,15 @@ def test_small_helpers(spark):
     v = spark.range(1).select(T.fmt_decimal(F.lit(29.2893), 2).alias("a"), T.fmt_int(F.lit(7), 2).alias("b")).first()
     assert (v.a, v.b) == ("29.29", " 7")
     assert one(spark, T.pick_field(F.col("s"), 2), "s string", ("7|42|5",)) == "42"
+
+
+def test_row_number_unbounded_matches_window(spark):
+    from pyspark.sql import Window
+    from tastespark.plans.indexing import row_number_unbounded
+
+    rows = [(u if i % 3 else 0, i, float(i % 7)) for u in range(5) for i in range(200)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, p double").repartition(7)
+    order = [F.col("p").desc(), F.col("item_id").asc()]
+    want = df.withColumn("rank", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
+    got = row_number_unbounded(df, ["user_id"], order, "rank")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
