@@ -200,3 +200,30 @@ def start_user_router(spark: SparkSession, messages: DataFrame, history: DataFra
         write_batch_partition(route_batch(users, history, model, popular, k), out_path, batch_id)
 
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
+
+
+def start_grand_total(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """STR5 grand total: one global streaming aggregate in ``complete`` mode (one
+    row of state), written per batch."""
+    checkpoint = checkpoint or scratch_path(spark, "grand-ckpt")
+    total = segments.grand_total(segments.parse_orders(messages))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch_partition(batch, out_path, batch_id)
+
+    return (total.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or DEFAULT_TRIGGER)).foreachBatch(handle).start())
+
+
+def start_batch_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """STR5 / STR6 as written: per product count and price of each micro-batch
+    alone (the "latest batch" value), stateless."""
+    checkpoint = checkpoint or scratch_path(spark, "batch-totals-ckpt")
+    orders = segments.parse_orders(messages)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch_partition(segments.order_totals(batch), out_path, batch_id)
+
+    return _writer(orders, trigger, checkpoint).foreachBatch(handle).start()

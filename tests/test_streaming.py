@@ -103,3 +103,17 @@ def test_user_router_stream(spark, tmpdir_path):
     known, new = seg.split_users(ev, hist)
     assert got.filter("source = 'popular'").select("user_id").distinct().count() == new.count()
     assert got.filter("source = 'model'").select("user_id").distinct().count() == known.count()
+
+
+def test_grand_and_batch_totals(spark, tmpdir_path):
+    want = segments.grand_total(segments.parse_orders(fixtures.order_payloads(spark, SF001))).first()
+    g = os.path.join(tmpdir_path, "grand")
+    P.start_grand_total(spark, streams.order_message_stream(spark, SF001), g,
+                        os.path.join(tmpdir_path, "ck1"), NOW).awaitTermination()
+    last = spark.read.parquet(g).orderBy(F.col("batch_id").desc()).first()
+    assert (last.n_orders, last.total_price) == (want.n_orders, want.total_price)
+    b = os.path.join(tmpdir_path, "batch")
+    P.start_batch_totals(spark, streams.order_message_stream(spark, SF001), b,
+                         os.path.join(tmpdir_path, "ck2"), NOW).awaitTermination()
+    per_batch = spark.read.parquet(b).agg(F.sum("n_orders").alias("n"), F.sum("total_price").alias("p")).first()
+    assert (per_batch.n, per_batch.p) == (want.n_orders, want.total_price)
