@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 TILE = "_tile"
 LO = "_lo"
 HI = "_hi"
+PAIR = "_pair"
 MAX_PAIR_PARTITIONS = 20000
 
 
@@ -52,17 +53,20 @@ def score_tile_pairs(items: DataFrame, id_col: str,
         n_items = items.count()
     t = n_tiles_for(n_items, tile_size)
     rep = replicate_to_tile_pairs(items, id_col, t)
-    # The scoring stage is CPU-bound while its input is small: an explicit
-    # partition count (one per tile pair, capped) keeps AQE from coalescing it
-    # into a few large tasks.  The hash partitioning on (lo, hi) also satisfies
-    # the grouping below, so this adds no second shuffle.
+    # The scoring stage is CPU-bound while its input is small.  Each tile pair
+    # gets a dense index and the rows are range-partitioned on it with an
+    # explicit count (AQE does not coalesce it), so every task scores about the
+    # same number of tile pairs instead of hash collisions stacking several in
+    # one task.  Grouping by the same index reuses that partitioning: no second
+    # shuffle.
     n_pairs = t * (t + 1) // 2
-    rep = rep.repartition(min(n_pairs, MAX_PAIR_PARTITIONS), LO, HI)
+    pair_idx = (F.col(LO) * t - (F.col(LO) * (F.col(LO) - 1)) / 2 + (F.col(HI) - F.col(LO))).cast("int")
+    rep = rep.withColumn(PAIR, pair_idx).repartitionByRange(min(n_pairs, MAX_PAIR_PARTITIONS), PAIR)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo = int(pdf[LO].iloc[0])
         hi = int(pdf[HI].iloc[0])
-        body = pdf.drop(columns=[LO, HI])
+        body = pdf.drop(columns=[LO, HI, PAIR])
         if lo == hi:
             side = body.sort_values(id_col, kind="stable").reset_index(drop=True)
             return scorer(side, side, True)
@@ -72,7 +76,7 @@ def score_tile_pairs(items: DataFrame, id_col: str,
             return pd.DataFrame({f.name: pd.Series(dtype=_np_dtype(f)) for f in out_schema.fields})
         return scorer(left, right, False)
 
-    return rep.groupBy(LO, HI).applyInPandas(run, out_schema)
+    return rep.groupBy(PAIR).applyInPandas(run, out_schema)
 
 
 def _np_dtype(field) -> str:
@@ -111,7 +115,7 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
         np.fill_diagonal(score, -np.inf)
         mats = [(score, ids_l, ids_r)]
     else:
-        mats.append((score.T, ids_r, ids_l))
+        mats.append((np.ascontiguousarray(score.T), ids_r, ids_l))
     for m, a, b in mats:
         if m.size == 0:
             continue
@@ -148,33 +152,35 @@ def row_top_k(m: np.ndarray, k: int) -> np.ndarray:
 def flag_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_tile: bool,
                min_score: float, top_n: int,
                names: tuple[str, str, str] = ("id1", "id2", "similarity")) -> pd.DataFrame:
-    """Directed pairs kept because ``score >= min_score`` or because they are in
-    their row's tile-level top ``top_n``, flagged ``above`` / ``in_top`` so one
-    pass feeds both a threshold table and an exact top-n table."""
-    mats = [(score, ids_l, ids_r)]
+    """Unordered pairs kept because ``score >= min_score`` or because they are in
+    the tile-level top ``top_n`` of either endpoint; ``top12`` / ``top21`` tell
+    which direction made the cut (``mirror_flagged`` expands them).  One pass
+    feeds both a threshold table and an exact top-n table."""
     if same_tile:
         score = score.copy()
         np.fill_diagonal(score, -np.inf)
-        mats = [(score, ids_l, ids_r)]
+        top12 = row_top_k(score, top_n) & np.isfinite(score)
+        top21 = top12.T                                  # symmetric scores: column view of the row flags
+        keep = np.triu(np.ones(score.shape, dtype=bool), k=1)
     else:
-        mats.append((score.T, ids_r, ids_l))
-    blocks = []
-    for m, a, b in mats:
-        if m.size == 0:
-            continue
-        above = m >= min_score
-        top = row_top_k(m, top_n)
-        if same_tile:
-            top &= np.isfinite(m)
-        r, c = np.nonzero(above | top)
-        blocks.append(pd.DataFrame({names[0]: a[r].astype("int64"), names[1]: b[c].astype("int64"),
-                                    names[2]: m[r, c].astype("float64"), "above": above[r, c],
-                                    "in_top": top[r, c]}))
-    if not blocks:
-        return pd.DataFrame({names[0]: pd.Series(dtype="int64"), names[1]: pd.Series(dtype="int64"),
-                             names[2]: pd.Series(dtype="float64"), "above": pd.Series(dtype=bool),
-                             "in_top": pd.Series(dtype=bool)})
-    return pd.concat(blocks, ignore_index=True)
+        top12 = row_top_k(score, top_n)
+        top21 = row_top_k(np.ascontiguousarray(score.T), top_n).T
+        keep = np.ones(score.shape, dtype=bool)
+    above = score >= min_score
+    keep &= above | top12 | top21
+    r, c = np.nonzero(keep)
+    return pd.DataFrame({names[0]: ids_l[r].astype("int64"), names[1]: ids_r[c].astype("int64"),
+                         names[2]: score[r, c].astype("float64"), "above": above[r, c],
+                         "top12": top12[r, c], "top21": top21[r, c]})
+
+
+def mirror_flagged(pairs: DataFrame, a: str = "id1", b: str = "id2", v: str = "similarity") -> DataFrame:
+    """Directed rows ``(id1, id2, similarity, above, in_top)`` from ``flag_pairs`` output."""
+    both = F.explode(F.array(
+        F.struct(F.col(a).alias(a), F.col(b).alias(b), F.col("top12").alias("in_top")),
+        F.struct(F.col(b).alias(a), F.col(a).alias(b), F.col("top21").alias("in_top")))).alias("_p")
+    return pairs.select(both, v, "above").select(
+        F.col(f"_p.{a}").alias(a), F.col(f"_p.{b}").alias(b), v, "above", F.col("_p.in_top").alias("in_top"))
 
 
 def mirror_pairs(pairs: DataFrame, a: str = "id1", b: str = "id2", v: str = "similarity") -> DataFrame:

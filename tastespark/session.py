@@ -23,6 +23,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Python workers already run one per core: a multi-threaded BLAS inside each
+# would oversubscribe the cores, so numeric libraries get one thread each.
+WORKER_ENV = {"OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tastespark", extra: dict | None = None) -> SparkSession:
@@ -33,6 +37,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update({f"spark.executorEnv.{k}": v for k, v in WORKER_ENV.items()})
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -81,6 +86,8 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
+    for k, v in WORKER_ENV.items():           # also for sessions built elsewhere
+        sc.environment.setdefault(k, v)
     key = sc.applicationId
     if key in _SHIPPED:
         return
