@@ -401,3 +401,33 @@ from order_events group by 1, 2, 3""",
     "parsed_events": with_(RATING_EVENTS) + """select event_id, cast(user_id as integer) as user_id,
   cast(item_id as integer) as item_id, rate, epoch_us(ts) // 1000 as epoch_ms from rating_events""",
 })
+
+
+# ---- sink formats and smaller operators --------------------------------------------------------
+
+ORACLES.update({
+    "rating_messages": with_(RATINGS) + """select cast(user_id as varchar) as key,
+  cast(user_id as varchar) || '|' || cast(item_id as varchar) || '|' || cast(rating as varchar) as value
+from ratings""",
+    "similarity_lines": with_(CATALOG, FEATURES, PAIRS, BOTH_DIRECTIONS)
+    + "select printf('%d,%d,%.6f', id1, id2, similarity) as value from directed where similarity >= 0.6",
+    "top_rated_by_user": with_(RATINGS) + """select user_id, item_id, rating, rank from (
+  select *, row_number() over (partition by user_id order by rating desc, item_id) as rank from ratings)
+where rank <= 10""",
+    "popular_titles": with_(RATINGS, POPULAR, """cb AS (select p_partkey as id, p_name as name from part)""")
+    + "select p.item_id, p.n_ratings, cb.name as title from popular p left join cb on cb.id = p.item_id",
+    "rating_split_counts_leaking": with_(RATINGS) + """select split, count(*) as n_ratings,
+  count(distinct user_id) as n_users, count(distinct item_id) as n_items from (
+  select 'train' as split, user_id, item_id from ratings where bucket < 8
+  union all select 'validation', user_id, item_id from ratings where bucket >= 6 and bucket < 8
+  union all select 'test', user_id, item_id from ratings where bucket >= 8) group by split""",
+    "genre_pools": """with cb as (select p_partkey as id, p_type || '/' || split_part(p_name, ' ', 2) as filmtype,
+  round((p_retailprice - 900) / 10, 2) as score from part),
+g as (select distinct split_part(filmtype, '/', 1) as genre from cb)
+select genre, id, score, pool_rank from (
+  select g.genre, cb.id, cb.score, row_number() over (partition by g.genre order by cb.score desc, cb.id) as pool_rank
+  from g join cb on contains(cb.filmtype, g.genre)) where pool_rank <= 50""",
+    "latest_events": with_(RATING_EVENTS) + """select user_id, event_id, ts from (
+  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from rating_events)
+where rn = 1""",
+})

@@ -402,3 +402,54 @@ def q_als_metrics(spark, sf_dir):
                                         sp["test"].filter(F.col("rating") >= 4.0))
     return err.select("n_pred", "n_truth", r6("mse"), r6("rmse"), r6("rmse_all"),
                       F.round(mp.select("map").scalar(), 6).alias("map"))
+
+
+# ---- sink formats and smaller operators --------------------------------------------------------
+
+@register("rating_messages")
+def q_rating_messages(spark, sf_dir):
+    """SNK6 / SC14: every rating as a keyed ``user|item|rating`` message."""
+    from .sinks.writers import rating_messages
+    return rating_messages(fixtures.ratings(spark, sf_dir))
+
+
+@register("similarity_lines")
+def q_similarity_lines(spark, sf_dir):
+    """SNK1 / SC14: factor-style similar-items table as ``id1,id2,sim`` text lines
+    (content similarity >= 0.6, similarity rounded to 6 places)."""
+    sim = content.content_similarity(fixtures.catalog(spark, sf_dir), min_similarity=SIMILAR_TABLE_THRESHOLD)
+    return sim.select(text_fn.csv_line("id1", "id2", F.format_string("%.6f", F.col("similarity"))).alias("value"))
+
+
+@register("top_rated_by_user")
+def q_top_rated_by_user(spark, sf_dir):
+    """TK2: each user's ten highest ratings (ties to the smaller item)."""
+    return segments.first_ratings_per_user(fixtures.ratings(spark, sf_dir), 10).select(
+        "user_id", "item_id", "rating", "rank")
+
+
+@register("popular_titles")
+def q_popular_titles(spark, sf_dir):
+    """RC19 / JN5: the popular list with item titles from the catalog."""
+    pop = segments.popular_items(fixtures.ratings(spark, sf_dir), 5)
+    return segments.attach_titles(pop, fixtures.catalog_basic(spark, sf_dir))
+
+
+@register("rating_split_counts_leaking")
+def q_rating_split_counts_leaking(spark, sf_dir):
+    """Q6 option: the split whose training part (bucket < 8) includes validation."""
+    return ratings_ops.split_counts(fixtures.ratings(spark, sf_dir), ratings_ops.SPLITS_LEAKING)
+
+
+@register("genre_pools")
+def q_genre_pools(spark, sf_dir):
+    """WN5 / PR10 / SC12: the 50 best-scored items of every first-genre token."""
+    cat = fixtures.catalog_basic(spark, sf_dir)
+    genres = cat.select(text_fn.first_token(F.col("filmtype")).alias("genre")).distinct()
+    return neighbors.genre_pools(genres, cat).select("genre", "id", "score", "pool_rank")
+
+
+@register("latest_events")
+def q_latest_events(spark, sf_dir):
+    """Q22: the newest rating event of each user (what one batch recomputes)."""
+    return neighbors.latest_event_per_user(fixtures.rating_events(spark, sf_dir))
