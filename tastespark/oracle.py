@@ -147,7 +147,7 @@ def content_similarity(min_similarity: float = 0.4) -> str:
 
 def top_similar_items(n: int = 10) -> str:
     return (with_(CATALOG, FEATURES, PAIRS, BOTH_DIRECTIONS)
-            + "select id1, id2, round(similarity, 6) as similarity, rank from ("
+            + "select id1, id2, round(similarity, 6) as similarity, cast(rank as integer) as rank from ("
               "select *, row_number() over (partition by id1 order by similarity desc, id2) as rank "
               f"from directed) where rank <= {n}")
 
@@ -218,7 +218,7 @@ def _scores_b(n: int, t: float, user_marks: bool) -> tuple[str, ...]:
 
 def neighbor_score_b(n: int, t: float, user_marks: bool) -> str:
     return (with_(*_scores_b(n, t, user_marks))
-            + "select user_id, anchor_item, item_id, rank, round(priority, 9) as priority from scored")
+            + "select user_id, anchor_item, item_id, cast(rank as integer) as rank, round(priority, 9) as priority from scored")
 
 
 MERGE = """best AS (
@@ -233,7 +233,7 @@ MERGE = """best AS (
 
 def merge_decayed() -> str:
     return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE)
-            + "select user_id, item_id, round(priority, 9) as priority, slot from merged")
+            + "select user_id, item_id, round(priority, 9) as priority, cast(slot as integer) as slot from merged")
 
 
 SUPPLEMENT = (
@@ -283,7 +283,7 @@ SUPPLEMENT = (
 
 def supplemented_recs() -> str:
     return (with_(*_scores_b(10, 0.4, False), LAST_RECS, *MERGE, *SUPPLEMENT)
-            + "select user_id, item_id, round(priority, 9) as priority, slot from supp")
+            + "select user_id, item_id, round(priority, 9) as priority, cast(slot as integer) as slot from supp")
 
 
 def packed_recs() -> str:
@@ -327,7 +327,7 @@ union all select user_id, item_id, rating from my_ratings where rating > 0""",
     + """select round(m.mean_rating, 6) as mean_rating, round(b.baseline_rmse, 6) as baseline_rmse,
   round(p.model_rmse, 6) as model_rmse,
   round((b.baseline_rmse - p.model_rmse) / b.baseline_rmse * 100.0, 6) as improvement_pct from m, b, p""",
-    "recent_ratings_k5": with_(RATINGS) + """select user_id, item_id, rating, ts, rank from (
+    "recent_ratings_k5": with_(RATINGS) + """select user_id, item_id, rating, ts, cast(rank as integer) as rank from (
   select *, row_number() over (partition by user_id order by ts desc, item_id) as rank from ratings)
 where rank <= 5""",
     "user_history": with_(RATINGS, """anchors AS (select user_id, item_id, ts from (
@@ -364,7 +364,7 @@ _COS = "list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding a
 ORACLES.update({
     "vector_cosine_pairs": f"""select a.vec_id as id1, b.vec_id as id2, round({_COS}, 6) as similarity
 from embeddings a join embeddings b on a.vec_id <> b.vec_id where {_COS} >= 0.3""",
-    "vector_top_similar": f"""select id1, id2, round(similarity, 6) as similarity, rank from (
+    "vector_top_similar": f"""select id1, id2, round(similarity, 6) as similarity, cast(rank as integer) as rank from (
   select *, row_number() over (partition by id1 order by similarity desc, id2) as rank from (
     select a.vec_id as id1, b.vec_id as id2, {_COS} as similarity
     from embeddings a join embeddings b on a.vec_id <> b.vec_id)) where rank <= 10""",
@@ -411,7 +411,7 @@ ORACLES.update({
 from ratings""",
     "similarity_lines": with_(CATALOG, FEATURES, PAIRS, BOTH_DIRECTIONS)
     + "select printf('%d,%d,%.6f', id1, id2, similarity) as value from directed where similarity >= 0.6",
-    "top_rated_by_user": with_(RATINGS) + """select user_id, item_id, rating, rank from (
+    "top_rated_by_user": with_(RATINGS) + """select user_id, item_id, rating, cast(rank as integer) as rank from (
   select *, row_number() over (partition by user_id order by rating desc, item_id) as rank from ratings)
 where rank <= 10""",
     "popular_titles": with_(RATINGS, POPULAR, """cb AS (select p_partkey as id, p_name as name from part)""")
@@ -424,7 +424,7 @@ where rank <= 10""",
     "genre_pools": """with cb as (select p_partkey as id, p_type || '/' || split_part(p_name, ' ', 2) as filmtype,
   round((p_retailprice - 900) / 10, 2) as score from part),
 g as (select distinct split_part(filmtype, '/', 1) as genre from cb)
-select genre, id, score, pool_rank from (
+select genre, id, score, cast(pool_rank as integer) as pool_rank from (
   select g.genre, cb.id, cb.score, row_number() over (partition by g.genre order by cb.score desc, cb.id) as pool_rank
   from g join cb on contains(cb.filmtype, g.genre)) where pool_rank <= 50""",
     "latest_events": with_(RATING_EVENTS) + """select user_id, event_id, ts from (
