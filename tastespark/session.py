@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpointed intermediates are removed once no DataFrame references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Python workers already run one per core: a multi-threaded BLAS inside each
