@@ -76,10 +76,17 @@ def _sim_tables(spark, sf_dir):
     return cat, sim, top
 
 
-def _scores_b(spark, sf_dir, params):
+def _history(spark, sf_dir):
+    """The ratings view, written once per query (it is read by several branches:
+    anchors, history pairs, exclusions), instead of re-joining lineitem and
+    orders for each branch."""
+    return fixtures.ratings(spark, sf_dir).select("user_id", "item_id", "rating", "ts").checkpoint(eager=True)
+
+
+def _scores_b(spark, sf_dir, params, hist=None):
     _, sim, top = _sim_tables(spark, sf_dir)
     ev = fixtures.rating_events(spark, sf_dir)
-    hist = fixtures.ratings(spark, sf_dir)
+    hist = _history(spark, sf_dir) if hist is None else hist
     cat = fixtures.catalog_basic(spark, sf_dir)
     return neighbors.neighbor_score_b(ev.select("user_id"), hist, top, sim, cat, n=params["n"],
                                       min_similarity=params["min_similarity"],
@@ -113,8 +120,8 @@ def q_neighbor_score_b1(spark, sf_dir):
         "user_id", "anchor_item", "item_id", "rank", r9("priority"))
 
 
-def _merged(spark, sf_dir):
-    now = _scores_b(spark, sf_dir, neighbors.VARIANT_B0)
+def _merged(spark, sf_dir, hist=None):
+    now = _scores_b(spark, sf_dir, neighbors.VARIANT_B0, hist)
     return neighbors.merge_decayed(now, fixtures.last_recs(spark, sf_dir), n=neighbors.VARIANT_B0["n"])
 
 
@@ -125,8 +132,8 @@ def q_merge_decayed(spark, sf_dir):
 
 
 def _supplemented(spark, sf_dir):
-    merged = _merged(spark, sf_dir)
-    hist = fixtures.ratings(spark, sf_dir)
+    hist = _history(spark, sf_dir)
+    merged = _merged(spark, sf_dir, hist)
     anchors = ratings_ops.latest_rating(hist)
     return neighbors.supplement(merged, anchors, fixtures.catalog_basic(spark, sf_dir), hist,
                                max_slots=neighbors.VARIANT_B0["n"])
