@@ -23,7 +23,14 @@ def kafka_stream(spark: SparkSession, servers: str, topics: str, **options) -> D
         .option("subscribe", topics)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ts"))
+    try:
+        df = reader.load()
+    except Exception as e:  # noqa: BLE001
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka package on the classpath "
+                               "(--packages); use source='files' to replay files instead") from e
+        raise
+    return df.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ts"))
 
 
 def event_file_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:

@@ -46,12 +46,21 @@ def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     return log.join(newest, keys + ["batch_id"])
 
 
-def parsed_rating_stream(messages: DataFrame, rejects_path: str | None = None) -> DataFrame:
-    """PR1 on a stream; malformed messages are dropped from the scoring input
-    (and can be kept with ``reject_sink``)."""
-    good, _ = split_rejects(parse_rating_csv(messages))
-    return good.select("user_id", "item_id", "rate", "epoch_ms",
-                       F.timestamp_millis(F.col("epoch_ms")).alias("event_ts"))
+def parsed_rating_stream(messages: DataFrame) -> DataFrame:
+    """PR1 on a stream: typed columns plus ``_valid``; jobs split good rows from
+    rejects per batch (``split_batch``), so a malformed message never fails a task."""
+    return parse_rating_csv(messages).select(
+        "value", "user_id", "item_id", "rate", "epoch_ms",
+        F.timestamp_millis(F.col("epoch_ms")).alias("event_ts"), "_valid")
+
+
+def split_batch(batch: DataFrame, batch_id: int, rejects_path: str | None) -> DataFrame:
+    """Good rows of a parsed batch; rejected raw messages go to ``rejects_path``
+    (idempotent per batch) when one is given."""
+    good, bad = split_rejects(batch)
+    if rejects_path is not None:
+        write_batch_partition(bad.select("value"), rejects_path, batch_id)
+    return good.drop("value")
 
 
 def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFrame, top_similar: DataFrame,
@@ -75,7 +84,7 @@ def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFram
 def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
                       top_similar: DataFrame, catalog: DataFrame, out_path: str,
                       checkpoint: str | None = None, trigger: dict | None = None,
-                      params: dict | None = None) -> StreamingQuery:
+                      params: dict | None = None, rejects_path: str | None = None) -> StreamingQuery:
     """STR2 + SNK4: per batch, recompute and upsert each active user's packed list.
 
     The last list of a user (RC17 input) is the newest entry already in the
@@ -85,6 +94,7 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
     checkpoint = checkpoint or scratch_path(spark, "recommender-ckpt")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = split_batch(batch, batch_id, rejects_path)
         if batch.isEmpty():                                   # TK6
             return
         try:
@@ -103,12 +113,14 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
 
 
 def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
-                    out_path: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                    out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
+                    rejects_path: str | None = None) -> StreamingQuery:
     """STR2 + SNK3: variant A scores appended per batch, with user id and event time (Q15)."""
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "variant-a-ckpt")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = split_batch(batch, batch_id, rejects_path)
         ev = batch.select(F.monotonically_increasing_id().alias("event_id"), "user_id", "item_id",
                           F.col("event_ts").alias("ts"))
         scores = neighbors.neighbor_score_a(ev, history, similarity, **neighbors.VARIANT_A)
@@ -190,12 +202,13 @@ def route_batch(batch: DataFrame, history: DataFrame, model, popular: DataFrame,
 
 def start_user_router(spark: SparkSession, messages: DataFrame, history: DataFrame, model, popular: DataFrame,
                       out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
-                      k: int = 5) -> StreamingQuery:
+                      k: int = 5, rejects_path: str | None = None) -> StreamingQuery:
     """STR8: route every batch's users to model or popular recommendations."""
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "router-ckpt")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = split_batch(batch, batch_id, rejects_path)
         users = batch.select(F.col("user_id").cast("bigint").alias("user_id")).distinct()
         write_batch_partition(route_batch(users, history, model, popular, k), out_path, batch_id)
 

@@ -117,3 +117,24 @@ def test_grand_and_batch_totals(spark, tmpdir_path):
                          os.path.join(tmpdir_path, "ck2"), NOW).awaitTermination()
     per_batch = spark.read.parquet(b).agg(F.sum("n_orders").alias("n"), F.sum("total_price").alias("p")).first()
     assert (per_batch.n, per_batch.p) == (want.n_orders, want.total_price)
+
+
+def test_rejects_are_kept_not_fatal(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "msgs")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("1,2,3.0,1700000000000\n7,abc,3.0,1\n")
+    msgs = spark.readStream.schema("value string").text(src)
+    hist = spark.createDataFrame([(1, 5, 4.0, 1)], "user_id bigint, item_id bigint, rating double, ts bigint")
+    sim = spark.createDataFrame([(2, 5, 0.9)], "id1 bigint, id2 bigint, similarity double")
+    out, rej = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "rej")
+    P.start_variant_a(spark, msgs, hist, sim, out, os.path.join(tmpdir_path, "ck"), NOW, rejects_path=rej) \
+        .awaitTermination()
+    assert [r.value for r in spark.read.parquet(rej).collect()] == ["7,abc,3.0,1"]
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_kafka_missing_is_explained(spark):
+    with pytest.raises(Exception) as e:
+        streams.kafka_stream(spark, "localhost:9092", "ratings")
+    assert "kafka" in str(e.value).lower()
