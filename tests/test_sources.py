@@ -5,7 +5,7 @@ import os
 import pytest
 
 from tastespark.sinks import writers
-from tastespark.sources import files, jdbc
+from tastespark.sources import files
 
 
 def _write(path, lines):
@@ -66,16 +66,3 @@ def test_rating_messages_format(spark):
     df = spark.createDataFrame([(1, 2, 4.0)], "user_id int, item_id int, rating double")
     r = writers.rating_messages(df).first()
     assert (r.key, r.value) == ("1", "1|2|4.0")
-
-
-def test_jdbc_round_trip(spark):
-    url = "jdbc:derby:memory:tastespark;create=true"
-    df = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.5), (1, 3, 0.25)], "id1 int, id2 int, similarity double")
-    try:
-        writers.write_jdbc(df, url, "moviesimilarity", mode="overwrite",
-                           properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
-    except Exception as e:  # noqa: BLE001
-        pytest.skip(f"embedded Derby not available: {e}")
-    back = jdbc.read_jdbc(spark, url, "moviesimilarity", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"},
-                          partition_column="id1", lower=1, upper=3, num_partitions=2)
-    assert back.count() == 3
