@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.indexing import row_number_unbounded
 from ..plans.topk import top_k_per_group
 
 # Bucket bounds of the three-way split (bucket = time % 10).
@@ -100,16 +101,14 @@ def latest_rating(history: DataFrame) -> DataFrame:
 
 
 def user_history(history: DataFrame) -> DataFrame:
-    """WN2: every rating of a user with a flag on the newest one (the anchor).
+    """WN2: every rating of a user numbered newest first (ties on time to the
+    smaller item); rank 1 is the anchor.
 
-    The anchor comes from an aggregate joined back (AQE splits a hot user's
-    partition), so no single task has to sort a user's whole history.
+    The numbering is a distributed row number (range-partitioned sort plus
+    per-partition offsets), so no single task sorts a hot user's whole history.
     """
-    anchors = latest_rating(history)
-    j = history.join(anchors, "user_id")
-    return j.select(*history.columns,
-                    ((F.col("item_id") == F.col("anchor_item")) & (F.col("ts") == F.col("anchor_ts")))
-                    .alias("is_anchor"))
+    ranked = row_number_unbounded(history, ["user_id"], [F.col("ts").desc(), F.col("item_id").asc()], "rank")
+    return ranked.withColumn("is_anchor", F.col("rank") == 1)
 
 
 def unrated_items(catalog_ids: DataFrame, rated: DataFrame, user_id: int | None = None,

@@ -330,10 +330,9 @@ union all select user_id, item_id, rating from my_ratings where rating > 0""",
     "recent_ratings_k5": with_(RATINGS) + """select user_id, item_id, rating, ts, cast(rank as integer) as rank from (
   select *, row_number() over (partition by user_id order by ts desc, item_id) as rank from ratings)
 where rank <= 5""",
-    "user_history": with_(RATINGS, """anchors AS (select user_id, item_id, ts from (
-  select *, row_number() over (partition by user_id order by ts desc, item_id) as rn from ratings) where rn = 1)""")
-    + """select r.user_id, r.item_id, r.rating, r.ts, (r.item_id = a.item_id and r.ts = a.ts) as is_anchor
-from ratings r join anchors a on a.user_id = r.user_id""",
+    "user_history": with_(RATINGS) + """select user_id, item_id, rating, ts, cast(rank as integer) as rank,
+  rank = 1 as is_anchor from (
+  select *, row_number() over (partition by user_id order by ts desc, item_id) as rank from ratings)""",
     "unseen_candidates": with_(CATALOG, MY_RATINGS)
     + "select id from catalog where id not in (select item_id from my_ratings where rating > 0)",
     "metric_rmse": with_(RATINGS, *SPLITS, *PRED, """j AS (select t.rating, p.prediction from test t
