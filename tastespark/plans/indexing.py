@@ -42,3 +42,29 @@ def row_number_unbounded(df: DataFrame, keys: list[str], order: list[Column], na
     offs = per.select("_pid", *keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     j = s.join(offs, ["_pid", *keys])
     return j.select(*cols, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).alias(name))
+
+
+def running_totals(df: DataFrame, keys: list[str], order: list[Column], sums: dict[str, str],
+                   rank: str = "rank") -> DataFrame:
+    """Row number and running sums per key for groups of any size, in one
+    distributed sort (the same layout as ``row_number_unbounded``).
+
+    ``sums`` maps an output column to the column it accumulates (inclusive of
+    the current row).  Within a partition the running values come from a window
+    over (partition, key) -- bounded by the partition size -- and are shifted
+    by the key's totals in earlier partitions.
+    """
+    cols = df.columns
+    s = df.orderBy(*[F.col(k) for k in keys], *order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
+    ).checkpoint(eager=True)
+    local = Window.partitionBy("_pid", *keys).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.select("*", *[F.sum(src).over(local).alias(f"_loc_{out}") for out, src in sums.items()])
+    per = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"),
+                                       *[F.sum(src).alias(f"_tot_{out}") for out, src in sums.items()])
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("_pid", *keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+                      *[F.coalesce(F.sum(f"_tot_{out}").over(w), F.lit(0)).alias(f"_off_{out}") for out in sums])
+    j = s.join(offs, ["_pid", *keys])
+    return j.select(*cols, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).alias(rank),
+                    *[(F.col(f"_off_{out}") + F.col(f"_loc_{out}")).alias(out) for out in sums])

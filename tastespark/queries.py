@@ -15,7 +15,6 @@ from . import fixtures
 from .functions import text as text_fn
 from .io import table
 from .operators import content, factors, metrics, neighbors, segments, vectors
-from .plans.indexing import row_number_unbounded
 from .operators import ratings as ratings_ops
 from .session import ensure_checkpoint_dir, ship_package
 
@@ -232,9 +231,8 @@ def q_metric_map(spark, sf_dir):
     """AG11 / JN11 / AG9: MAP of each user's held-out items ranked by the
     pseudo-prediction, relevant = held-out ratings of 4 and above."""
     pred, test = _pseudo_predictions(spark, sf_dir)
-    ranked = row_number_unbounded(pred, ["user_id"], [F.col("prediction").desc(), F.col("item_id").asc()], "rank")
     relevant = test.filter(F.col("rating") >= 4.0)
-    return metrics.mean_average_precision(ranked, relevant).select(r6("map"), "n_users")
+    return metrics.mean_average_precision_scored(pred, relevant).select(r6("map"), "n_users")
 
 
 # ---- dense vectors ----------------------------------------------------------------------------

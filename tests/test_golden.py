@@ -219,3 +219,20 @@ def test_row_number_unbounded_matches_window(spark):
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
     got = row_number_unbounded(df, ["user_id"], order, "rank")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_running_totals_and_scored_map(spark):
+    from pyspark.sql import Window
+    from tastespark.plans.indexing import running_totals
+
+    rows = [(u if i % 3 else 0, i, float(i % 7), i % 2) for u in range(4) for i in range(150)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, p double, h int").repartition(5)
+    order = [F.col("p").desc(), F.col("item_id").asc()]
+    w = Window.partitionBy("user_id").orderBy(*order)
+    want = df.select("*", F.row_number().over(w).alias("rank"),
+                     F.sum("h").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+    got = running_totals(df, ["user_id"], order, {"cum": "h"})
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    scored = spark.createDataFrame([(1, 1, 0.9), (1, 2, 0.8), (1, 3, 0.7)], "user_id int, item_id int, prediction double")
+    rel = spark.createDataFrame([(1, 1), (1, 3)], "user_id int, item_id int")
+    assert metrics.mean_average_precision_scored(scored, rel).first()["map"] == pytest.approx(0.833333, abs=1e-6)
