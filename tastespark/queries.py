@@ -105,7 +105,8 @@ def q_neighbor_score_a(spark, sf_dir):
     Variant A reads the similar-items table the batch job writes with its 0.6
     threshold (RC10, Q25), here the content similarity at >= 0.6."""
     cat = fixtures.catalog(spark, sf_dir)
-    sim = content.content_similarity(cat, min_similarity=SIMILAR_TABLE_THRESHOLD)
+    # read twice (candidate expansion and pair lookup): score the pairs once
+    sim = content.content_similarity(cat, min_similarity=SIMILAR_TABLE_THRESHOLD).checkpoint(eager=True)
     ev = fixtures.rating_events(spark, sf_dir)
     out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), sim, **neighbors.VARIANT_A)
     return out.select("event_id", "user_id", "event_ts", "item_id", r9("score"))
@@ -289,7 +290,7 @@ def q_popular_items(spark, sf_dir):
 @register("new_user_defaults")
 def q_new_user_defaults(spark, sf_dir):
     """RC19 / STR8 routing: new users get the popular list."""
-    ev, hist = fixtures.rating_events(spark, sf_dir), fixtures.ratings(spark, sf_dir)
+    ev, hist = fixtures.rating_events(spark, sf_dir), _ratings_once(spark, sf_dir)
     new = segments.split_users(ev, hist)[1]
     return segments.default_for_new_users(new, segments.popular_items(hist, 5))
 
