@@ -47,7 +47,8 @@ def score_tile_pairs(items: DataFrame, id_col: str,
 
     ``left``/``right`` are the item rows of tile ``lo``/``hi`` (equal objects
     when ``same_tile``), each sorted by ``id_col``.  The scorer returns the
-    selected directed pairs in both directions.
+    selected pairs (``select_pairs`` / ``flag_pairs``); symmetric results may
+    leave once per unordered pair and be mirrored on the JVM side.
     """
     if n_items is None:
         n_items = items.count()
