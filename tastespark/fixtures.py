@@ -160,9 +160,15 @@ def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("price").cast("string"), F.lit("}")).alias("value"), "ts")
 
 
+def epoch_millis(ts: Column) -> Column:
+    """Whole milliseconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) time,
+    independent of the session time zone."""
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
 def rating_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating events as CSV text messages ``user,item,rate,epoch_ms``."""
     re_ = rating_events(spark, sf_dir)
     return re_.select("event_id", F.concat_ws(
         ",", F.col("user_id").cast("string"), F.col("item_id").cast("string"), F.col("rate").cast("string"),
-        F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).alias("value"), "ts")
+        epoch_millis(F.col("ts")).cast("string")).alias("value"), "ts")

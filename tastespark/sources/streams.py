@@ -49,7 +49,7 @@ def rating_message_stream(spark: SparkSession, sf_dir: str, source: str = "files
     r = fixtures.events_to_ratings(ev, fixtures.part_count(spark, sf_dir))
     return r.select(F.concat_ws(",", F.col("user_id").cast("string"), F.col("item_id").cast("string"),
                                 F.col("rate").cast("string"),
-                                F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).alias("value"),
+                                fixtures.epoch_millis(F.col("ts")).cast("string")).alias("value"),
                     F.col("ts").cast("timestamp").alias("ts"))
 
 
