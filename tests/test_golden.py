@@ -236,3 +236,15 @@ def test_running_totals_and_scored_map(spark):
     scored = spark.createDataFrame([(1, 1, 0.9), (1, 2, 0.8), (1, 3, 0.7)], "user_id int, item_id int, prediction double")
     rel = spark.createDataFrame([(1, 1), (1, 3)], "user_id int, item_id int")
     assert metrics.mean_average_precision_scored(scored, rel).first()["map"] == pytest.approx(0.833333, abs=1e-6)
+
+
+def test_small_column_functions(spark):
+    from tastespark.functions import similarity as S2
+
+    r = spark.createDataFrame([("ECONOMY/ring", '{"id": "17", "price": 42}', 4.5, 4, 0)],
+                              "ft string, js string, p double, n int, z int").select(
+        T.first_token(F.col("ft")).alias("g"), T.json_field(F.col("js"), "id").alias("id"),
+        T.json_field(F.col("js"), "price").alias("price"), S2.decay(F.col("p")).alias("d"),
+        S2.log2_count(F.col("n")).alias("l2"), S2.log10_floor1(F.col("z")).alias("l10")).first()
+    assert (r.g, r.id, r.price) == ("ECONOMY", "17", "42")
+    assert r.d == pytest.approx(4.05) and r.l2 == pytest.approx(2.0) and r.l10 == 0.0
