@@ -50,6 +50,43 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+def current_lists(spark: SparkSession, out_path: str) -> DataFrame | None:
+    """Each user's newest packed list: the newest snapshot plus only the log
+    batches written after it (partition pruning on ``batch_id``), so the read is
+    bounded by the user count and the compaction interval, not the stream's age."""
+    from pyspark.errors import AnalysisException
+
+    parts = []
+    version = -1
+    try:
+        snap = spark.read.parquet(f"{out_path}/snapshot")
+        version = snap.agg(F.max("version")).first()[0]
+        parts.append(snap.filter(F.col("version") == version).drop("version"))
+    except AnalysisException:
+        pass
+    try:
+        log = spark.read.parquet(f"{out_path}/log").filter(F.col("batch_id") > version)
+        parts.append(log)
+    except AnalysisException:
+        pass
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    newest = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(newest, ["user_id", "batch_id"])
+
+
+def compact(spark: SparkSession, out_path: str, batch_id: int) -> None:
+    """Write the current lists as snapshot ``version=batch_id`` (idempotent)."""
+    cur = current_lists(spark, out_path)
+    if cur is None:
+        return
+    # materialise before writing: the snapshot folder is also being read
+    cur = cur.checkpoint(eager=True)
+    (cur.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}/snapshot"))
+
+
 def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Current state of an idempotent batch log: the newest batch's row(s) per key."""
     log = spark.read.parquet(path)
@@ -95,11 +132,14 @@ def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFram
 def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
                       top_similar: DataFrame, catalog: DataFrame, out_path: str,
                       checkpoint: str | None = None, trigger: dict | None = None,
-                      params: dict | None = None, rejects_path: str | None = None) -> StreamingQuery:
+                      params: dict | None = None, rejects_path: str | None = None,
+                      compact_every: int = 10) -> StreamingQuery:
     """STR2 + SNK4: per batch, recompute and upsert each active user's packed list.
 
-    The last list of a user (RC17 input) is the newest entry already in the
-    sink, so a user's lists chain from batch to batch (Q18, Q21 upsert).
+    Lists go to ``out_path/log/batch_id=<n>``; every ``compact_every`` batches
+    the current lists are written to ``out_path/snapshot/version=<n>``.  The
+    last list of a user (RC17 input) is read from ``current_lists``, so a
+    user's lists chain from batch to batch (Q18, Q21 upsert).
     """
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "recommender-ckpt")
@@ -110,17 +150,19 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
         batch = split_batch(batch, batch_id, rejects_path)
         if batch.isEmpty():                                   # TK6
             return
-        try:
-            prev = latest_per_key(spark, out_path, ["user_id"]).select("user_id", "entries")
-            last = prev.select("user_id", F.explode("entries").alias("e")).select(
-                "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
-        except Exception:  # noqa: BLE001 - no output yet
-            last = None
+        prev = current_lists(spark, out_path)
+        last = None
+        if prev is not None:
+            last = prev.join(batch.select("user_id").distinct(), "user_id", "left_semi") \
+                .select("user_id", F.explode("entries").alias("e")).select(
+                    "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
         recs = recommender_batch(batch, history, similarity, top_similar, catalog, last, params)
         packed = neighbors.pack_recommendations(recs)
         entries = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(
             F.struct("slot", "item_id", "priority"))).alias("entries"))
-        write_batch_partition(packed.join(entries, "user_id"), out_path, batch_id)
+        write_batch_partition(packed.join(entries, "user_id"), f"{out_path}/log", batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(spark, out_path, batch_id)
 
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
 

@@ -79,7 +79,7 @@ def test_recommender_stream_upserts(spark, tmpdir_path):
     msgs = streams.rating_message_stream(spark, SF001)
     P.start_recommender(spark, msgs, hist, sim, top, cat, out, os.path.join(tmpdir_path, "ck"),
                         NOW, neighbors.VARIANT_B1).awaitTermination()
-    cur = P.latest_per_key(spark, out, ["user_id"])
+    cur = P.current_lists(spark, out)
     known = fixtures.rating_events(spark, SF001).select("user_id").distinct() \
         .join(hist.select("user_id"), "user_id", "left_semi").count()
     assert cur.select("user_id").distinct().count() == known
@@ -149,7 +149,7 @@ def test_recommender_stream_equals_batch_and_replay_is_idempotent(spark, tmpdir_
     ck = os.path.join(tmpdir_path, "ck")
     P.start_recommender(spark, streams.rating_message_stream(spark, SF001), hist, sim, top, basic, out, ck,
                         NOW, neighbors.VARIANT_B1).awaitTermination()
-    got = spark.read.parquet(out).select("user_id", F.explode("entries").alias("e")).select(
+    got = P.current_lists(spark, out).select("user_id", F.explode("entries").alias("e")).select(
         "user_id", "e.item_id", "e.slot", F.round("e.priority", 9).alias("priority"))
     # batch form over the same events (one micro-batch holds them all)
     p = neighbors.VARIANT_B1
@@ -161,12 +161,38 @@ def test_recommender_stream_equals_batch_and_replay_is_idempotent(spark, tmpdir_
     want = neighbors.supplement(merged, anchors, basic, hist, max_slots=p["n"]).select(
         "user_id", "item_id", "slot", F.round("priority", 9).alias("priority"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    before = spark.read.parquet(out).count()
+    before = spark.read.parquet(out + "/log").count()
     P.start_recommender(spark, streams.rating_message_stream(spark, SF001), hist, sim, top, basic, out, ck,
                         NOW, neighbors.VARIANT_B1).awaitTermination()
-    assert spark.read.parquet(out).count() == before
+    assert spark.read.parquet(out + "/log").count() == before
 
 
 def ratings_latest(h):
     from tastespark.operators.ratings import latest_rating
     return latest_rating(h)
+
+
+def test_recommender_compaction_chains_lists(spark, tmpdir_path):
+    """Three micro-batches with compaction after every batch: the snapshot plus the
+    log gives each user's newest list, and later batches merge with earlier lists."""
+    cat = fixtures.catalog(spark, SF001)
+    basic = fixtures.catalog_basic(spark, SF001)
+    sim, top = content.similarity_tables(cat, 0.4, 10)
+    hist = fixtures.ratings(spark, SF001).select("user_id", "item_id", "rating", "ts")
+    src = os.path.join(tmpdir_path, "msgs")
+    os.makedirs(src)
+    users = [r.user_id for r in hist.select("user_id").distinct().orderBy("user_id").limit(3).collect()]
+    for i, u in enumerate(users + users[:1]):
+        with open(os.path.join(src, f"m{i}.txt"), "w") as f:
+            f.write(f"{u},1,4.0,{1700000000000 + i}\n")
+    msgs = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    out = os.path.join(tmpdir_path, "recs")
+    P.start_recommender(spark, msgs, hist, sim, top, basic, out, os.path.join(tmpdir_path, "ck"), NOW,
+                        neighbors.VARIANT_B1, compact_every=1).awaitTermination()
+    cur = P.current_lists(spark, out)
+    assert sorted(r.user_id for r in cur.select("user_id").collect()) == sorted(users)
+    # the first user came back in the last batch: its current list is that batch's
+    first = cur.filter(F.col("user_id") == users[0]).first()
+    assert first.batch_id == 3
+    snap = spark.read.parquet(out + "/snapshot")
+    assert snap.agg(F.max("version")).first()[0] == 3
