@@ -93,3 +93,17 @@ def attach_titles(df: DataFrame, titles: DataFrame, id_col: str = "item_id",
 
     t = titles.select(F.col("id").alias(id_col), F.col("name").alias("title"))
     return df.join(guarded_broadcast(t, max_broadcast_rows), id_col, "left")
+
+
+def running_totals_by_day(orders: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """STR4 batch equivalent: per product and day, the cumulative count and price
+    through that day -- the state a day-batched stream holds after each batch.
+    Orders are pre-aggregated per (product, day) first; the running window then
+    holds one row per day of one product (bounded by the calendar span)."""
+    from pyspark.sql import Window
+
+    daily = orders.groupBy("id", F.to_date(F.col(ts_col)).cast("timestamp_ntz").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_day"), F.sum("price").alias("price_day"))
+    w = Window.partitionBy("id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select("id", "day", F.sum("n_day").over(w).alias("n_orders"),
+                        F.sum("price_day").over(w).alias("total_price"))

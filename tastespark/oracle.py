@@ -330,7 +330,7 @@ union all select user_id, item_id, rating from my_ratings where rating > 0""",
     "recent_ratings_k5": with_(RATINGS) + """select user_id, item_id, rating, ts, cast(rank as integer) as rank from (
   select *, row_number() over (partition by user_id order by ts desc, item_id) as rank from ratings)
 where rank <= 5""",
-    "user_history": with_(RATINGS) + """select user_id, item_id, rating, ts, cast(rank as integer) as rank,
+    "user_history": with_(RATINGS) + """select user_id, item_id, rating, ts, cast(rank as bigint) as rank,
   rank = 1 as is_anchor from (
   select *, row_number() over (partition by user_id order by ts desc, item_id) as rank from ratings)""",
     "unseen_candidates": with_(CATALOG, MY_RATINGS)
@@ -430,3 +430,12 @@ select genre, id, score, cast(pool_rank as integer) as pool_rank from (
   select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from rating_events)
 where rn = 1""",
 })
+
+ORACLES["running_totals"] = with_(ORDER_EVENTS) + """select id, day,
+  cast(sum(n_day) over (partition by id order by day rows between unbounded preceding and current row) as bigint)
+    as n_orders,
+  cast(sum(price_day) over (partition by id order by day rows between unbounded preceding and current row) as bigint)
+    as total_price
+from (select cast(id as varchar) as id, cast(cast(ts as date) as timestamp) as day, count(*) as n_day,
+             sum(price) as price_day
+      from order_events group by 1, 2)"""

@@ -465,3 +465,9 @@ def q_genre_pools(spark, sf_dir):
 def q_latest_events(spark, sf_dir):
     """Q22: the newest rating event of each user (what one batch recomputes)."""
     return neighbors.latest_event_per_user(fixtures.rating_events(spark, sf_dir))
+
+
+@register("running_totals")
+def q_running_totals(spark, sf_dir):
+    """STR4 / SNK7: cumulative per-product count and price after each day of orders."""
+    return segments.running_totals_by_day(segments.parse_orders(fixtures.order_payloads(spark, sf_dir)))
