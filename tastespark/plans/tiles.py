@@ -189,3 +189,36 @@ def mirror_pairs(pairs: DataFrame, a: str = "id1", b: str = "id2", v: str = "sim
     both = F.explode(F.array(F.struct(F.col(a).alias(a), F.col(b).alias(b)),
                              F.struct(F.col(b).alias(a), F.col(a).alias(b)))).alias("_p")
     return pairs.select(both, v).select(F.col(f"_p.{a}").alias(a), F.col(f"_p.{b}").alias(b), v)
+
+
+def score_block_pairs(left: DataFrame, right: DataFrame, scorer: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+                      out_schema: StructType, block_size: int = 4096,
+                      n_left: int | None = None, n_right: int | None = None) -> DataFrame:
+    """Bipartite form of the tile plan: every (left block, right block) pair is
+    scored in one task.  ``left`` and ``right`` share one schema (an ``id``
+    column plus payload); left rows are replicated to the right block count and
+    right rows to the left block count, range-partitioned by a dense pair index
+    (one shuffle), and ``scorer(left_block, right_block)`` returns the selected
+    rows.  No cross join; a task holds two blocks."""
+    n_left = left.count() if n_left is None else n_left
+    n_right = right.count() if n_right is None else n_right
+    tl, tr = n_tiles_for(n_left, block_size), n_tiles_for(n_right, block_size)
+    blk = lambda t: F.pmod(F.xxhash64(F.col("id")), F.lit(t)).cast("int")
+    lrep = left.select("*", F.lit(0).alias("_side"), blk(tl).alias("_b"),
+                       F.explode(F.sequence(F.lit(0), F.lit(tr - 1))).alias("_o")) \
+        .withColumn(PAIR, F.col("_b") * tr + F.col("_o")).drop("_b", "_o")
+    rrep = right.select("*", F.lit(1).alias("_side"), blk(tr).alias("_b"),
+                        F.explode(F.sequence(F.lit(0), F.lit(tl - 1))).alias("_o")) \
+        .withColumn(PAIR, F.col("_o") * tr + F.col("_b")).drop("_b", "_o")
+    rep = lrep.unionByName(rrep).repartitionByRange(min(tl * tr, MAX_PAIR_PARTITIONS), PAIR)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["_side"].to_numpy()
+        body = pdf.drop(columns=["_side", PAIR])
+        lb = body[side == 0].sort_values("id", kind="stable").reset_index(drop=True)
+        rb = body[side == 1].sort_values("id", kind="stable").reset_index(drop=True)
+        if len(lb) == 0 or len(rb) == 0:
+            return pd.DataFrame({f.name: pd.Series(dtype=_np_dtype(f)) for f in out_schema.fields})
+        return scorer(lb, rb)
+
+    return rep.groupBy(PAIR).applyInPandas(run, out_schema)
