@@ -71,7 +71,7 @@ SIMILAR_TABLE_THRESHOLD = 0.6
 
 def _sim_tables(spark, sf_dir):
     cat = fixtures.catalog(spark, sf_dir)
-    sim, top = content.similarity_tables(cat, min_similarity=0.4, top_n=10)
+    sim, top = content.similarity_tables(cat, min_similarity=0.4, top_n=10, unordered=True)
     return cat, sim, top
 
 
@@ -95,7 +95,8 @@ def _scores_b(spark, sf_dir, params, hist=None):
     cat = fixtures.catalog_basic(spark, sf_dir)
     return neighbors.neighbor_score_b(ev.select("user_id"), hist, top, sim, cat, n=params["n"],
                                       min_similarity=params["min_similarity"],
-                                      score_cut=params["score_cut"], score_source=params["score_source"])
+                                      score_cut=params["score_cut"], score_source=params["score_source"],
+                                      unordered_similarity=True)
 
 
 @register("neighbor_score_a")
