@@ -112,7 +112,8 @@ def split_batch(batch: DataFrame, batch_id: int, rejects_path: str | None) -> Da
 
 
 def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFrame, top_similar: DataFrame,
-                      catalog: DataFrame, last: DataFrame | None, params: dict | None = None) -> DataFrame:
+                      catalog: DataFrame, last: DataFrame | None, params: dict | None = None,
+                      unordered_similarity: bool = False) -> DataFrame:
     """P5 variant B for one batch: users of the batch (latest event each, Q22),
     scores (RC15/RC16), merge with their last list (RC17), supplement (RC18)."""
     params = params or neighbors.VARIANT_B1
@@ -120,7 +121,8 @@ def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFram
     users = neighbors.latest_event_per_user(users).select("user_id")
     now = neighbors.neighbor_score_b(users, history, top_similar, similarity, catalog, n=params["n"],
                                      min_similarity=params["min_similarity"], score_cut=params["score_cut"],
-                                     score_source=params["score_source"])
+                                     score_source=params["score_source"],
+                                     unordered_similarity=unordered_similarity)
     if last is not None:
         merged = neighbors.merge_decayed(now, last, params["n"])
     else:
@@ -143,7 +145,9 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
     """
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "recommender-ckpt")
-    similarity = pin_static(similarity, ["id1", "id2"])
+    # the similarity table is symmetric: keep each pair once (id1 < id2) and look
+    # it up on normalised keys, which halves the cached static side
+    similarity = pin_static(similarity.filter(F.col("id1") < F.col("id2")), ["id1", "id2"])
     history = pin_static(history, ["user_id"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -156,7 +160,8 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
             last = prev.join(batch.select("user_id").distinct(), "user_id", "left_semi") \
                 .select("user_id", F.explode("entries").alias("e")).select(
                     "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
-        recs = recommender_batch(batch, history, similarity, top_similar, catalog, last, params)
+        recs = recommender_batch(batch, history, similarity, top_similar, catalog, last, params,
+                                 unordered_similarity=True)
         packed = neighbors.pack_recommendations(recs)
         entries = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(
             F.struct("slot", "item_id", "priority"))).alias("entries"))
