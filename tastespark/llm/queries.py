@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastespark.llm import bpe, mixing
+from tastespark.llm import bpe, lines, mixing
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -20,6 +21,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup: lines, lines removed, and the remaining text's digest and length, per document."""
+    clean = lines.dedup_lines(documents(spark, sf_dir))
+    return clean.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text")).alias("clean_md5"),
+                        F.length("text").cast("bigint").alias("clean_chars"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE: token count and digests of ids and decoded text, per document."""
     return bpe.encode_documents(documents(spark, sf_dir), TOKENIZER)
@@ -27,6 +35,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op7_line_dedup": op7_line_dedup,
     "op10_bpe": op10_bpe,
 }
 
@@ -60,3 +69,26 @@ SELECT u.doc_id, u.size, b.s AS source_size, b.target, u.size * (b.q + (e.h IS N
 FROM units u JOIN budgets b ON u.source IS NOT DISTINCT FROM b.source
 LEFT JOIN extra e ON u.source IS NOT DISTINCT FROM e.source AND u.h = e.h
 """
+
+ORACLES["op7_line_dedup"] = """
+WITH l AS (
+  SELECT doc_id, text, i, string_split(text, chr(10))[i + 1] AS line
+  FROM documents, LATERAL (SELECT unnest(range(len(string_split(text, chr(10))))) AS i)),
+full_lines AS (
+  SELECT doc_id, text, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM l
+  WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+windows AS (
+  SELECT doc_id, i AS a, lead(i, 1) OVER w AS b, lead(i, 2) OVER w AS c,
+    t || chr(10) || lead(t, 1) OVER w || chr(10) || lead(t, 2) OVER w AS key
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, a) AS n FROM windows WHERE c IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([a, b, c]) AS i FROM ranked WHERE n > 1),
+kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+    COALESCE(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS clean
+  FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT d.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0) AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN md5(clean) END AS clean_md5, CASE WHEN d.text IS NOT NULL THEN length(clean) END AS clean_chars
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
