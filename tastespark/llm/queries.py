@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastespark.llm import bpe, lines, mixing
+from tastespark.io import table
+from tastespark.llm import bpe, lines, mixing, quality
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -28,6 +29,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("text").cast("bigint").alias("clean_chars"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality: classifier evidence, site prior, posterior and decision, per document."""
+    return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE: token count and digests of ids and decoded text, per document."""
     return bpe.encode_documents(documents(spark, sf_dir), TOKENIZER)
@@ -36,6 +42,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op7_line_dedup": op7_line_dedup,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 
