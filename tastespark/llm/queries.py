@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import bpe, lines, mixing, quality
+from tastespark.llm import bpe, lines, mixing, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -22,6 +22,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC: every page written as a record and read back through the capture index."""
+    store = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_all(spark, store).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup: lines, lines removed, and the remaining text's digest and length, per document."""
     clean = lines.dedup_lines(documents(spark, sf_dir))
@@ -41,6 +47,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_warc": op2_warc,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
