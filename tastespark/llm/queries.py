@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import bpe, lines, mixing, quality, warc
+from tastespark.llm import ann, bpe, lines, mixing, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -28,6 +28,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_all(spark, store).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest neighbours: for every vector whose id is divisible by 50, the 5 nearest found among all."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup: lines, lines removed, and the remaining text's digest and length, per document."""
     clean = lines.dedup_lines(documents(spark, sf_dir))
@@ -48,6 +53,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc": op2_warc,
+    "op3_nearest": op3_nearest,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
