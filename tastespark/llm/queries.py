@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import ann, bpe, lines, mixing, quality, warc
+from tastespark.llm import ann, bpe, lines, mixing, neardup, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -33,6 +33,11 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of a label: links, component and whether it is kept, per vector."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup: lines, lines removed, and the remaining text's digest and length, per document."""
     clean = lines.dedup_lines(documents(spark, sf_dir))
@@ -54,6 +59,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc": op2_warc,
     "op3_nearest": op3_nearest,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
