@@ -19,7 +19,7 @@ def prepare(spark: SparkSession) -> None:
     """Ship the package to the executors and bound the rows of one Arrow batch,
     so that a batch of long texts fits in a worker's memory."""
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import ann, bpe, lines, mixing, neardup, quality, warc
+from tastespark.llm import ann, bpe, lines, mixing, neardup, ngram_join, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -38,6 +38,11 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jaccard join on 5-word shingles at 0.8: size of the set and component, per document."""
+    return ngram_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup: lines, lines removed, and the remaining text's digest and length, per document."""
     clean = lines.dedup_lines(documents(spark, sf_dir))
@@ -60,6 +65,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_nearest": op3_nearest,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
