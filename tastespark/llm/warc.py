@@ -204,8 +204,8 @@ def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "pa
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                page = None if pd.isna(r.page_id) else int(r.page_id)
-                first = None if pd.isna(r.refers_to) else int(r.refers_to)
+                page = None if r.page_id is None else int(r.page_id)
+                first = None if r.refers_to is None else int(r.refers_to)
                 data = record_bytes(page, r.url, bytes(r.payload), base32_sha1(bytes.fromhex(r.digest)), first, bool(r.revisit), date)
                 if out is None:
                     uri, out = _task_file(archives, "warc.gz")
@@ -220,7 +220,10 @@ def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "pa
         if out is not None:
             out.close()
 
-    entries = stored(record_plan(pages, page_id, url, html, min_bytes).mapInPandas(write, ENTRY), "warc-entries")
+    # ids pass through Python as strings: long ids beside nulls would become floating point numbers
+    plan = record_plan(pages, page_id, url, html, min_bytes).withColumns(
+        {c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    entries = stored(plan.mapInPandas(write, ENTRY), "warc-entries")
 
     def write_index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         uri = out = None
@@ -237,7 +240,7 @@ def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "pa
 
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                pending.append((r.key, "" if pd.isna(r.page_id) else int(r.page_id), r.file, r.offset, r.length))
+                pending.append((r.key, r.page_id or "", r.file, r.offset, r.length))
             made = [block(pending[i:i + block_lines]) for i in range(0, len(pending) - block_lines + 1, block_lines)]
             pending = pending[len(made) * block_lines:]
             yield pd.DataFrame(made, columns=["first_key", "last_key", "file", "offset", "length", "n"])
@@ -249,7 +252,7 @@ def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "pa
     key = F.regexp_replace("key", "[\t\n\r]", " ").alias("key")
     ordered = entries.select(key, "page_id", "file", "offset", "length").repartitionByRange(
         parallelism(spark), "key", "page_id", "file", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
-    ordered.mapInPandas(write_index, "first_key string, last_key string, file string, offset bigint, length bigint, n bigint") \
+    ordered.withColumn("page_id", F.col("page_id").cast("string")).mapInPandas(write_index, "first_key string, last_key string, file string, offset bigint, length bigint, n bigint") \
         .write.parquet(store.directory)
     return store
 
