@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import ann, bpe, lines, mixing, neardup, ngram_join, quality, warc
+from tastespark.llm import ann, bpe, lines, mixing, neardup, ngram_join, pii, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -43,6 +43,15 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data: counts and digest of the base spans, and all spans, per document."""
+    found = pii.find_spans(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "spans")
+    base = pii.strict(F.col("spans"))
+    return found.select("doc_id", *[pii.count_kind(base, k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup: lines, lines removed, and the remaining text's digest and length, per document."""
     clean = lines.dedup_lines(documents(spark, sf_dir))
@@ -66,6 +75,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest": op3_nearest,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_pii": op6_pii,
     "op7_line_dedup": op7_line_dedup,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
