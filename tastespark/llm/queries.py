@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import ann, bpe, lines, mixing, neardup, ngram_join, pii, quality, warc
+from tastespark.llm import ann, bpe, chat, lines, mixing, neardup, ngram_join, pii, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -59,6 +59,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("text").cast("bigint").alias("clean_chars"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat formatting: body without quotations, reply, thread and depth, per message."""
+    return chat.format_chat(table(spark, sf_dir, "conversations")).drop("text")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality: classifier evidence, site prior, posterior and decision, per document."""
     return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
@@ -77,6 +82,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_pii": op6_pii,
     "op7_line_dedup": op7_line_dedup,
+    "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
@@ -134,3 +140,56 @@ SELECT d.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0) AS n_re
   CASE WHEN d.text IS NOT NULL THEN md5(clean) END AS clean_md5, CASE WHEN d.text IS NOT NULL THEN length(clean) END AS clean_chars
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+ORACLES["op8_chat"] = r"""
+WITH RECURSIVE messages AS (
+  SELECT DISTINCT conv_id AS conv, turn, text FROM conversations WHERE text IS NOT NULL),
+numbered AS (
+  SELECT conv, turn, text, i, string_split_regex(text, '\r?\n')[i] AS line, string_split_regex(text, '\r?\n')[i + 1] AS next_line
+  FROM messages, LATERAL (SELECT unnest(range(1, len(string_split_regex(text, '\r?\n')) + 1)) AS i)),
+parsed AS (
+  SELECT conv, turn, text, i, line,
+    length(regexp_replace(regexp_extract(line, '^([ \t]*>)*'), '[^>]', '', 'g')) AS level,
+    regexp_matches(line, '(?i)\bwrote:[ \t]*$')
+      AND COALESCE(length(regexp_replace(regexp_extract(next_line, '^([ \t]*>)*'), '[^>]', '', 'g')), 0) > 0 AS attribution,
+    trim(regexp_replace(lower(regexp_replace(line, '^([ \t]*>)*', '')), '[ \t\x0B\f\r]+', ' ', 'g')) AS norm
+  FROM numbered),
+runs AS (
+  SELECT *, sum((norm = '' OR COALESCE(before, -1) <> level)::INT) OVER (PARTITION BY conv, turn, text ORDER BY i) AS run
+  FROM (SELECT *, lag(level) OVER (PARTITION BY conv, turn, text ORDER BY i) AS before FROM parsed)),
+quoted AS (SELECT * FROM runs WHERE level > 0 AND norm <> '' AND conv IS NOT NULL AND turn IS NOT NULL),
+quotes AS (
+  SELECT conv, turn, text, level, string_agg(norm, ' ' ORDER BY i) AS piece FROM quoted GROUP BY conv, turn, text, level, run
+  UNION ALL SELECT conv, turn, text, level, norm FROM quoted),
+own AS (
+  SELECT conv, turn, text, i, norm, sum((norm = '')::INT) OVER (PARTITION BY conv, turn, text ORDER BY i) AS run
+  FROM parsed WHERE level = 0 AND NOT attribution AND conv IS NOT NULL AND turn IS NOT NULL),
+units AS (
+  SELECT conv, turn, string_agg(norm, ' ' ORDER BY i) AS piece FROM own WHERE norm <> '' GROUP BY conv, turn, text
+  UNION SELECT conv, turn, string_agg(norm, ' ' ORDER BY i) FROM own WHERE norm <> '' GROUP BY conv, turn, text, run
+  UNION SELECT conv, turn, norm FROM own WHERE norm <> ''),
+linked AS (
+  SELECT q.conv, q.turn, q.text, q.level, length(q.piece) AS weight,
+    (SELECT max(u.turn) FROM units u WHERE u.conv = q.conv AND u.piece = q.piece AND u.turn < q.turn) AS source
+  FROM quotes q),
+votes AS (
+  SELECT conv, turn, text, level, source, sum(weight) AS weight FROM linked WHERE source IS NOT NULL GROUP BY ALL),
+reply AS (
+  SELECT conv, turn, text, source AS reply_to FROM votes
+  QUALIFY row_number() OVER (PARTITION BY conv, turn, text ORDER BY level, weight DESC, source DESC) = 1),
+parents AS (SELECT conv, turn, max(reply_to) AS up FROM reply GROUP BY conv, turn),
+chain AS (
+  SELECT conv, turn, up AS thread, 1::BIGINT AS depth FROM parents
+  UNION ALL SELECT c.conv, c.turn, p.up, c.depth + 1 FROM chain c JOIN parents p ON p.conv = c.conv AND p.turn = c.thread),
+roots AS (SELECT conv, turn, min(thread) AS thread, max(depth) AS depth FROM chain GROUP BY conv, turn),
+bodies AS (
+  SELECT conv, turn, text, regexp_replace(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (level = 0 AND NOT attribution), ''), '^\s+|\s+$', '', 'g') AS clean,
+    count(*) FILTER (level > 0) AS n_quotes, max(level) AS max_level FROM parsed GROUP BY conv, turn, text)
+SELECT m.conv_id, m.turn, m.role, CASE WHEN COALESCE(b.n_quotes, 0) > 0 THEN b.clean ELSE m.text END AS body,
+  COALESCE(b.n_quotes, 0) AS n_quotes, COALESCE(b.max_level, 0)::BIGINT AS max_level, r.reply_to,
+  COALESCE(t.thread, m.turn) AS thread, COALESCE(t.depth, 0) AS depth
+FROM conversations m
+LEFT JOIN bodies b ON b.conv IS NOT DISTINCT FROM m.conv_id AND b.turn IS NOT DISTINCT FROM m.turn AND b.text = m.text
+LEFT JOIN reply r ON r.conv = m.conv_id AND r.turn = m.turn AND r.text = m.text
+LEFT JOIN roots t ON r.reply_to IS NOT NULL AND t.conv = m.conv_id AND t.turn = m.turn
+"""
