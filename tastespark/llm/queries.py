@@ -60,8 +60,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chat formatting: body without quotations, reply, thread and depth, per message."""
-    return chat.format_chat(table(spark, sf_dir, "conversations")).drop("text")
+    """Chat formatting: body without quotations, the turn replied to (its own for none), thread and depth, per message."""
+    formatted = chat.format_chat(table(spark, sf_dir, "conversations"))
+    return formatted.drop("text").withColumn("reply_to", F.coalesce("reply_to", "turn"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +187,7 @@ bodies AS (
   SELECT conv, turn, text, regexp_replace(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (level = 0 AND NOT attribution), ''), '^\s+|\s+$', '', 'g') AS clean,
     count(*) FILTER (level > 0) AS n_quotes, max(level) AS max_level FROM parsed GROUP BY conv, turn, text)
 SELECT m.conv_id, m.turn, m.role, CASE WHEN COALESCE(b.n_quotes, 0) > 0 THEN b.clean ELSE m.text END AS body,
-  COALESCE(b.n_quotes, 0) AS n_quotes, COALESCE(b.max_level, 0)::BIGINT AS max_level, r.reply_to,
+  COALESCE(b.n_quotes, 0) AS n_quotes, COALESCE(b.max_level, 0)::BIGINT AS max_level, COALESCE(r.reply_to, m.turn) AS reply_to,
   COALESCE(t.thread, m.turn) AS thread, COALESCE(t.depth, 0) AS depth
 FROM conversations m
 LEFT JOIN bodies b ON b.conv IS NOT DISTINCT FROM m.conv_id AND b.turn IS NOT DISTINCT FROM m.turn AND b.text = m.text
