@@ -77,7 +77,22 @@ def set_hash(s: np.ndarray) -> int:
     return int(mix64(each.sum(keepdims=True, dtype=np.uint64)).view(np.int64)[0])
 
 
-def parity_sketch(s: np.ndarray, bits: int = 1024) -> bytes:
-    """Parity of the number of elements in each of ``bits`` classes: the sketches of two sets differ in
-    at most as many bits as the sets differ in elements."""
-    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+def parity_sketch(s: np.ndarray, least: int = 256, most: int = 4096) -> bytes:
+    """Parity of the number of elements in each class of hashes: the sketches of two sets differ in at
+    most as many bits as the sets differ in elements.  Four bits an element, rounded up to a power of two
+    between ``least`` and ``most``; a longer sketch folds to a shorter one by exclusive or of its halves."""
+    bits = min(most, max(least, 1 << (4 * max(len(s), 1) - 1).bit_length()))
+    counts = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def stacked_sketches(sketches) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the shortest."""
+    sizes = np.fromiter((len(x) for x in sketches), dtype=np.int64, count=len(sketches))
+    width = int(sizes.min()) // 8
+    out = np.empty((len(sizes), width), dtype=np.uint64)
+    for size in np.unique(sizes):
+        which = np.flatnonzero(sizes == size)
+        words = np.frombuffer(b"".join([sketches[i] for i in which]), dtype=np.uint64).reshape(len(which), -1, width)
+        out[which] = np.bitwise_xor.reduce(words, axis=1)
+    return out

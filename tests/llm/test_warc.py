@@ -1,0 +1,76 @@
+"""Archives: exact round trip, revisits, lookups."""
+
+import base64
+import hashlib
+import zlib
+
+import pytest
+
+from tastespark.llm import warc
+
+SCHEMA = "page_id long, url string, html string, payload string, digest string"
+ROWS = [(5, "http://www.A.org:80/x?q=1#f", "<p>é</p>", "p", "d"), (3, "https://b.a.org/", "dup", None, None), (2, "https://b.a.org/", "dup", None, None),
+        (9, None, "dup", None, None), (7, "http://10.0.0.1:8080/a b\tc", None, None, None), (8, "not a url", "", None, None),
+        (1 << 60, "http://z", "long" * 50_000, None, None), (None, "http://z", "dup", None, None), (None, "http://y", "only", None, None), (2, "https://b.a.org/", "dup", None, None)]
+
+
+def plain(rows):
+    first = {}
+    for r in rows:
+        p = r[2] or ""
+        if r[0] is not None:
+            first[p] = min(first.get(p, r[0]), r[0])
+    out = []
+    for r in rows:
+        p = r[2] or ""
+        b = p.encode()
+        revisit = p in first and first[p] != r[0]
+        out.append((r[0], len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if revisit else "response", first[p] if revisit else None))
+    return sorted(map(repr, out))
+
+
+@pytest.fixture(scope="module")
+def store(make):
+    return warc.write_archives(make(ROWS, SCHEMA).repartition(3), block_lines=2)
+
+
+def test_round_trip(spark, store):
+    got = warc.read_all(spark, store, with_payload=True).collect()
+    assert all(r.intact for r in got)
+    assert sorted(repr((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in got) == plain(ROWS)
+    texts = {r.page_id: bytes(r.payload).decode() for r in got if r.record_type == "response"}
+    assert texts[1 << 60] == "long" * 50_000 and texts[7] == "" and texts[5] == "<p>é</p>"
+
+
+def test_lookup(make, store):
+    got = warc.lookup(store, make([("https://b.a.org/",), ("http://a.org/",), ("http://www.a.org/x?q=1",), (None,)], "url string")).collect()
+    assert sorted(str(r.page_id) for r in got) == ["2", "2", "3", "5", "9"]
+
+
+def test_smaller_payloads_are_all_responses(spark, make):
+    s = warc.write_archives(make(ROWS, SCHEMA), min_bytes=4)
+    assert {r.record_type for r in warc.read_all(spark, s).collect()} == {"response"}
+
+
+def test_archives_are_plain_gzip_members(spark, store):
+    entry = warc.index_entries(spark, store).collect()[0]
+    fs, path = warc.open_store(entry.file)
+    with fs.open_input_file(path) as f:
+        data, members = f.read(), 0
+    while data:
+        z = zlib.decompressobj(31)
+        assert z.decompress(data).startswith(b"WARC/1.1\r\n")
+        data, members = z.unused_data, members + 1
+    assert members > 0
+
+
+def test_keys_sort_by_reversed_host():
+    assert warc.capture_key("https://user@WWW.Example.com:443/a?b#c") == "com,example,www)/a?b"
+    assert warc.capture_key("http://example.com:8080") == "com,example:8080)/"
+    assert warc.capture_key("http://10.1.2.3/x") == "10.1.2.3)/x"
+    assert warc.capture_key("http://[bad") == "http://[bad" and warc.capture_key(None) == ""
+
+
+def test_empty(spark, make):
+    s = warc.write_archives(make([], SCHEMA))
+    assert warc.read_all(spark, s).count() == 0
