@@ -20,6 +20,12 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="session")
+def make(spark):
+    """Small tables: make(rows, schema)."""
+    return lambda rows, schema: spark.createDataFrame(rows, schema)
+
+
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="tastespark-test-")
