@@ -61,6 +61,32 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+class _Steps(dict):
+    """One state's transitions; missing ones follow the suffix links and are remembered."""
+
+    __slots__ = ("model", "link")
+
+    def __missing__(self, c: str) -> int:
+        steps = self.model.step
+        nxt = 0 if self is steps[0] else steps[self.link][c]
+        self[c] = nxt
+        return nxt
+
+
+class _Borders(dict):
+    """Of one token: whether the border after each earlier token holds (-1: the word's start)."""
+
+    __slots__ = ("model", "token")
+
+    def __missing__(self, before: int) -> bool:
+        ok = before < 0 or self.model.border_holds(before, self.token)
+        if self.model.known >= CACHED_PAIRS:
+            self.model.forget_borders()
+        self.model.known += 1
+        self[before] = ok
+        return ok
+
+
 class PrefixEncoder:
     """Encodes and decodes with one tokenizer file."""
 
@@ -79,8 +105,9 @@ class PrefixEncoder:
         self.byte = byte_alphabet()
         self._merges(model["merges"])
         self._automaton()
+        self.decimal = {i: str(i) for i in self.token}
         self.cache: dict[str, tuple[int, str, str]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     # -- the model ---------------------------------------------------------
 
@@ -112,10 +139,10 @@ class PrefixEncoder:
             if t not in self.parts:
                 self.usable.add(t)
         for t, (a, b, r) in sorted(self.parts.items(), key=lambda x: x[1][2]):
-            if a in self.usable and b in self.usable and self._border_holds(a, b, r):
+            if a in self.usable and b in self.usable and self.border_holds(a, b, r):
                 self.usable.add(t)
 
-    def _border_holds(self, a: int, b: int, before: int | None = None) -> bool:
+    def border_holds(self, a: int, b: int, before: int | None = None) -> bool:
         """No merge crosses the border between ``a`` and ``b`` (with ``before``: none of a smaller rank)."""
         rank = self.rank
         for x, x_until in self.right[a]:
@@ -126,10 +153,13 @@ class PrefixEncoder:
         return True
 
     def _automaton(self) -> None:
-        """Trie with suffix links; ``ends[state]`` lists (length, token) longest first."""
+        """Trie with suffix links; ``ends[state]`` lists (length, token, its borders), longest first."""
         n = len(self.suffix)
-        self.step: list[dict[str, int]] = [{}]
-        own: list[tuple[int, int] | None] = [None]
+        self.known = 0
+        self.borders: dict[int, _Borders] = {}
+        self.length = dict.fromkeys(self.vocab.values(), 0)
+        step: list[_Steps] = [_Steps()]
+        own: list[tuple | None] = [None]
         for text, t in self.vocab.items():
             if t not in self.usable:
                 continue
@@ -137,75 +167,68 @@ class PrefixEncoder:
                 text = text[:-n] + END
             s = 0
             for c in text:
-                if c not in self.step[s]:
-                    self.step[s][c] = len(self.step)
-                    self.step.append({})
+                if c not in step[s]:
+                    step[s][c] = len(step)
+                    step.append(_Steps())
                     own.append(None)
-                s = self.step[s][c]
-            own[s] = (len(text), t)
-        self.link = [0] * len(self.step)
-        self.ends: list[tuple] = [()] * len(self.step)
-        queue = deque(self.step[0].values())
-        for s in queue:
-            self.ends[s] = (own[s],) if own[s] else ()
+                s = step[s][c]
+            self.borders[t] = borders = _Borders()
+            borders.model, borders.token = self, t
+            self.length[t] = len(text)
+            own[s] = (len(text), t, borders)
+        self.step = step
+        self.ends: list[tuple] = [()] * len(step)
+        for x in step:
+            x.model, x.link = self, 0
+        queue = deque((s, 0, c) for c, s in step[0].items())
         while queue:
-            s = queue.popleft()
-            for c, nxt in self.step[s].items():
-                f = self.link[s]
-                while f and c not in self.step[f]:
-                    f = self.link[f]
-                self.link[nxt] = self.step[f].get(c, 0)
-                if self.link[nxt] == nxt:
-                    self.link[nxt] = 0
-                self.ends[nxt] = ((own[nxt],) if own[nxt] else ()) + self.ends[self.link[nxt]]
-                queue.append(nxt)
+            s, parent, c = queue.popleft()
+            if parent:
+                f = step[parent].link
+                while f and c not in step[f]:
+                    f = step[f].link
+                step[s].link = dict.get(step[f], c, 0)
+            self.ends[s] = ((own[s],) if own[s] else ()) + self.ends[step[s].link]
+            queue.extend((x, s, d) for d, x in step[s].items())
+
+    def forget_borders(self) -> None:
+        for b in self.borders.values():
+            b.clear()
+        self.known = 0
 
     # -- words ---------------------------------------------------------------
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token: the dynamic programme over its prefixes."""
         symbols = word if word.isascii() and word.isprintable() else "".join([self.byte[b] for b in word.encode("utf-8")])
-        last = [0]                     # last token of each prefix; the end mark makes the final prefix
-        size = [0]
-        step, ends, pairs = self.step, self.ends, self.pairs
-        state = i = 0
+        last = [-1]                    # last token of each prefix; the end mark makes the final prefix
+        step, ends = self.step, self.ends
+        state = 0
         for c in symbols + END:
-            i += 1
-            nxt = step[state].get(c)
-            state = self._follow(state, c) if nxt is None else nxt
-            for length, t in ends[state]:
-                if length == i:
-                    break
-                key = last[i - length] << 20 | t
-                ok = pairs.get(key)
-                if ok is None:
-                    if len(pairs) > CACHED_PAIRS:
-                        pairs.clear()
-                    ok = pairs[key] = self._border_holds(last[i - length], t)
-                if ok:
+            state = step[state][c]
+            for length, t, borders in ends[state]:
+                if borders[last[-length]]:
                     break
             last.append(t)
-            size.append(length)
-        out = []
-        while i > 0:
-            out.append(last[i])
-            i -= size[i]
+        out, length, i = [], self.length, len(symbols) + 1
+        while i:
+            t = last[i]
+            out.append(t)
+            i -= length[t]
         out.reverse()
         return out
 
-    def _follow(self, state: int, c: str) -> int:
-        """The automaton's step by suffix links, remembered for the next time."""
-        s = state
-        while s and c not in self.step[s]:
-            s = self.link[s]
-        self.step[state][c] = nxt = self.step[s].get(c, 0)
-        return nxt
-
     def _word(self, word: str) -> tuple[int, str, str]:
-        ids = self.encode_word(word)
-        if len(self.cache) >= CACHED_WORDS:
+        """Encode a word that the younger cache lacks.  The older generation is asked first; when
+        the younger one is full it becomes the older, so frequent words stay known."""
+        got = self.older.get(word)
+        if got is None:
+            ids = self.encode_word(word)
+            got = (len(ids), " ".join([self.decimal[i] for i in ids]), " ".join([self.token[i] for i in ids]))
+        if len(self.cache) >= CACHED_WORDS // 2:
+            self.older = dict(self.cache)
             self.cache.clear()
-        got = self.cache[word] = (len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids]))
+        self.cache[word] = got
         return got
 
     # -- texts -----------------------------------------------------------------
@@ -269,9 +292,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
     prepare(spark)
     spec = load(tokenizer)
     shared = spark.sparkContext.broadcast({"key": hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest(), "spec": spec})
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" \
+    # ids pass through Python as strings: long ids beside nulls would become floating point numbers
+    rows = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    schema = "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string" \
         + ", ids array<int>" * keep_ids + ", decoded string" * keep_text
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,7 +318,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
                 out["decoded"] = texts
             yield pd.DataFrame(out)
 
-    return rows.mapInPandas(run, schema)
+    out = rows.mapInPandas(run, schema)
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def decode_ids(encoded: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
