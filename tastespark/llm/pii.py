@@ -152,8 +152,9 @@ def features(seg: str, before: str, after: str) -> np.ndarray:
     f[17] = plain and bool(re.fullmatch(r"\+?\(?[0-9]{1,3}\)?[ .-]*\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}", seg))
     f[18] = plain and len(groups) > 1 and len(set(map(len, groups[:-1]))) == 1 and len(groups[0]) == 4
     f[19] = plain and len(groups) == 1
-    f[20] = bool(re.search(r"\w", before))
-    f[21] = bool(re.search(r"\w", after))
+    # a border inside a longer run of the characters that entities are made of
+    f[20] = bool(re.match(r"[\w.%+@-]", before))
+    f[21] = bool(re.match(r"[\w@%+-]", after))
     f[22] = seg.count("(") != seg.count(")")
     f[23] = plain and len({c for c in seg if not c.isdigit() and c not in "+()"}) > 2
     return f
@@ -304,9 +305,10 @@ def train(parts: list[str], epochs: int = 25, seed: int = 5) -> np.ndarray:
         return model.w
     history = np.full_like(model.w, 1e-3)
     for _ in range(epochs):
+        order = rng.permutation(len(data))
         for start in range(0, len(data), 32):
-            batch = [data[x] for x in rng.permutation(len(data))[:32]] if start else data[:32]
-            g = sum(model.gradient(i, y)[1] for i, y in batch) / len(batch) - 1e-3 * model.w
+            batch = [data[x] for x in order[start:start + 32]]
+            g = sum(model.gradient(i, y)[1] for i, y in batch) / len(batch) - 1e-4 * model.w
             history += g * g
             model.w += 0.5 * g / np.sqrt(history)
     return model.w
