@@ -50,7 +50,7 @@ _MARKS = set(_MARK.decode())
 
 
 def text_features(text: str | None) -> tuple[float, ...]:
-    """Shares and ratios of one whole text, each between 0 and about 1."""
+    """Shares, ratios and logarithms of one whole text, each between 0 and a few units."""
     if not text or not (words := text.split()):
         return (0.0,) * len(FEATURES)
     raw, n = text.encode("utf-8", "replace"), len(words)
@@ -61,7 +61,7 @@ def text_features(text: str | None) -> tuple[float, ...]:
 
     lines = text.split("\n")
     tails = [w[-2:] for w in words]
-    return (float(np.log1p(n)) / 10, len(text) / n / 20, share(_UPPER), share(_DIGIT), share(_MARK),
+    return (float(np.log1p(n)) / 10, float(np.log1p(len(text) / n)) / 5, share(_UPPER), share(_DIGIT), share(_MARK),
             sum(map(operator.eq, words, words[1:])) / n, len(set(words)) / n, 1 - len(set(lines)) / len(lines),
             sum(map(_MARKS.__contains__, words)) / n, sum([t[0] in _MARKS and t[-1] in _MARKS for t in tails]) / n)
 

@@ -1,0 +1,81 @@
+"""Chat formatting on hand-made and random conversations; the SQL of the query runs on the same rows."""
+
+import random
+
+import duckdb
+from pyspark.sql import functions as F
+
+from tastespark.llm import chat
+from tastespark.llm.queries import ORACLES, op8_chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+OUT = ["conv_id", "turn", "role", "body", "n_quotes", "max_level", "reply_to", "thread", "depth"]
+
+
+def formatted(make, rows):
+    return {(r.conv_id, r.turn): r for r in chat.format_chat(make(rows, SCHEMA)).collect()}
+
+
+def test_nested_quotes(make):
+    rows = [(1, 0, "user", "Shall we meet on Monday?\n\nBring the  papers."), (1, 1, "assistant", "Tuesday is better."),
+            (1, 2, "user", "On Friday B wrote:\n> tuesday IS better.\n\nFine then."),
+            (1, 3, "assistant", "> Fine then.\n>> Tuesday is better.\nGood."),
+            (1, 4, "user", "> Bring the papers.\nI will.\n> nobody said this"),
+            (2, 0, "user", "> Fine then.\nother conversation")]
+    got = formatted(make, rows)
+    assert got[1, 2].body == "Fine then." and (got[1, 2].reply_to, got[1, 2].thread, got[1, 2].depth) == (1, 1, 1)
+    assert (got[1, 3].reply_to, got[1, 3].thread, got[1, 3].depth, got[1, 3].max_level, got[1, 3].n_quotes) == (2, 1, 2, 2, 2)
+    assert (got[1, 4].reply_to, got[1, 4].body) == (0, "I will.")
+    assert got[2, 0].reply_to is None and got[2, 0].body == "other conversation" and got[2, 0].thread == 0
+
+
+def test_latest_original_and_stretches(make):
+    rows = [(1, t, "u", "same line" if t in (3, 5, 700) else f"line {t}") for t in range(900)]
+    rows = [(c, t, r, "> same line\nyes" if t in (4, 600, 699, 800) else x) for c, t, r, x in rows]
+    got = formatted(make, rows)
+    assert [got[1, t].reply_to for t in (4, 600, 699, 800)] == [3, 5, 5, 700]
+
+
+def test_long_chain(make):
+    rows = [(1, t, "u", (f"> word {t - 1}\n" if t else "") + f"word {t}") for t in range(100)]
+    got = formatted(make, rows)
+    assert all((got[1, t].thread, got[1, t].depth) == (0, t) for t in range(100))
+
+
+def random_rows():
+    rnd = random.Random(4)
+    words = "alpha beta gamma delta eps zeta eta theta".split()
+    rows = []
+    for c in range(25):
+        said = []
+        for t in range(rnd.randint(1, 12)):
+            own = "\n".join(rnd.choice(["", " ".join(rnd.choices(words, k=rnd.randint(1, 4)))]) for _ in range(rnd.randint(1, 4)))
+            text = own
+            if said and rnd.random() < 0.6:
+                q = rnd.choice(said).split("\n")
+                a = rnd.randrange(len(q))
+                marked = [rnd.choice(["> ", ">", " > "]) + x.upper() for x in q[a:rnd.randint(a + 1, len(q))]]
+                text = rnd.choice(["On Monday X wrote:\n", "he said\n", ""]) + "\n".join(marked) + rnd.choice(["\n", "\n\n"]) + own
+            said.append(text)
+            rows.append((c, t, "user", text))
+    return rows + [(None, 1, "user", "> a"), (5, None, "user", "> alpha"), (5, 30, "user", None), rows[7], rows[7], (7, 2, "x", "alpha\r\n> beta"), (8, 40, "u", "")]
+
+
+def test_query_matches_its_sql(spark, make, tmp_path):
+    make(random_rows(), SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(f"select {', '.join(OUT)} from ({ORACLES['op8_chat']})").fetchall()
+    got = op8_chat(spark, str(tmp_path)).select(*OUT).collect()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
+
+
+def test_reply_order_and_columns(make):
+    rows = [(1, 0, "u", "a b"), (1, 1, "u", "c d"), (1, 2, "u", "> a b\ne"), (1, 3, "u", "> c d\nf")]
+    df = make([(*r, "old", 7) for r in rows], SCHEMA + ", body string, extra int")
+    out = chat.format_chat(df)
+    assert out.columns[:5] == ["conv_id", "turn", "role", "text", "extra"] and out.filter("extra = 7").count() == 4
+    ordered = chat.reply_ordered(out, partitions=1).select("turn").collect()
+    assert [r.turn for r in ordered] == [0, 2, 1, 3]
+    assert chat.format_chat(make([], SCHEMA)).count() == 0
+    assert chat.format_chat(df.withColumn("text", F.lit(None).cast("string"))).filter("body IS NULL AND n_quotes = 0").count() == 4
