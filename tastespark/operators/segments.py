@@ -85,14 +85,12 @@ def first_ratings_per_user(ratings: DataFrame, k: int) -> DataFrame:
     return top_k_per_group(ratings, ["user_id"], [F.col("rating").desc(), F.col("item_id").asc()], k, "rank")
 
 
-def attach_titles(df: DataFrame, titles: DataFrame, id_col: str = "item_id",
-                  max_broadcast_rows: int = 5_000_000) -> DataFrame:
-    """JN5: title lookup as a join; the title table is broadcast only when a
-    bounded count proves it small, otherwise a shuffle join is planned."""
-    from ..plans.sizing import guarded_broadcast
-
+def attach_titles(df: DataFrame, titles: DataFrame, id_col: str = "item_id") -> DataFrame:
+    """JN5: title lookup as a join.  Only titles of ids that occur are joined: the
+    semi join's build side is the distinct ids of ``df``, usually a short list."""
     t = titles.select(F.col("id").alias(id_col), F.col("name").alias("title"))
-    return df.join(guarded_broadcast(t, max_broadcast_rows), id_col, "left")
+    needed = t.join(df.select(id_col).distinct(), id_col, "left_semi")
+    return df.join(needed, id_col, "left")
 
 
 def running_totals_by_day(orders: DataFrame, ts_col: str = "ts") -> DataFrame:

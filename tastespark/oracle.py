@@ -61,7 +61,7 @@ RATING_EVENTS = """rating_events AS (
 LAST_RECS = """last_recs AS (
   select c_custkey as user_id, (c_custkey * 13 + k * 17) % (select count(*) from part) as item_id,
          1 + cast((c_custkey * 7 + k * 3) % 80 as double) / 10 as priority
-  from customer, (select unnest(range(10)) as k) where c_custkey < 50)"""
+  from customer, (select unnest(range(10)) as k))"""
 
 ORDER_EVENTS = """order_events AS (
   select l_partkey as id, cast(floor(l_extendedprice) as bigint) as price, l_shipdate as ts from lineitem)"""
@@ -179,7 +179,7 @@ def neighbor_score_a() -> str:
   select c.event_id, c.user_id, c.event_ts, c.item_id, r.recent_rate,
          coalesce(s.similarity, cast(0.6 as double)) as sim
   from cands c join recent r on r.user_id = c.user_id
-  left join sim s on s.id1 = c.item_id and s.id2 = r.recent_item)""", """per AS (
+  left join directed s on s.id1 = c.item_id and s.id2 = r.recent_item)""", """per AS (
   select event_id, user_id, event_ts, item_id, sum(sim * recent_rate) as weighted, count(*) as n_kept,
          count(case when recent_rate >= 3.0 then 1 end) as n_like,
          count(case when recent_rate < 3.0 then 1 end) as n_dislike

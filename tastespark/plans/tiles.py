@@ -27,8 +27,18 @@ PAIR = "_pair"
 MAX_PAIR_PARTITIONS = 20000
 
 
-def n_tiles_for(n_items: int, tile_size: int) -> int:
-    return max(1, math.ceil(n_items / max(1, tile_size)))
+# tiles are not cut smaller than this only to occupy more cores
+MIN_TILE = 256
+
+
+def n_tiles_for(n_items: int, tile_size: int, spread: int = 1) -> int:
+    """Tiles of at most about ``tile_size`` items, and at least ``spread`` of them
+    as long as each keeps ``MIN_TILE`` items."""
+    return max(1, math.ceil(n_items / max(1, tile_size)), min(spread, n_items // MIN_TILE))
+
+
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def replicate_to_tile_pairs(items: DataFrame, id_col: str, n_tiles: int) -> DataFrame:
@@ -52,7 +62,8 @@ def score_tile_pairs(items: DataFrame, id_col: str,
     """
     if n_items is None:
         n_items = items.count()
-    t = n_tiles_for(n_items, tile_size)
+    # t (t + 1) / 2 tile pairs: enough to occupy every core twice
+    t = n_tiles_for(n_items, tile_size, math.ceil(2 * math.sqrt(_cores(items))))
     rep = replicate_to_tile_pairs(items, id_col, t)
     # The scoring stage is CPU-bound while its input is small.  Each tile pair
     # gets a dense index and the rows are range-partitioned on it with an
@@ -61,7 +72,8 @@ def score_tile_pairs(items: DataFrame, id_col: str,
     # one task.  Grouping by the same index reuses that partitioning: no second
     # shuffle.
     n_pairs = t * (t + 1) // 2
-    pair_idx = (F.col(LO) * t - (F.col(LO) * (F.col(LO) - 1)) / 2 + (F.col(HI) - F.col(LO))).cast("int")
+    lo, hi = F.col(LO).cast("bigint"), F.col(HI).cast("bigint")
+    pair_idx = F.shiftright(lo * (F.lit(2 * t + 1) - lo), 1) + (hi - lo)
     rep = rep.withColumn(PAIR, pair_idx).repartitionByRange(min(n_pairs, MAX_PAIR_PARTITIONS), PAIR)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -105,7 +117,7 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
     blocks = []
     mats = [(score, ids_l, ids_r)]
     if one_direction and top_n is None:
-        keep = np.ones(score.shape, dtype=bool) if min_score is None else score >= min_score
+        keep = np.isfinite(score) if min_score is None else np.isfinite(score) & (score >= min_score)
         if same_tile:
             keep &= np.triu(np.ones(score.shape, dtype=bool), k=1)
         r, c = np.nonzero(keep)
@@ -120,9 +132,7 @@ def select_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_t
     for m, a, b in mats:
         if m.size == 0:
             continue
-        keep = np.ones(m.shape, dtype=bool)
-        if same_tile:
-            keep &= np.isfinite(m)
+        keep = np.isfinite(m)
         if min_score is not None:
             keep &= m >= min_score
         if top_n is not None and top_n < m.shape[1]:
@@ -164,8 +174,8 @@ def flag_pairs(score: np.ndarray, ids_l: np.ndarray, ids_r: np.ndarray, same_til
         top21 = top12.T                                  # symmetric scores: column view of the row flags
         keep = np.triu(np.ones(score.shape, dtype=bool), k=1)
     else:
-        top12 = row_top_k(score, top_n)
-        top21 = row_top_k(np.ascontiguousarray(score.T), top_n).T
+        top12 = row_top_k(score, top_n) & np.isfinite(score)
+        top21 = row_top_k(np.ascontiguousarray(score.T), top_n).T & np.isfinite(score)
         keep = np.ones(score.shape, dtype=bool)
     above = score >= min_score
     keep &= above | top12 | top21
@@ -202,8 +212,10 @@ def score_block_pairs(left: DataFrame, right: DataFrame, scorer: Callable[[pd.Da
     rows.  No cross join; a task holds two blocks."""
     n_left = left.count() if n_left is None else n_left
     n_right = right.count() if n_right is None else n_right
-    tl, tr = n_tiles_for(n_left, block_size), n_tiles_for(n_right, block_size)
-    blk = lambda t: F.pmod(F.xxhash64(F.col("id")), F.lit(t)).cast("int")
+    # blocks of both sides: enough pairs to occupy every core, the longer side cut first
+    tr = n_tiles_for(n_right, block_size, 2 * _cores(right))
+    tl = n_tiles_for(n_left, block_size, math.ceil(2 * _cores(right) / tr))
+    blk = lambda t: F.pmod(F.xxhash64(F.col("id")), F.lit(t))
     lrep = left.select("*", F.lit(0).alias("_side"), blk(tl).alias("_b"),
                        F.explode(F.sequence(F.lit(0), F.lit(tr - 1))).alias("_o")) \
         .withColumn(PAIR, F.col("_b") * tr + F.col("_o")).drop("_b", "_o")

@@ -66,13 +66,13 @@ def q_top_similar_items(spark, sf_dir):
 
 # ---- P5 near-real-time scoring, batch form -----------------------------------------------------
 
-# threshold of the similar-items table written by the batch job and read by variant A
+# threshold of the similar-items table written by the batch job, from which variant A takes its candidates
 SIMILAR_TABLE_THRESHOLD = 0.6
 
-def _sim_tables(spark, sf_dir):
-    cat = fixtures.catalog(spark, sf_dir)
-    sim, top = content.similarity_tables(cat, min_similarity=0.4, top_n=10, unordered=True)
-    return cat, sim, top
+
+def _features(spark, sf_dir):
+    """Item features, written once: the candidate search and the pair scorer read them."""
+    return content.item_features(fixtures.catalog(spark, sf_dir)).checkpoint(eager=True)
 
 
 def _history(spark, sf_dir):
@@ -89,27 +89,30 @@ def _ratings_once(spark, sf_dir):
 
 
 def _scores_b(spark, sf_dir, params, hist=None):
-    _, sim, top = _sim_tables(spark, sf_dir)
-    ev = fixtures.rating_events(spark, sf_dir)
+    ev = fixtures.rating_events(spark, sf_dir).select("user_id")
     hist = _history(spark, sf_dir) if hist is None else hist
-    cat = fixtures.catalog_basic(spark, sf_dir)
-    return neighbors.neighbor_score_b(ev.select("user_id"), hist, top, sim, cat, n=params["n"],
+    feats = _features(spark, sf_dir)
+    # candidates: the anchors of the users with an event against the catalog; lookups: the pairs that occur
+    anchors = ratings_ops.latest_rating(hist.join(ev.distinct(), "user_id", "left_semi"))
+    top = content.similar_to(anchors.select(F.col("anchor_item").alias("id")), feats, top_n=params["n"])
+    return neighbors.neighbor_score_b(ev, hist, top, lambda pairs: content.score_pairs(pairs, feats),
+                                      fixtures.catalog_basic(spark, sf_dir), n=params["n"],
                                       min_similarity=params["min_similarity"],
-                                      score_cut=params["score_cut"], score_source=params["score_source"],
-                                      unordered_similarity=True)
+                                      score_cut=params["score_cut"], score_source=params["score_source"])
 
 
 @register("neighbor_score_a")
 def q_neighbor_score_a(spark, sf_dir):
     """RC14 / JN6-JN8 / AG8 / WN1 / SC10: variant A scores of every rating event.
 
-    Variant A reads the similar-items table the batch job writes with its 0.6
-    threshold (RC10, Q25), here the content similarity at >= 0.6."""
-    cat = fixtures.catalog(spark, sf_dir)
-    # read twice (candidate expansion and pair lookup): score the pairs once
-    sim = content.content_similarity(cat, min_similarity=SIMILAR_TABLE_THRESHOLD).checkpoint(eager=True)
+    Candidates are the items of the similar-items table (similarity >= 0.6, RC10, Q25) of the
+    event's item; pair similarities are looked up exactly, and 0.6 stands only
+    for pairs that have none (an item with itself, or outside the catalog)."""
+    feats = _features(spark, sf_dir)
     ev = fixtures.rating_events(spark, sf_dir)
-    out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), sim, **neighbors.VARIANT_A)
+    similar = content.similar_to(ev.select(F.col("item_id").alias("id")), feats, min_similarity=SIMILAR_TABLE_THRESHOLD)
+    out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), similar,
+                                     lambda pairs: content.score_pairs(pairs, feats), **neighbors.VARIANT_A)
     return out.select("event_id", "user_id", "event_ts", "item_id", r9("score"))
 
 
@@ -142,8 +145,7 @@ def _supplemented(spark, sf_dir):
     hist = _history(spark, sf_dir)
     merged = _merged(spark, sf_dir, hist)
     anchors = ratings_ops.latest_rating(hist)
-    return neighbors.supplement(merged, anchors, fixtures.catalog_basic(spark, sf_dir), hist,
-                               max_slots=neighbors.VARIANT_B0["n"])
+    return neighbors.supplement(merged, anchors, fixtures.catalog_basic(spark, sf_dir), hist)
 
 
 @register("supplemented_recs")

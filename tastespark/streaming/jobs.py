@@ -128,7 +128,7 @@ def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFram
     else:
         merged = neighbors.merge_decayed(now, now.limit(0), params["n"])
     anchors = latest_rating(history.join(users, "user_id", "left_semi"))
-    return neighbors.supplement(merged, anchors, catalog, history, max_slots=params["n"])
+    return neighbors.supplement(merged, anchors, catalog, history)
 
 
 def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,

@@ -143,7 +143,7 @@ def test_rc18_supplement_replaces_low(spark):
                                 "id bigint, score double, filmtype string")
     history = spark.createDataFrame([(7, 1, 4.0, 1)], "user_id bigint, item_id bigint, rating double, ts bigint")
     anchors = spark.createDataFrame([(7, 1, 1)], "user_id bigint, anchor_item bigint, anchor_ts bigint")
-    out = neighbors.supplement(recs, anchors, cat, history, pool_size=50, max_slots=4).orderBy("slot").collect()
+    out = neighbors.supplement(recs, anchors, cat, history, pool_size=50).orderBy("slot").collect()
     slots = {r["slot"]: (r["item_id"], r["priority"]) for r in out}
     assert slots[1] == (1, 5.0) and slots[4] == (4, 3.0)
     assert slots[2][1] == pytest.approx(1.51) and slots[3][1] == pytest.approx(1.51)
@@ -159,7 +159,7 @@ def test_rc18_filler_when_genre_runs_out(spark):
     history = spark.createDataFrame([(7, 1, 4.0, 1), (7, 5, 4.0, 0)],
                                     "user_id bigint, item_id bigint, rating double, ts bigint")
     anchors = spark.createDataFrame([(7, 1, 1)], "user_id bigint, anchor_item bigint, anchor_ts bigint")
-    out = neighbors.supplement(recs, anchors, cat, history, max_slots=3).collect()
+    out = neighbors.supplement(recs, anchors, cat, history).collect()
     items = [r["item_id"] for r in out]
     # genre G has only item 1, which is rated: all three slots come from the catalog filler
     assert len(out) == 3 and len(set(items)) == 3 and not {1, 5} & set(items)

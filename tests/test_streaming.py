@@ -158,7 +158,7 @@ def test_recommender_stream_equals_batch_and_replay_is_idempotent(spark, tmpdir_
                                      score_cut=p["score_cut"], score_source=p["score_source"])
     merged = neighbors.merge_decayed(now, now.limit(0), p["n"])
     anchors = ratings_latest(hist.join(users, "user_id", "left_semi"))
-    want = neighbors.supplement(merged, anchors, basic, hist, max_slots=p["n"]).select(
+    want = neighbors.supplement(merged, anchors, basic, hist).select(
         "user_id", "item_id", "slot", F.round("priority", 9).alias("priority"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     before = spark.read.parquet(out + "/log").count()
