@@ -50,25 +50,34 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def current_lists(spark: SparkSession, out_path: str) -> DataFrame | None:
-    """Each user's newest packed list: the newest snapshot plus only the log
-    batches written after it (partition pruning on ``batch_id``), so the read is
-    bounded by the user count and the compaction interval, not the stream's age."""
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when the path is missing or holds no data file yet.  Any other failure
+    is raised: an unreadable log must not pass for an empty one."""
     from pyspark.errors import AnalysisException
 
-    parts = []
-    version = -1
-    try:
-        snap = spark.read.parquet(f"{out_path}/snapshot")
-        version = snap.agg(F.max("version")).first()[0]
-        parts.append(snap.filter(F.col("version") == version).drop("version"))
-    except AnalysisException:
-        pass
     try:
-        log = spark.read.parquet(f"{out_path}/log").filter(F.col("batch_id") > version)
-        parts.append(log)
-    except AnalysisException:
-        pass
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def current_lists(spark: SparkSession, out_path: str, before: int | None = None) -> DataFrame | None:
+    """Each user's newest packed list: the newest snapshot plus only the log
+    batches written after it (partition pruning on ``batch_id``), so the read is
+    bounded by the user count and the compaction interval, not the stream's age.
+
+    ``before`` leaves out what batch ``before`` and later ones wrote: a batch that is
+    replayed after its write sees the state that it saw the first time."""
+    older = F.lit(True) if before is None else F.col("version") < before
+    snap = read_if_written(spark, f"{out_path}/snapshot")
+    version = None if snap is None else snap.filter(older).agg(F.max("version")).first()[0]
+    parts = [] if version is None else [snap.filter(F.col("version") == version).drop("version")]
+    log = read_if_written(spark, f"{out_path}/log")
+    if log is not None:
+        newer = F.col("batch_id") > (-1 if version is None else version)
+        parts.append(log.filter(newer if before is None else newer & (F.col("batch_id") < before)))
     if not parts:
         return None
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -77,8 +86,8 @@ def current_lists(spark: SparkSession, out_path: str) -> DataFrame | None:
 
 
 def compact(spark: SparkSession, out_path: str, batch_id: int) -> None:
-    """Write the current lists as snapshot ``version=batch_id`` (idempotent)."""
-    cur = current_lists(spark, out_path)
+    """Write the lists as of batch ``batch_id`` as snapshot ``version=batch_id`` (idempotent)."""
+    cur = current_lists(spark, out_path, batch_id + 1)
     if cur is None:
         return
     # materialise before writing: the snapshot folder is also being read
@@ -87,11 +96,25 @@ def compact(spark: SparkSession, out_path: str, batch_id: int) -> None:
         .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}/snapshot"))
 
 
-def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current state of an idempotent batch log: the newest batch's row(s) per key."""
-    log = spark.read.parquet(path)
-    newest = log.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
-    return log.join(newest, keys + ["batch_id"])
+def live_history(history: DataFrame | Callable[[], DataFrame], users: DataFrame, log_path: str, before: int) -> DataFrame:
+    """Ratings of the batch's users as of the batch: the static ``history`` (or what a function reads anew) and the
+    ratings that batches earlier than ``before`` brought, the newest per user and item.  Both are reduced to the
+    batch's users before anything is ranked."""
+    base = history() if callable(history) else history
+    rows = base.select("user_id", "item_id", "rating", "ts").join(users, "user_id", "left_semi")
+    log = read_if_written(rows.sparkSession, log_path)
+    if log is None:
+        return rows
+    told = log.filter(F.col("batch_id") < before).join(users, "user_id", "left_semi").select(
+        "user_id", "item_id", "rating", F.col("ts").cast(rows.schema["ts"].dataType).alias("ts"))
+    both = rows.unionByName(told)
+    return both.groupBy("user_id", "item_id").agg(F.max(F.struct("ts", "rating")).alias("m")).select(
+        "user_id", "item_id", "m.rating", "m.ts")
+
+
+def log_ratings(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Keep the ratings of a batch for later batches (idempotent per batch)."""
+    write_batch_partition(batch.select("user_id", "item_id", F.col("rate").alias("rating"), F.col("event_ts").alias("ts")), path, batch_id)
 
 
 def parsed_rating_stream(messages: DataFrame) -> DataFrame:
@@ -131,7 +154,7 @@ def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFram
     return neighbors.supplement(merged, anchors, catalog, history)
 
 
-def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
+def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame], similarity: DataFrame,
                       top_similar: DataFrame, catalog: DataFrame, out_path: str,
                       checkpoint: str | None = None, trigger: dict | None = None,
                       params: dict | None = None, rejects_path: str | None = None,
@@ -141,26 +164,35 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
     Lists go to ``out_path/log/batch_id=<n>``; every ``compact_every`` batches
     the current lists are written to ``out_path/snapshot/version=<n>``.  The
     last list of a user (RC17 input) is read from ``current_lists``, so a
-    user's lists chain from batch to batch (Q18, Q21 upsert).
+    user's lists chain from batch to batch (Q18, Q21 upsert).  The rating
+    history is the one given plus the ratings of earlier batches
+    (``out_path/ratings``); a function is called anew for every batch.  A
+    replayed batch reads only what was there before it, so it writes the same again.
     """
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "recommender-ckpt")
     # the similarity table is symmetric: keep each pair once (id1 < id2) and look
     # it up on normalised keys, which halves the cached static side
     similarity = pin_static(similarity.filter(F.col("id1") < F.col("id2")), ["id1", "id2"])
-    history = pin_static(history, ["user_id"])
+    top_similar = pin_static(top_similar, ["id1"])
+    catalog = pin_static(catalog, ["id"])
+    if isinstance(history, DataFrame):
+        history = pin_static(history, ["user_id"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = split_batch(batch, batch_id, rejects_path)
         if batch.isEmpty():                                   # TK6
             return
-        prev = current_lists(spark, out_path)
+        log_ratings(batch, f"{out_path}/ratings", batch_id)
+        users = batch.select("user_id").distinct()
+        seen = live_history(history, users, f"{out_path}/ratings", batch_id)
+        prev = current_lists(spark, out_path, batch_id)
         last = None
         if prev is not None:
-            last = prev.join(batch.select("user_id").distinct(), "user_id", "left_semi") \
+            last = prev.join(users, "user_id", "left_semi") \
                 .select("user_id", F.explode("entries").alias("e")).select(
                     "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
-        recs = recommender_batch(batch, history, similarity, top_similar, catalog, last, params,
+        recs = recommender_batch(batch, seen, similarity, top_similar, catalog, last, params,
                                  unordered_similarity=True)
         packed = neighbors.pack_recommendations(recs)
         entries = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(
@@ -172,20 +204,32 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
 
 
-def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame, similarity: DataFrame,
+def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame], similar: DataFrame,
                     out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
-                    rejects_path: str | None = None) -> StreamingQuery:
-    """STR2 + SNK3: variant A scores appended per batch, with user id and event time (Q15)."""
+                    rejects_path: str | None = None, pair_scores: neighbors.PairScores | None = None) -> StreamingQuery:
+    """STR2 + SNK3: variant A scores appended per batch, with user id and event time (Q15).
+
+    Candidates come from ``similar``, partitioned by the event's item; pair similarities come from ``pair_scores``
+    (``neighbors.PairScores``; ``similar`` itself when not given).  Events are named by a hash of their
+    message, so names hold across batches and reruns; equal messages of a batch are one event."""
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "variant-a-ckpt")
-    similarity = pin_static(similarity, ["id1", "id2"])
-    history = pin_static(history, ["user_id"])
+    pair_scores = similar if pair_scores is None else pair_scores
+    if isinstance(pair_scores, DataFrame):
+        pair_scores = pin_static(pair_scores, ["id1", "id2"])
+    similar = pin_static(similar, ["id1"])
+    if isinstance(history, DataFrame):
+        history = pin_static(history, ["user_id"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = split_batch(batch, batch_id, rejects_path)
-        ev = batch.select(F.monotonically_increasing_id().alias("event_id"), "user_id", "item_id",
-                          F.col("event_ts").alias("ts"))
-        scores = neighbors.neighbor_score_a(ev, history, similarity, **neighbors.VARIANT_A)
+        if batch.isEmpty():                                   # TK6
+            return
+        log_ratings(batch, f"{out_path}_ratings", batch_id)
+        ev = batch.select(F.xxhash64("user_id", "item_id", "rate", "epoch_ms").alias("event_id"), "user_id", "item_id",
+                          F.col("event_ts").alias("ts")).dropDuplicates(["event_id"])
+        seen = live_history(history, ev.select("user_id").distinct(), f"{out_path}_ratings", batch_id)
+        scores = neighbors.neighbor_score_a(ev, seen, similar, pair_scores, **neighbors.VARIANT_A)
         write_batch_partition(scores, out_path, batch_id)
 
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
@@ -208,7 +252,7 @@ def running_totals(messages: DataFrame) -> DataFrame:
 
 
 def start_running_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
-                         trigger: dict | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, compact_every: int = 10) -> StreamingQuery:
     """STR4 / STR5 + SNK7: per-product cumulative totals and the grand total,
     written in ``update`` mode through ``foreachBatch``: each batch writes the
     keys it changed, with values read from state (never re-added to a store)."""
@@ -217,14 +261,31 @@ def start_running_totals(spark: SparkSession, messages: DataFrame, out_path: str
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_batch_partition(batch, out_path, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_totals(spark, out_path, batch_id)
 
     return (totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or DEFAULT_TRIGGER)).foreachBatch(handle).start())
 
 
 def current_totals(spark: SparkSession, out_path: str) -> DataFrame:
-    """Per-product totals as of the newest batch that touched each product."""
-    return latest_per_key(spark, out_path, ["id"]).drop("batch_id")
+    """Per-product totals as of the newest batch that touched each product: the newest snapshot and the log since."""
+    snap = read_if_written(spark, f"{out_path}_snapshot")
+    version = None if snap is None else snap.agg(F.max("version")).first()[0]
+    log = spark.read.parquet(out_path)
+    if version is None:
+        rows = log
+    else:
+        rows = log.filter(F.col("batch_id") > version).unionByName(snap.filter(F.col("version") == version).drop("version"))
+    newest = F.max(F.struct("batch_id", *[c for c in rows.columns if c not in ("id", "batch_id")])).alias("m")
+    return rows.groupBy("id").agg(newest).select("id", *[f"m.{c}" for c in rows.columns if c not in ("id", "batch_id")])
+
+
+def compact_totals(spark: SparkSession, out_path: str, batch_id: int) -> None:
+    """Write the totals as of batch ``batch_id`` beside the log (idempotent); reads then skip the older batches."""
+    cur = current_totals(spark, out_path).withColumn("batch_id", F.lit(batch_id)).checkpoint(eager=True)
+    (cur.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}_snapshot"))
 
 
 def start_minute_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,

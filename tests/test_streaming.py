@@ -196,3 +196,61 @@ def test_recommender_compaction_chains_lists(spark, tmpdir_path):
     assert first.batch_id == 3
     snap = spark.read.parquet(out + "/snapshot")
     assert snap.agg(F.max("version")).first()[0] == 3
+
+
+def _message_files(folder, lines):
+    os.makedirs(folder)
+    for i, line in enumerate(lines):
+        with open(os.path.join(folder, f"m{i}.txt"), "w") as f:
+            f.write(line + "\n")
+
+
+def _recommender(spark, folder, tmp, hist, every=0):
+    cat = fixtures.catalog(spark, SF001)
+    sim, top = content.similarity_tables(cat, 0.4, 10)
+    msgs = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(folder)
+    P.start_recommender(spark, msgs, hist, sim, top, fixtures.catalog_basic(spark, SF001), f"{tmp}/recs", f"{tmp}/ck", NOW,
+                        neighbors.VARIANT_B1, compact_every=every).awaitTermination()
+    return {(r.batch_id, r.user_id): r.packed for r in spark.read.parquet(f"{tmp}/recs/log").collect()}
+
+
+def test_batch_replayed_after_its_write_writes_the_same(spark, tmpdir_path):
+    """A batch fails after its output is written and before it is committed: it runs again."""
+    hist = fixtures.ratings(spark, SF001).select("user_id", "item_id", "rating", "ts").checkpoint()
+    user = hist.agg(F.min("user_id")).first()[0]
+    _message_files(f"{tmpdir_path}/msgs", [f"{user},{i + 1},4.0,{1700000000000 + i}" for i in range(3)])
+    first = _recommender(spark, f"{tmpdir_path}/msgs", tmpdir_path, hist, every=1)
+    assert {b for b, _ in first} == {0, 1, 2}
+    for name in os.listdir(f"{tmpdir_path}/ck/commits"):
+        if name.strip(".").split(".")[0] == "2":
+            os.remove(f"{tmpdir_path}/ck/commits/{name}")
+    again = _recommender(spark, f"{tmpdir_path}/msgs", tmpdir_path, hist, every=1)
+    assert again == first
+
+
+def test_user_first_seen_by_the_stream_gets_a_list(spark, tmpdir_path):
+    hist = fixtures.ratings(spark, SF001).select("user_id", "item_id", "rating", "ts").checkpoint()
+    _message_files(f"{tmpdir_path}/msgs", [f"7777777,{i + 1},4.0,{1700000000000 + i}" for i in range(3)])
+    got = _recommender(spark, f"{tmpdir_path}/msgs", tmpdir_path, hist)
+    # nothing is known at the first event; from the second one on, the ratings before it are
+    assert (0, 7777777) not in got and got[1, 7777777] and got[2, 7777777]
+
+
+def test_broken_log_is_not_taken_for_an_empty_one(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/recs/log/batch_id=0")
+    with open(f"{tmpdir_path}/recs/log/batch_id=0/part-0.parquet", "w") as f:
+        f.write("not a parquet file")
+    with pytest.raises(Exception):
+        P.current_lists(spark, f"{tmpdir_path}/recs")
+    assert P.current_lists(spark, f"{tmpdir_path}/none") is None
+
+
+def test_totals_are_compacted(spark, tmpdir_path):
+    lines = [f'{{"id": "{i % 2}", "price": {i}}}' for i in range(1, 6)]
+    _message_files(f"{tmpdir_path}/msgs", lines)
+    msgs = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{tmpdir_path}/msgs") \
+        .withColumn("ts", F.current_timestamp())
+    P.start_running_totals(spark, msgs, f"{tmpdir_path}/t", f"{tmpdir_path}/ck", NOW, compact_every=2).awaitTermination()
+    assert spark.read.parquet(f"{tmpdir_path}/t_snapshot").agg(F.max("version")).first()[0] == 3
+    got = {str(r.id): r.asDict() for r in P.current_totals(spark, f"{tmpdir_path}/t").collect()}
+    assert sorted(got) == ["0", "1"] and 6 in got["0"].values() and 9 in got["1"].values()
