@@ -160,6 +160,14 @@ def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("price").cast("string"), F.lit("}")).alias("value"), "ts")
 
 
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as order messages: an item, a whole price and the event's time of day."""
+    n_items = part_count(spark, sf_dir)
+    ev = table(spark, sf_dir, "events").select("event_id", "value", "ts")
+    return ev.select(F.concat(F.lit('{"id": "'), (F.col("event_id") % F.lit(n_items)).cast("string"), F.lit('", "price": '),
+                              F.floor("value").cast("bigint").cast("string"), F.lit("}")).alias("value"), "ts")
+
+
 def epoch_millis(ts: Column) -> Column:
     """Whole milliseconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) time,
     independent of the session time zone."""

@@ -67,6 +67,10 @@ ORDER_EVENTS = """order_events AS (
   select l_partkey as id, cast(floor(l_extendedprice) as bigint) as price, l_shipdate as ts from lineitem)"""
 
 
+EVENT_ORDERS = """event_orders AS (
+  select event_id % (select count(*) from part) as id, cast(floor(value) as bigint) as price, ts from events)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -390,11 +394,11 @@ order by user_id limit 10""",
   cast(sum(price) as bigint) as total_price from order_events group by id""",
     "order_grand_total": with_(ORDER_EVENTS)
     + "select count(*) as n_orders, cast(sum(price) as bigint) as total_price from order_events",
-    "minute_totals": with_(ORDER_EVENTS) + """select cast(id as varchar) as id,
+    "minute_totals": with_(EVENT_ORDERS) + """select cast(id as varchar) as id,
   time_bucket(interval '1 minute', ts) as window_start,
   time_bucket(interval '1 minute', ts) + interval '1 minute' as window_end,
   count(*) as n_orders, cast(sum(price) as bigint) as total_price
-from order_events group by 1, 2, 3""",
+from event_orders group by 1, 2, 3""",
     "word_count": "select word, count(*) as n from (select unnest(string_split(text, ' ')) as word from documents) "
                   "group by word",
     "parsed_events": with_(RATING_EVENTS) + """select event_id, cast(user_id as integer) as user_id,
@@ -439,3 +443,37 @@ ORACLES["running_totals"] = with_(ORDER_EVENTS) + """select id, day,
 from (select cast(id as varchar) as id, cast(cast(ts as date) as timestamp) as day, count(*) as n_day,
              sum(price) as price_day
       from order_events group by 1, 2)"""
+
+
+# ---- facts about models ---------------------------------------------------------------------------
+
+KNOWN = """known AS (select * from {0} where user_id in (select user_id from train) and item_id in (select item_id from train))"""
+
+
+def list_facts(key: str, owners: str, length: str, extra: str = "") -> str:
+    """A row per owner of a list: the expected length, and true for order, no repeats and finite values."""
+    return f"select cast({key} as bigint) as {key}, cast({length} as bigint) as n, true as in_order, true as no_repeats, true as finite{extra} from ({owners})"
+
+
+N_TRAINED = "least(10, (select count(distinct item_id) from train))"
+ORACLES.update({
+    "als_predict_facts": with_(RATINGS, *SPLITS, KNOWN.format("test")) + """select count(*) as n, count(distinct user_id) as n_users,
+  count(distinct item_id) as n_items, true as finite, true as beats_mean from known""",
+    "als_recommend_all_facts": with_(RATINGS, *SPLITS) + list_facts("user_id", "select distinct user_id from train", N_TRAINED),
+    "als_recommend_subset_facts": with_(RATINGS, *SPLITS, RATING_EVENTS) + list_facts(
+        "user_id", "select distinct user_id from train where user_id in (select user_id from rating_events)", N_TRAINED),
+    "als_unseen_facts": with_(RATINGS, *SPLITS, MY_RATINGS) + list_facts(
+        "user_id", "select distinct user_id from my_ratings", """least(10, (select count(*) from (
+  select item_id from train union select item_id from my_ratings where rating > 0) t
+  where item_id in (select p_partkey from part) and item_id not in (select item_id from my_ratings where rating > 0)))""",
+        ", cast(0 as bigint) as n_seen"),
+    "als_implicit_facts": with_(RATINGS, *SPLITS) + list_facts("user_id", "select distinct user_id from train", N_TRAINED),
+    "als_factor_similarity_facts": "select true as symmetric, cast(0 as bigint) as n_self, cast(0 as bigint) as n_outside, cast(0 as bigint) as n_unknown",
+    "als_similar_items_facts": with_(RATINGS, *SPLITS) + list_facts(
+        "id1", "select item_id as id1 from ratings group by item_id order by count(*) desc, item_id limit 1", "least(10, (select count(distinct item_id) from train) - 1)"),
+    "als_grid_facts": with_(RATINGS, *SPLITS, KNOWN.format("validation")) + """select cast(rank as integer) as rank, cast(reg as double) as reg,
+  cast(max_iter as integer) as max_iter, (select count(*) from known) as n_pred, true as finite, cast(1 as bigint) as n_best
+from (select unnest([8, 22]) as rank), (select unnest([0.1, 10.0]) as reg), (select unnest([5, 7]) as max_iter)""",
+    "als_metrics_facts": with_(RATINGS, *SPLITS, KNOWN.format("test")) + """select (select count(*) from known) as n_pred, count(*) as n_truth,
+  true as rmse_is_root, true as all_pairs_below, true as map_in_range from test""",
+})

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures
@@ -312,8 +312,8 @@ def q_order_grand_total(spark, sf_dir):
 
 @register("minute_totals")
 def q_minute_totals(spark, sf_dir):
-    """STR6: per product and one-minute window, count and price total."""
-    return segments.minute_totals(segments.parse_orders(fixtures.order_payloads(spark, sf_dir)))
+    """STR6: per product and one-minute window, count and price total of the event stream."""
+    return segments.minute_totals(segments.parse_orders(fixtures.event_payloads(spark, sf_dir)))
 
 
 @register("word_count")
@@ -373,14 +373,41 @@ def q_als_unseen_top10(spark, sf_dir):
         "user_id", "item_id", r6("prediction"), "rank")
 
 
+def _grid(spark, sf_dir, grid, implicit=False):
+    """RC3 / AG4 / AG6: every grid point's validation RMSE; on the row of the best model also its test RMSE, the RMSE of the
+    mean baseline and the improvement over it.  Only these metric scalars pass through the driver."""
+    sp = ratings_ops.split_ratings(_ratings_once(spark, sf_dir))
+    results, best = factors.grid_search(sp["train"], sp["validation"], grid, implicit=implicit)
+    base = metrics.baseline_rmse(sp["train"].unionByName(sp["validation"]), sp["test"]).first()["baseline_rmse"]
+    test = metrics.error_metrics(factors.predict(best, sp["test"]), sp["test"]).first()["rmse"] if best else None
+    top = min((r["rmse"] for r in results if r["rmse"] == r["rmse"]), default=None)
+    rows, found = [], False
+    for r in results:
+        is_best = not found and r["rmse"] == top
+        found |= is_best
+        better = (base - test) / base * 100.0 if is_best and base and test is not None else None
+        rows.append((r["rank"], float(r["reg"]), r["max_iter"], float(r.get("alpha", 1.0)), float(r["rmse"]), int(r["n_pred"]), is_best,
+                     test if is_best else None, base if is_best else None, better))
+    return spark.createDataFrame(rows, "rank int, reg double, max_iter int, alpha double, rmse double, n_pred bigint, is_best boolean, "
+                                       "test_rmse double, baseline_rmse double, improvement_pct double")
+
+
 @register("als_grid")
 def q_als_grid(spark, sf_dir):
-    """RC3 / AG4: the 2 x 2 x 2 grid scored on the validation split, best model on test
-    (with the mean baseline of AG6)."""
-    sp = ratings_ops.split_ratings(_ratings_once(spark, sf_dir))
-    results, best = factors.grid_search(sp["train"], sp["validation"], factors.GRID_SELECTION)
-    rows = [(r["rank"], float(r["reg"]), r["max_iter"], float(r["rmse"]), int(r["n_pred"])) for r in results]
-    return spark.createDataFrame(rows, "rank int, reg double, max_iter int, rmse double, n_pred bigint")
+    """RC3 / AG4 / AG6: the 2 x 2 x 2 grid on the validation split, the best model on the test split."""
+    return _grid(spark, sf_dir, factors.GRID_SELECTION)
+
+
+@register("als_grid_alt")
+def q_als_grid_alt(spark, sf_dir):
+    """RC3: the second grid (longer training)."""
+    return _grid(spark, sf_dir, factors.GRID_SELECTION_ALT)
+
+
+@register("als_grid_implicit")
+def q_als_grid_implicit(spark, sf_dir):
+    """RC2 / RC3: the grid of the implicit variant, with its confidence weight."""
+    return _grid(spark, sf_dir, factors.GRID_IMPLICIT, implicit=True)
 
 
 @register("als_implicit")
@@ -409,16 +436,103 @@ def q_als_similar_items(spark, sf_dir):
 
 @register("als_metrics")
 def q_als_metrics(spark, sf_dir):
-    """AG7 / AG11: test-split MSE / RMSE and MAP of the top-10 lists against held-out
-    ratings of 4 and above."""
+    """AG7 / AG11 / RC11: test-split MSE / RMSE, and MAP of every user's ranking of the whole
+    catalog against held-out ratings of 4 and above."""
     sp, model = _als_train(spark, sf_dir)
     err = metrics.error_metrics(factors.predict(model, sp["test"]), sp["test"])
-    mp = metrics.mean_average_precision(factors.recommend_all(model, 10),
-                                        sp["test"].filter(F.col("rating") >= 4.0))
+    relevant = sp["test"].filter(F.col("rating") >= 4.0)
+    users = model.userFactors.select(F.col("id").alias("user_id"))
+    mp = metrics.mean_average_precision_of_hits(factors.full_ranks(model, relevant), users, relevant)
     return err.select("n_pred", "n_truth", r6("mse"), r6("rmse"), r6("rmse_all"),
                       F.round(mp.select("map").scalar(), 6).alias("map"))
 
 
+# ---- what SQL can say about models --------------------------------------------------------------
+
+def _list_facts(recs, value="prediction", key="user_id", other="item_id"):
+    """Per list: its length, and whether it is in order, without repeats, and of finite values."""
+    w = Window.partitionBy(key).orderBy("rank")
+    r = recs.withColumn("_before", F.lag(value).over(w))
+    return r.groupBy(F.col(key).cast("bigint").alias(key)).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("_before").isNull() | (F.col("_before") >= F.col(value))).alias("in_order"),
+        (F.count_distinct(other) == F.count(F.lit(1))).alias("no_repeats"),
+        F.bool_and((F.abs(F.col(value)) < float("inf")) & ~F.isnan(value)).alias("finite"))
+
+
+@register("als_predict_facts")
+def q_als_predict_facts(spark, sf_dir):
+    """RC1 / RC5 / RC6: how many test pairs get a prediction, and that training beats the mean on its own ratings."""
+    sp, model = _als_train(spark, sf_dir)
+    pred = factors.predict(model, sp["test"])
+    fit = metrics.error_metrics(factors.predict(model, sp["train"]), sp["train"]).select("rmse").scalar()
+    base = sp["train"].agg(F.stddev_pop("rating").alias("s")).select("s").scalar()
+    return pred.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("n_users"), F.count_distinct("item_id").alias("n_items"),
+                    F.bool_and(~F.isnan("prediction")).alias("finite")).withColumn("beats_mean", fit < base)
+
+
+@register("als_recommend_all_facts")
+def q_als_recommend_all_facts(spark, sf_dir):
+    """RC8: every user's list."""
+    return _list_facts(factors.recommend_all(_als_train(spark, sf_dir)[1], 10))
+
+
+@register("als_recommend_subset_facts")
+def q_als_recommend_subset_facts(spark, sf_dir):
+    """RC7: the lists of the users with events."""
+    users = fixtures.rating_events(spark, sf_dir).select("user_id")
+    return _list_facts(factors.recommend_for(_als_train(spark, sf_dir)[1], users, 10))
+
+
+@register("als_unseen_facts")
+def q_als_unseen_facts(spark, sf_dir):
+    """RC9: the personal list, none of it rated."""
+    recs = REGISTRY["als_unseen_top10"](spark, sf_dir).checkpoint(eager=True)
+    mine = ratings_ops.positive_personal(fixtures.my_ratings(spark, sf_dir)).select("item_id")
+    seen = recs.join(mine, "item_id", "left_semi").agg(F.count(F.lit(1)).alias("c")).select("c").scalar()
+    return _list_facts(recs).withColumn("n_seen", seen)
+
+
+@register("als_implicit_facts")
+def q_als_implicit_facts(spark, sf_dir):
+    """RC2: every user's list of the implicit model."""
+    return _list_facts(REGISTRY["als_implicit"](spark, sf_dir))
+
+
+@register("als_factor_similarity_facts")
+def q_als_factor_similarity_facts(spark, sf_dir):
+    """RC10: both directions of each pair, none of an item with itself, none below the threshold, known items only."""
+    s = REGISTRY["als_factor_similarity"](spark, sf_dir).checkpoint(eager=True)
+    back = s.select(F.col("id2").alias("id1"), F.col("id1").alias("id2"), F.col("similarity").alias("back"))
+    train = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))["train"].select(F.col("item_id").alias("id1")).distinct()
+    unknown = s.join(train, "id1", "left_anti").agg(F.count(F.lit(1)).alias("c")).select("c").scalar()
+    return s.join(back, ["id1", "id2"], "left").agg(
+        F.coalesce(F.bool_and(F.coalesce(F.col("back") == F.col("similarity"), F.lit(False))), F.lit(True)).alias("symmetric"),
+        F.count_if(F.col("id1") == F.col("id2")).alias("n_self"), F.count_if((F.col("similarity") < 0.6) | (F.col("similarity") > 1.000001)).alias("n_outside")) \
+        .withColumn("n_unknown", unknown)
+
+
+@register("als_similar_items_facts")
+def q_als_similar_items_facts(spark, sf_dir):
+    """WN4: the list of the item with the most ratings."""
+    return _list_facts(REGISTRY["als_similar_items"](spark, sf_dir), "similarity", "id1", "id2")
+
+
+@register("als_grid_facts")
+def q_als_grid_facts(spark, sf_dir):
+    """RC3: the grid's points, how many validation pairs each predicts, and that one best model has its metrics."""
+    g = REGISTRY["als_grid"](spark, sf_dir)
+    return g.groupBy("rank", "reg", "max_iter").agg(F.max("n_pred").alias("n_pred"), F.bool_and(~F.isnan("rmse")).alias("finite")).withColumn(
+        "n_best", g.agg(F.count_if(F.col("is_best") & F.col("improvement_pct").isNotNull()).alias("c")).select("c").scalar())
+
+
+@register("als_metrics_facts")
+def q_als_metrics_facts(spark, sf_dir):
+    """AG7 / AG11: counts, and bounds that hold for any model."""
+    m = REGISTRY["als_metrics"](spark, sf_dir)
+    return m.select("n_pred", "n_truth", (F.abs(F.sqrt("mse") - F.col("rmse")) < 1e-4).alias("rmse_is_root"),
+                    (F.col("rmse_all") <= F.col("rmse")).alias("all_pairs_below"), F.col("map").between(0, 1).alias("map_in_range"))
+
+
 # ---- sink formats and smaller operators --------------------------------------------------------
 
 @register("rating_messages")

@@ -10,6 +10,7 @@ a shared one is configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,7 +28,9 @@ DEFAULT_CONF = {
 
 # Python workers already run one per core: a multi-threaded BLAS inside each
 # would oversubscribe the cores, so numeric libraries get one thread each.
-WORKER_ENV = {"OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
+# Workers are reused by later stages: freed memory goes back to the system instead of staying in pools.
+WORKER_ENV = {"OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1", "MKL_NUM_THREADS": "1",
+              "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "131072"}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -55,14 +58,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local
-    runs and tests only) create a fresh scratch folder and register it."""
+    """Use ``spark.checkpoint.dir`` when the cluster sets it.  Only a session whose
+    master is local (tests, one machine) gets a scratch folder of its own; anywhere
+    else an unset folder is an error, since executors share no local disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         configured = tempfile.mkdtemp(prefix="tastespark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

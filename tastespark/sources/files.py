@@ -14,7 +14,16 @@ from ..operators.ratings import assert_not_empty, positive_personal
 
 def _text_fields(spark: SparkSession, path: str, sep: str, n: int) -> DataFrame:
     schema = ", ".join(f"_c{i} string" for i in range(n))
-    return spark.read.schema(schema).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
+    # no quoting: quotation marks in these files are part of a field, and quoting would swallow separators
+    return spark.read.schema(schema).option("sep", sep).option("quote", "").option("mode", "PERMISSIVE").csv(path)
+
+
+def split_malformed(rows: DataFrame, *required: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with every required field, the other ones): a field that is missing or does not parse is null."""
+    ok = F.lit(True)
+    for c in required:
+        ok = ok & F.col(c).isNotNull()
+    return rows.filter(ok), rows.filter(~ok)
 
 
 def read_ratings_colons(spark: SparkSession, path: str) -> DataFrame:
@@ -39,9 +48,12 @@ def read_ratings_tab(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_items(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
-    """SRC4: ``id::title::genres`` (or ``id|title|...`` with ``sep='|'``)."""
+    """SRC4: ``id::title::genres``, or with ``sep='|'`` the layout ``id|title|date|...``,
+    of which id and title are read (its third field is a date, so genres are null).
+    ``split_malformed(rows, "item_id")`` sets lines without a proper id apart."""
     d = _text_fields(spark, path, sep, 3)
-    return d.select(d._c0.try_cast("int").alias("item_id"), d._c1.alias("title"), d._c2.alias("genres"))
+    genres = d._c2 if sep == "::" else F.lit(None).cast("string")
+    return d.select(d._c0.try_cast("int").alias("item_id"), d._c1.alias("title"), genres.alias("genres"))
 
 
 def read_personal(spark: SparkSession, path: str, require: bool = True) -> DataFrame:

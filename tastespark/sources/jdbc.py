@@ -16,7 +16,17 @@ CATALOG_COLUMNS = ["id", "name", "director", "writer", "actor", "filmtype", "rel
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-              num_partitions: int | None = None, fetch_size: int = 10_000) -> DataFrame:
+              num_partitions: int | None = None, fetch_size: int = 10_000, single_task: bool = False) -> DataFrame:
+    """A table as parallel range scans of ``partition_column``; missing bounds are asked of the database with one
+    aggregate.  A scan without a partition column goes through one task and must be asked for (``single_task``)."""
+    if partition_column is None and not single_task:
+        raise ValueError("name a partition_column, or set single_task for a table that one task may read")
+    if partition_column is not None and (lower is None or upper is None):
+        ask = f"(select min({partition_column}) as lo, max({partition_column}) as hi from {table}) bounds"
+        row = read_jdbc(spark, url, ask, properties, single_task=True).first()
+        lower, upper = (row[0] if lower is None else lower), (row[1] if upper is None else upper)
+        if lower is None:                       # an empty table has no range to cut
+            partition_column = None
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
@@ -28,7 +38,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
 
 def read_catalog_jdbc(spark: SparkSession, url: str, table: str = "movies", genre_column: str = "type",
                       **kw) -> DataFrame:
-    """SRC7: the item catalog, with the genre column renamed to ``filmtype``."""
+    """SRC7: the item catalog, with the genre column renamed to ``filmtype``; read by ranges of ``id``."""
+    kw.setdefault("partition_column", "id")
     df = read_jdbc(spark, url, table, **kw)
     if genre_column != "filmtype" and genre_column in df.columns:
         df = df.withColumnRenamed(genre_column, "filmtype")

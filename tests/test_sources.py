@@ -66,3 +66,48 @@ def test_rating_messages_format(spark):
     df = spark.createDataFrame([(1, 2, 4.0)], "user_id int, item_id int, rating double")
     r = writers.rating_messages(df).first()
     assert (r.key, r.value) == ("1", "1|2|4.0")
+
+
+def test_quotes_are_text_and_bar_layout_has_no_genres(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "q.dat")
+    _write(p, ['1::"Great Show" Cats (1998)::Musical', "x::No id::Drama", "3", '4::"open::War'])
+    rows = files.read_items(spark, p)
+    good, bad = files.split_malformed(rows, "item_id", "title")
+    assert sorted((r.item_id, r.title, r.genres) for r in good.collect()) == [
+        (1, '"Great Show" Cats (1998)', "Musical"), (4, '"open', "War")]
+    assert bad.count() == 2
+    b = os.path.join(tmpdir_path, "u.item")
+    _write(b, ["7|Toy Story (1995)|01-Jan-1995||http://x"])
+    assert tuple(files.read_items(spark, b, sep="|").first()) == (7, "Toy Story (1995)", None)
+
+
+def test_jdbc_read_needs_ranges_or_consent(spark):
+    from tastespark.sources import jdbc
+
+    with pytest.raises(ValueError, match="partition_column"):
+        jdbc.read_jdbc(spark, "jdbc:none:x", "movies")
+
+
+def test_table_and_local_rows(spark):
+    files.from_rows(spark, [(1, "a"), (1, "a")], "id int, name string").createOrReplaceTempView("small_rows")
+    assert files.read_table(spark, "small_rows").count() == 2 and files.read_table(spark, "small_rows", distinct=True).count() == 1
+
+
+def test_checkpoint_folder_is_never_made_up_on_a_cluster():
+    from tastespark import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
