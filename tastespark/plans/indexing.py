@@ -3,7 +3,7 @@
 The frame is range-partitioned by the order (``orderBy``), each row gets
 ``monotonically_increasing_id`` inside its partition, and per-partition row
 counts (one row per partition) give the offsets.  The sorted frame is
-checkpointed so a recomputation after executor loss sees the same layout.
+written to the shared folder, so a recomputation after executor loss sees the same layout.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .materialize import stored
+
 
 def dense_index(df: DataFrame, order: list[Column], name: str = "pos") -> DataFrame:
     cols = df.columns
-    s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
-                                  F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
+    s = stored(df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
+                                         F.monotonically_increasing_id().alias("_mid")), "index")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a tiny single-partition window is fine here
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -34,9 +36,8 @@ def row_number_unbounded(df: DataFrame, keys: list[str], order: list[Column], na
     ``order`` must end in a unique tie-breaker.
     """
     cols = df.columns
-    s = df.orderBy(*[F.col(k) for k in keys], *order).select(
-        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
-    ).checkpoint(eager=True)
+    s = stored(df.orderBy(*[F.col(k) for k in keys], *order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")), "index")
     per = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_pid", *keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -55,9 +56,8 @@ def running_totals(df: DataFrame, keys: list[str], order: list[Column], sums: di
     by the key's totals in earlier partitions.
     """
     cols = df.columns
-    s = df.orderBy(*[F.col(k) for k in keys], *order).select(
-        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
-    ).checkpoint(eager=True)
+    s = stored(df.orderBy(*[F.col(k) for k in keys], *order).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")), "index")
     local = Window.partitionBy("_pid", *keys).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
     s = s.select("*", *[F.sum(src).over(local).alias(f"_loc_{out}") for out, src in sums.items()])
     per = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"),

@@ -16,6 +16,7 @@ from .functions import text as text_fn
 from .io import table
 from .operators import content, factors, metrics, neighbors, segments, vectors
 from .operators import ratings as ratings_ops
+from .plans.materialize import stored
 from .session import ensure_checkpoint_dir, ship_package
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,20 +73,20 @@ SIMILAR_TABLE_THRESHOLD = 0.6
 
 def _features(spark, sf_dir):
     """Item features, written once: the candidate search and the pair scorer read them."""
-    return content.item_features(fixtures.catalog(spark, sf_dir)).checkpoint(eager=True)
+    return stored(content.item_features(fixtures.catalog(spark, sf_dir)), "features")
 
 
 def _history(spark, sf_dir):
     """The ratings view, written once per query (it is read by several branches:
     anchors, history pairs, exclusions), instead of re-joining lineitem and
     orders for each branch."""
-    return fixtures.ratings(spark, sf_dir).select("user_id", "item_id", "rating", "ts").checkpoint(eager=True)
+    return stored(fixtures.ratings(spark, sf_dir).select("user_id", "item_id", "rating", "ts"), "history")
 
 
 def _ratings_once(spark, sf_dir):
     """The ratings view with its bucket, written once for queries whose splits read
     it in several branches (train, validation, test)."""
-    return fixtures.ratings(spark, sf_dir).checkpoint(eager=True)
+    return stored(fixtures.ratings(spark, sf_dir), "ratings")
 
 
 def _scores_b(spark, sf_dir, params, hist=None):
@@ -486,7 +487,7 @@ def q_als_recommend_subset_facts(spark, sf_dir):
 @register("als_unseen_facts")
 def q_als_unseen_facts(spark, sf_dir):
     """RC9: the personal list, none of it rated."""
-    recs = REGISTRY["als_unseen_top10"](spark, sf_dir).checkpoint(eager=True)
+    recs = stored(REGISTRY["als_unseen_top10"](spark, sf_dir), "unseen")
     mine = ratings_ops.positive_personal(fixtures.my_ratings(spark, sf_dir)).select("item_id")
     seen = recs.join(mine, "item_id", "left_semi").agg(F.count(F.lit(1)).alias("c")).select("c").scalar()
     return _list_facts(recs).withColumn("n_seen", seen)
@@ -501,7 +502,7 @@ def q_als_implicit_facts(spark, sf_dir):
 @register("als_factor_similarity_facts")
 def q_als_factor_similarity_facts(spark, sf_dir):
     """RC10: both directions of each pair, none of an item with itself, none below the threshold, known items only."""
-    s = REGISTRY["als_factor_similarity"](spark, sf_dir).checkpoint(eager=True)
+    s = stored(REGISTRY["als_factor_similarity"](spark, sf_dir), "factor-pairs")
     back = s.select(F.col("id2").alias("id1"), F.col("id1").alias("id2"), F.col("similarity").alias("back"))
     train = ratings_ops.split_ratings(fixtures.ratings(spark, sf_dir))["train"].select(F.col("item_id").alias("id1")).distinct()
     unknown = s.join(train, "id1", "left_anti").agg(F.count(F.lit(1)).alias("c")).select("c").scalar()

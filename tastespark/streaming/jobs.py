@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import parse_rating_csv, split_rejects
 from ..operators import neighbors, segments
 from ..operators.ratings import latest_rating
+from ..plans.materialize import stored
 from ..session import scratch_path
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # STR1
@@ -91,7 +92,7 @@ def compact(spark: SparkSession, out_path: str, batch_id: int) -> None:
     if cur is None:
         return
     # materialise before writing: the snapshot folder is also being read
-    cur = cur.checkpoint(eager=True)
+    cur = stored(cur, "lists")
     (cur.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}/snapshot"))
 
@@ -283,7 +284,7 @@ def current_totals(spark: SparkSession, out_path: str) -> DataFrame:
 
 def compact_totals(spark: SparkSession, out_path: str, batch_id: int) -> None:
     """Write the totals as of batch ``batch_id`` beside the log (idempotent); reads then skip the older batches."""
-    cur = current_totals(spark, out_path).withColumn("batch_id", F.lit(batch_id)).checkpoint(eager=True)
+    cur = stored(current_totals(spark, out_path).withColumn("batch_id", F.lit(batch_id)), "totals")
     (cur.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}_snapshot"))
 

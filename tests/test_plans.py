@@ -1,7 +1,7 @@
 """Physical-plan shape of every registered query (sf0.001), each materialised step included."""
 
 import pytest
-from pyspark.sql.classic.dataframe import DataFrame
+from pyspark.sql import DataFrameWriter
 
 import __spark_entry__ as E
 from conftest import SF001
@@ -12,15 +12,15 @@ TOP_K = {"top_similar_items", "recent_ratings_k5", "vector_top_similar", "top_ra
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    """Per query the text of its plan and of the plan of every frame that it checkpoints on the way."""
-    out, steps, write = {}, [], DataFrame.checkpoint
+    """Per query the text of its plan and of the plan of every frame that it writes on the way."""
+    out, steps, write = {}, [], DataFrameWriter.parquet
 
     def recorded(self, *args, **kwargs):
-        steps.append(self._jdf.queryExecution().executedPlan().toString())
+        steps.append(self._df._jdf.queryExecution().executedPlan().toString())
         return write(self, *args, **kwargs)
 
     patch = pytest.MonkeyPatch()
-    patch.setattr(DataFrame, "checkpoint", recorded)
+    patch.setattr(DataFrameWriter, "parquet", recorded)
     for name, fn in E.queries().items():
         if name == "als_grid" or name in E.LLM_QUERIES:    # a loop of fits; tests/llm
             continue
