@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
+from tastespark.plans.materialize import stored  # noqa: F401  (used by the operators)
 from tastespark.session import scratch_path, ship_package
 
 # white space of the word definition: space and tab .. carriage return
@@ -19,7 +21,19 @@ def prepare(spark: SparkSession) -> None:
     """Ship the package to the executors and bound the rows of one Arrow batch,
     so that a batch of long texts fits in a worker's memory."""
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Plans made inside use Arrow batches of ``rows`` rows: fewer where single rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -27,16 +41,6 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later reads
-    start from the files (lineage cut, columns pruned, filters pushed down)."""
-    spark = df.sparkSession
-    path = scratch_folder(spark, name)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

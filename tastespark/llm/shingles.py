@@ -20,7 +20,7 @@ _POWERS: list[np.ndarray] = []
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
     if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, 1 << 20)
+        n = max(n, 1 << 19)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for base in (_BASE, inverse):
             p = np.full(n, base, dtype=np.uint64)
@@ -50,7 +50,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list, width: int = 5):
     """(index, sorted distinct shingle hashes as unsigned 64-bit) for each text in order.  With fewer
     words than ``width`` the whole sequence is one shingle; without words the set is empty."""
-    for a, b in text_chunks(texts):
+    for a, b in text_chunks(texts, 1 << 20):
         h, first = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in texts[a:b]])
         n = len(h) - width + 1
         rolled = np.zeros(max(n, 0), dtype=np.uint64)
