@@ -37,15 +37,15 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.llm.common import prepare
 
 #: Words remembered by one Python worker; the memory of a task is bounded by it.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 #: Border tests remembered by one Python worker.
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 400_000
 #: Marks the end of a word inside the automaton.
 END = "\x00"
 
@@ -119,20 +119,7 @@ class PrefixEncoder:
             a, b, t = self.vocab[left], self.vocab[right], self.vocab[left + right]
             self.rank[a, b] = r
             self.parts.setdefault(t, (a, b, r))
-        never = len(merges) + 1
-        # spines: (token, rank of the merge that replaces it), outermost last
-        self.right: dict[int, list[tuple[int, int]]] = {}
-        self.left: dict[int, list[tuple[int, int]]] = {}
-        for t in self.vocab.values():
-            for side, spine in ((1, self.right), (0, self.left)):
-                chain, until, x = [], never, t
-                while True:
-                    chain.append((x, until))
-                    if x not in self.parts:
-                        break
-                    until = self.parts[x][2]
-                    x = self.parts[x][side]
-                spine[t] = chain
+        self.never = len(merges) + 1
         # tokens that encoding can produce: atoms, and those whose parts meet undisturbed
         self.usable = set()
         for t in self.vocab.values():
@@ -142,11 +129,23 @@ class PrefixEncoder:
             if a in self.usable and b in self.usable and self.border_holds(a, b, r):
                 self.usable.add(t)
 
+    def _spine(self, t: int, side: int) -> list[tuple[int, int]]:
+        """The tokens along one edge of ``t`` (0: left, 1: right), the outermost first, each with the rank of the
+        merge that replaces it."""
+        chain, until, parts = [], self.never, self.parts
+        while True:
+            chain.append((t, until))
+            p = parts.get(t)
+            if p is None:
+                return chain
+            t, until = p[side], p[2]
+
     def border_holds(self, a: int, b: int, before: int | None = None) -> bool:
         """No merge crosses the border between ``a`` and ``b`` (with ``before``: none of a smaller rank)."""
         rank = self.rank
-        for x, x_until in self.right[a]:
-            for y, y_until in self.left[b]:
+        left = self._spine(b, 0)
+        for x, x_until in self._spine(a, 1):
+            for y, y_until in left:
                 r = rank.get((x, y))
                 if r is not None and r < x_until and r <= y_until and (before is None or r < before):
                     return False
@@ -263,7 +262,7 @@ class PrefixEncoder:
         return " ".join([self.token[int(i)] for i in ids])
 
 
-_LOADED: dict[int, PrefixEncoder] = {}
+_LOADED: dict[str, PrefixEncoder] = {}
 
 
 def load(path: str) -> dict:
@@ -271,12 +270,19 @@ def load(path: str) -> dict:
         return json.load(f)
 
 
-def _encoder(spec: Broadcast) -> PrefixEncoder:
-    """One encoder per worker process and broadcast file."""
-    if spec.value["key"] not in _LOADED:
+def _share(spark: SparkSession, path: str) -> Broadcast:
+    """The file's bytes for the workers: 1.7 MB, whatever the size of the corpus."""
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
+def _encoder(file: Broadcast) -> PrefixEncoder:
+    """One encoder per worker process and file; the parsed file is not kept beside it."""
+    key = hashlib.sha256(file.value).hexdigest()
+    if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[spec.value["key"]] = PrefixEncoder(spec.value["spec"])
-    return _LOADED[spec.value["key"]]
+        _LOADED[key] = PrefixEncoder(json.loads(file.value))
+    return _LOADED[key]
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
@@ -290,8 +296,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
     """
     spark = docs.sparkSession
     prepare(spark)
-    spec = load(tokenizer)
-    shared = spark.sparkContext.broadcast({"key": hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest(), "spec": spec})
+    shared = _share(spark, tokenizer)
     # ids pass through Python as strings: long ids beside nulls would become floating point numbers
     rows = docs.select(F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     schema = "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string" \
@@ -326,8 +331,7 @@ def decode_ids(encoded: DataFrame, tokenizer: str, ids: str = "ids", out: str =
     """``encoded`` with the text that its id arrays decode to (null ids: empty text)."""
     spark = encoded.sparkSession
     prepare(spark)
-    spec = load(tokenizer)
-    shared = spark.sparkContext.broadcast({"key": hashlib.sha256(json.dumps(spec, sort_keys=True).encode()).hexdigest(), "spec": spec})
+    shared = _share(spark, tokenizer)
 
     @F.pandas_udf("string")
     def decode(col: pd.Series) -> pd.Series:
