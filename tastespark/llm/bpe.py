@@ -27,6 +27,7 @@ length; only the two named columns of the input are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -40,7 +41,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastespark.llm.common import prepare
+from tastespark.llm.common import hold, make_room, prepare
 
 #: Words remembered by one Python worker; the memory of a task is bounded by it.
 CACHED_WORDS = 200_000
@@ -276,12 +277,20 @@ def _share(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
+def _forget() -> None:
+    """Drop the encoder; its states refer to it, so the collector has to run."""
+    _LOADED.clear()
+    gc.collect()
+
+
 def _encoder(file: Broadcast) -> PrefixEncoder:
     """One encoder per worker process and file; the parsed file is not kept beside it."""
     key = hashlib.sha256(file.value).hexdigest()
     if key not in _LOADED:
+        make_room("bpe")
         _LOADED.clear()
         _LOADED[key] = PrefixEncoder(json.loads(file.value))
+        hold("bpe", _forget)
     return _LOADED[key]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 import numpy as np
@@ -36,6 +37,20 @@ def batch_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, drop: Callable[[], None]) -> None:
+    """Name a table that this worker process keeps between tasks, and how to drop it."""
+    _HELD[name] = drop
+
+
+def make_room(name: str = "") -> None:
+    """Drop what other operators keep in this process: workers are reused by later stages."""
+    for other in [k for k in _HELD if k != name]:
+        _HELD.pop(other)()
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A folder of this call's own below the shared checkpoint folder."""
     return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tastespark.llm.common import prepare, stored
+from tastespark.llm.common import make_room, prepare, stored
 
 FEATURES = ["log_words", "word_length", "upper", "digit", "mark", "repeat", "distinct", "line_repeat", "bare_mark", "mark_end"]
 _UPPER = bytes(range(0x41, 0x5B))
@@ -68,6 +68,7 @@ def text_features(text: str | None) -> tuple[float, ...]:
 
 @F.pandas_udf(ArrayType(DoubleType()))
 def features_of(texts: pd.Series) -> pd.Series:
+    make_room()
     return pd.Series([np.array(text_features(t)) for t in texts], dtype=object)
 
 

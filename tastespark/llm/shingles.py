@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tastespark.llm.common import mix64, text_chunks
+from tastespark.llm.common import make_room, mix64, text_chunks
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -50,6 +50,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list, width: int = 5):
     """(index, sorted distinct shingle hashes as unsigned 64-bit) for each text in order.  With fewer
     words than ``width`` the whole sequence is one shingle; without words the set is empty."""
+    make_room()
     for a, b in text_chunks(texts, 1 << 20):
         h, first = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in texts[a:b]])
         n = len(h) - width + 1
