@@ -4,14 +4,17 @@
 archive files of bounded size.  Payloads are deduplicated by SHA-1: of the
 records with equal payloads (of at least ``min_bytes``) the one with the smallest
 page_id is a ``response``, the others are ``revisit`` records that keep the HTTP
-header (with the payload's length) and refer to the response.
+header (with the payload's length) and refer to the response by its id and its target URI.
+Readers find that response through the index: a revisit is ``intact`` where an intact response of
+that id has its digest and length, and its payload is the response's.
 
 The capture index is built as in large web archives: keys are URLs with the host
 reversed (``com,example,www)/path``), sorted globally by range partitioning, cut
 into blocks of ``block_lines`` entries and compressed; a sparse directory keeps the first and
 last key, file, offset and length of every block.  ``lookup`` binary-searches the
 directory, range-reads and binary-searches one block per key, and range-reads the
-records; ``read_all`` reads every block of the directory and then every archive in
+records, and does the same for the target URIs of revisits whose responses are not among
+them; ``read_all`` reads every block of the directory and then every archive in
 ranges that cover neighbouring records.
 
 Scale: the payloads are shuffled at most once, in the join with the table of
@@ -55,22 +58,29 @@ READ_BYTES = 4 << 20
 
 ENTRY = "key string, page_id bigint, url string, file string, offset bigint, length bigint"
 RECORD = ("page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
-          "refers_to bigint, intact boolean")
+          "refers_to bigint, refers_to_url string, intact boolean")
 
 
 # -- keys and records ----------------------------------------------------------
 
+def target_uri(url: str | None) -> str:
+    """The URL as records write it: without white space at its ends, control characters and spaces escaped."""
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", (url or "").strip())
+
+
 def capture_key(url: str | None) -> str:
-    """The URL with its host reversed: scheme, user, default port and fragment dropped."""
+    """The target URI with its host reversed: scheme, user, default port and fragment dropped.  A URL and its target
+    URI have one key."""
+    url = target_uri(url)
     if not url:
         return ""
     try:
-        u = urlsplit(url.strip())
+        u = urlsplit(url)
         host, port = (u.hostname or "").rstrip("."), u.port
     except ValueError:
-        return url.strip().lower()
+        return url.lower()
     if not host:
-        return url.strip().lower()
+        return url.lower()
     port = "" if port in (None, 80, 443) else f":{port}"
     reverse = host if re.fullmatch(r"[0-9.]+|.*:.*", host) else ",".join(reversed(host.split(".")))
     return f"{reverse}{port}){u.path or '/'}" + (f"?{u.query}" if u.query else "")
@@ -90,16 +100,16 @@ def page_of(uri: str | None) -> int | None:
 
 
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None,
-                 revisit: bool, date: str) -> bytes:
+                 refers_to_url: str | None, revisit: bool, date: str) -> bytes:
     """One WARC record as a gzip member."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode("ascii")
     block = http if revisit else http + payload
-    target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_uri(page_id)}",
-            f"WARC-Date: {date}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}",
+            f"WARC-Date: {date}", f"WARC-Target-URI: {target_uri(url)}", f"WARC-Payload-Digest: sha1:{digest}",
             "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     if revisit:
-        head[5:5] = [f"WARC-Refers-To: {record_uri(refers_to)}",
+        head[5:5] = [f"WARC-Refers-To: {record_uri(refers_to)}", f"WARC-Refers-To-Target-URI: {target_uri(refers_to_url)}",
+                     f"WARC-Refers-To-Date: {date}",
                      "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     data = "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + block + b"\r\n\r\n"
     z = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -107,7 +117,8 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
 
 
 def parse_record(member: bytes) -> dict:
-    """Headers, HTTP headers and payload of a record; ``intact``: lengths and digest hold."""
+    """Headers, HTTP headers and payload of a record; ``intact``: lengths and digest hold (a revisit has no payload of
+    its own to hold them against; ``resolved`` does that with its response)."""
     data = zlib.decompress(member, 31)
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = dict(x.split(": ", 1) for x in head.decode("utf-8").split("\r\n")[1:])
@@ -119,7 +130,8 @@ def parse_record(member: bytes) -> dict:
     whole = revisit or (len(payload) == length and base32_sha1(hashlib.sha1(payload).digest()) == digest)
     return {"page_id": page_of(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"], "payload": payload,
             "payload_bytes": length, "payload_digest": digest, "record_type": fields["WARC-Type"],
-            "refers_to": page_of(fields.get("WARC-Refers-To")), "intact": whole and rest[len(block):] == b"\r\n\r\n"}
+            "refers_to": page_of(fields.get("WARC-Refers-To")), "refers_to_url": fields.get("WARC-Refers-To-Target-URI"),
+            "intact": whole and rest[len(block):] == b"\r\n\r\n"}
 
 
 # -- files -------------------------------------------------------------------
@@ -175,19 +187,32 @@ def _task_file(folder: str, suffix: str):
     return uri, fs.open_output_stream(path, compression=None)
 
 
+def _frame(rows: list, names: list[str], ids: tuple[str, ...]) -> pd.DataFrame:
+    """Rows as a frame; ``ids`` beside nulls keep their value (they would pass through floating point numbers)."""
+    pdf = pd.DataFrame(rows, columns=names, dtype=object)
+    return pdf.assign(**{c: pd.array(pdf[c].tolist(), dtype="Int64") for c in ids})
+
+
+def _entry_frame(rows: list) -> pd.DataFrame:
+    return _frame(rows, ["key", "page_id", "url", "file", "offset", "length"], ("page_id",))
+
+
 # -- writing -----------------------------------------------------------------
 
 def record_plan(pages: DataFrame, page_id: str, url: str, html: str, min_bytes: int) -> DataFrame:
-    """page_id, url, payload, digest (hex), revisit, refers_to."""
+    """page_id, url, payload, digest (hex), revisit, refers_to, refers_to_url."""
     payload = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(f"`{page_id}`").cast("bigint").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
                         payload.alias("payload"), F.sha1(payload).alias("digest"))
+    # the smallest page_id with its url; rows that share it are all responses, and the smallest of their urls names them
+    named = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("m")
     repeated = rows.filter(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
-        F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("digest").alias("d"), "first")
+        named, F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        F.col("digest").alias("d"), F.col("m.page_id").alias("first"), F.col("m.url").alias("first_url"))
     j = rows.join(repeated, F.col("digest") == F.col("d"), "left")
     revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
     return j.select("page_id", "url", "payload", "digest", revisit.alias("revisit"),
-                    F.when(revisit, F.col("first")).alias("refers_to"))
+                    F.when(revisit, F.col("first")).alias("refers_to"), F.when(revisit, F.col("first_url")).alias("refers_to_url"))
 
 
 def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "page_id", url: str = "url", html: str = "html",
@@ -206,7 +231,8 @@ def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "pa
             for r in pdf.itertuples(index=False):
                 page = None if r.page_id is None else int(r.page_id)
                 first = None if r.refers_to is None else int(r.refers_to)
-                data = record_bytes(page, r.url, bytes(r.payload), base32_sha1(bytes.fromhex(r.digest)), first, bool(r.revisit), date)
+                data = record_bytes(page, r.url, bytes(r.payload), base32_sha1(bytes.fromhex(r.digest)), first, r.refers_to_url,
+                                    bool(r.revisit), date)
                 if out is None:
                     uri, out = _task_file(archives, "warc.gz")
                     at = 0
@@ -216,7 +242,7 @@ def write_archives(pages: DataFrame, root: str | None = None, page_id: str = "pa
                 if at >= ARCHIVE_BYTES:
                     out.close()
                     out = None
-            yield pd.DataFrame(rows, columns=["key", "page_id", "url", "file", "offset", "length"]).astype({"page_id": "Int64"})
+            yield _entry_frame(rows)
         if out is not None:
             out.close()
 
@@ -271,9 +297,8 @@ def index_entries(spark: SparkSession, store: Store) -> DataFrame:
         files = Files()
         for pdf in batches:
             for b in pdf.itertuples(index=False):
-                rows = [(k, int(p) if p else None, None, f, int(o), int(n)) for k, p, f, o, n in
-                        _block_entries(files, b.file, int(b.offset), int(b.length))]
-                yield pd.DataFrame(rows, columns=["key", "page_id", "url", "file", "offset", "length"]).astype({"page_id": "Int64"})
+                yield _entry_frame([(k, int(p) if p else None, None, f, int(o), int(n)) for k, p, f, o, n in
+                                    _block_entries(files, b.file, int(b.offset), int(b.length))])
 
     blocks = spark.read.schema("first_key string, last_key string, file string, offset bigint, length bigint, n bigint").parquet(store.directory)
     # a block stands for thousands of records: deal blocks out evenly
@@ -281,13 +306,13 @@ def index_entries(spark: SparkSession, store: Store) -> DataFrame:
 
 
 def read_records(entries: DataFrame, with_payload: bool = False) -> DataFrame:
-    """The records of index entries.  Entries are dealt by archive stretch and sorted by offset, so
+    """The records of index entries, revisits as they stand.  Entries are dealt by archive stretch and sorted by offset, so
     that neighbouring records come with one range read."""
     spark = entries.sparkSession
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files = Files()
-        names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"] + ["payload"] * with_payload
+        names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "refers_to_url", "intact"] + ["payload"] * with_payload
         for pdf in batches:
             spans = list(zip(pdf["file"], pdf["offset"].astype(int), pdf["length"].astype(int)))
             i, out = 0, []
@@ -303,23 +328,42 @@ def read_records(entries: DataFrame, with_payload: bool = False) -> DataFrame:
                     out.append([r[k] for k in names])
                 i = j
                 if len(out) >= 500:
-                    yield pd.DataFrame(out, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                    yield _frame(out, names, ("page_id", "refers_to"))
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield _frame(out, names, ("page_id", "refers_to"))
 
     stretch = F.floor(F.col("offset") / (4 * READ_BYTES))
     dealt = entries.withColumn("_stretch", stretch).repartition(parallelism(spark), "file", "_stretch").sortWithinPartitions("file", "offset")
     return dealt.select("file", "offset", "length").mapInPandas(read, RECORD + ", payload binary" * with_payload)
 
 
+def resolved(records: DataFrame, responses: DataFrame) -> DataFrame:
+    """``records`` with every revisit held against the response that it refers to, found among ``responses``: intact where
+    an intact response of that id has the same digest and length, with that response's payload (null where there is none)."""
+    revisits = records.filter("record_type = 'revisit'")
+    same = (F.col("_id") == F.col("refers_to")) & (F.col("_digest") == F.col("payload_digest"))
+    payload = "payload" in records.columns
+    asked = revisits.select(F.col("refers_to").alias("_id"), F.col("payload_digest").alias("_digest")).distinct()
+    # only what is referred to, written: a join with it is dealt by measured sizes and splits the copies of one payload
+    first = stored(responses.filter("record_type = 'response' AND intact").select(
+        F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes"),
+        *[F.col("payload").alias("_payload")] * payload).join(asked, ["_id", "_digest"], "left_semi").dropDuplicates(["_id", "_digest"]),
+        "warc-responses")
+    whole = F.col("intact") & F.coalesce(F.col("_bytes") == F.col("payload_bytes"), F.lit(False))
+    made = {"intact": whole.alias("intact"), "payload": F.col("_payload").alias("payload") if payload else None}
+    held = revisits.join(first, same, "left").select(*[made.get(c, F.col(c)) for c in records.columns])
+    return records.filter("record_type <> 'revisit'").unionByName(held)
+
+
 def read_all(spark: SparkSession, store: Store, with_payload: bool = False) -> DataFrame:
-    """Every record of the archives, found through the index."""
-    return read_records(index_entries(spark, store), with_payload)
+    """Every record of the archives, found through the index; revisits with their responses."""
+    records = stored(read_records(index_entries(spark, store), with_payload), "warc-records")
+    return resolved(records, records)
 
 
-def lookup(store: Store, urls: DataFrame, url: str = "url", with_payload: bool = True) -> DataFrame:
-    """The captures of each distinct url of ``urls``: their records, by binary search and range reads.
+def captures(store: Store, urls: DataFrame, url: str = "url") -> DataFrame:
+    """The index entries of each distinct url of ``urls``, by binary search and range reads.
 
     Keys are range-partitioned and sorted, so a task loads only the directory rows between its
     batch's smallest and largest key (filtered in the Parquet scan) and reads each block once.
@@ -353,11 +397,24 @@ def lookup(store: Store, urls: DataFrame, url: str = "url", with_payload: bool =
                         rows.append((k, int(p) if p else None, None, f, int(o), int(n)))
                         i += 1
                     b += 1
-            yield pd.DataFrame(rows, columns=["key", "page_id", "url", "file", "offset", "length"]).astype({"page_id": "Int64"})
+            yield _entry_frame(rows)
 
     wanted = urls.select(F.col(f"`{url}`").cast("string").alias("url")).distinct()
     host = F.reverse(F.split(F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#]*)", 1)), r"\."))
     near = wanted.withColumn("_host", F.array_join(host, ",")).repartitionByRange(parallelism(spark), "_host", "url")
     # several urls of a batch or of different batches may share a key
-    return read_records(near.sortWithinPartitions("_host", "url").select("url").mapInPandas(find, ENTRY).dropDuplicates(["file", "offset"]),
-                        with_payload)
+    return near.sortWithinPartitions("_host", "url").select("url").mapInPandas(find, ENTRY).dropDuplicates(["file", "offset"])
+
+
+def lookup(store: Store, urls: DataFrame, url: str = "url", with_payload: bool = True) -> DataFrame:
+    """The captures of each distinct url of ``urls``: their records, revisits with their responses.  Responses that are not
+    among the records are looked up by the revisits' ``refers_to_url``."""
+    records = stored(read_records(captures(store, urls, url), with_payload), "warc-found")
+    have = records.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest")
+    asked = records.filter("record_type = 'revisit'").select("refers_to", "payload_digest", "refers_to_url").distinct()
+    missing = stored(asked.join(have, ["refers_to", "payload_digest"], "left_anti"), "warc-missing")
+    if missing.isEmpty():
+        return resolved(records, records)
+    entries = captures(store, missing, "refers_to_url").join(
+        missing.select(F.col("refers_to").alias("page_id")).distinct(), "page_id", "left_semi")
+    return resolved(records, records.unionByName(read_records(entries, with_payload)))

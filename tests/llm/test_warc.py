@@ -74,3 +74,26 @@ def test_keys_sort_by_reversed_host():
 def test_empty(spark, make):
     s = warc.write_archives(make([], SCHEMA))
     assert warc.read_all(spark, s).count() == 0
+
+
+def test_revisits_are_looked_up_with_their_response(spark, make, store):
+    """The response lies under another url, escaped, and with a long id; copies bring its payload and are held against it."""
+    got = {r.page_id: r for r in warc.lookup(store, make([(None,)], "url string")).collect()}
+    assert got[9].record_type == "revisit" and got[9].refers_to_url == "https://b.a.org/" and bytes(got[9].payload) == b"dup" and got[9].intact
+    big = (1 << 60) + 1
+    rows = [(big, " http://h.org/a b\tc ", "same", None, None), (big + 2, "other\tplace", "same", None, None), (None, "http://n/", "same", None, None)]
+    s = warc.write_archives(make(rows, SCHEMA))
+    for url in ("other\tplace", "http://n/"):
+        r, = warc.lookup(s, make([(url,)], "url string")).collect()
+        assert (r.record_type, r.refers_to, bytes(r.payload), r.intact) == ("revisit", big, b"same", True)
+
+
+def test_a_revisit_whose_response_does_not_match_is_not_intact(spark, make):
+    records = warc.read_all(spark, warc.write_archives(make(ROWS, SCHEMA)), with_payload=True)
+    good = {r.page_id for r in records.filter("record_type = 'revisit' AND intact").collect()}
+    assert good == {3, 8, 9, None}
+    bad = records.withColumn("payload_digest", warc.F.when(warc.F.expr("page_id = 9"), "x").otherwise(warc.F.col("payload_digest"))) \
+        .withColumn("payload_bytes", warc.F.expr("if(page_id = 3, 4L, payload_bytes)"))
+    assert {r.page_id: (r.intact, r.payload) for r in warc.resolved(bad, bad).filter("NOT intact").collect()} == {3: (False, b"dup"), 9: (False, None)}
+    lost = records.filter("record_type = 'revisit'")
+    assert warc.resolved(lost, lost).filter("intact OR payload IS NOT NULL").isEmpty()
