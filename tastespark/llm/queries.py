@@ -23,9 +23,9 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WARC: every page written as a record and read back through the capture index."""
-    store = warc.write_archives(table(spark, sf_dir, "pages"))
-    return warc.read_all(spark, store).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+    """WARC: every page written as a record and looked up by its url through the capture index's directory."""
+    pages = table(spark, sf_dir, "pages")
+    return warc.lookup(warc.write_archives(pages), pages, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

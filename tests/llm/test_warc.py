@@ -5,8 +5,9 @@ import hashlib
 import zlib
 
 import pytest
+from conftest import SF001
 
-from tastespark.llm import warc
+from tastespark.llm import queries, warc
 
 SCHEMA = "page_id long, url string, html string, payload string, digest string"
 ROWS = [(5, "http://www.A.org:80/x?q=1#f", "<p>é</p>", "p", "d"), (3, "https://b.a.org/", "dup", None, None), (2, "https://b.a.org/", "dup", None, None),
@@ -97,3 +98,22 @@ def test_a_revisit_whose_response_does_not_match_is_not_intact(spark, make):
     assert {r.page_id: (r.intact, r.payload) for r in warc.resolved(bad, bad).filter("NOT intact").collect()} == {3: (False, b"dup"), 9: (False, None)}
     lost = records.filter("record_type = 'revisit'")
     assert warc.resolved(lost, lost).filter("intact OR payload IS NOT NULL").isEmpty()
+
+
+def test_query_looks_every_page_up(spark, monkeypatch):
+    """The registered query goes through the directory search, and every page comes back once, intact."""
+    monkeypatch.setattr(warc, "read_all", None)
+    monkeypatch.setattr(warc, "index_entries", None)
+    got = queries.op2_warc(spark, SF001).collect()
+    pages = spark.read.parquet(f"{SF001}/pages.parquet").select("page_id").collect()
+    assert sorted(r.page_id for r in got) == sorted(r.page_id for r in pages) and all(r.intact for r in got)
+
+
+def test_lookup_over_many_blocks(spark, make):
+    """Keys that lie on several blocks, and more urls than one batch, equal the read of every block."""
+    rows = [(i, f"http://h{i % 7}.org/{'same' if i % 3 == 0 else i}", f"p{i % 500}", None, None) for i in range(2500)]
+    df = make(rows, SCHEMA)
+    s = warc.write_archives(df, block_lines=16)
+    cols = ["page_id", "payload_digest", "record_type", "refers_to", "intact"]
+    want = sorted(map(repr, warc.read_all(spark, s).select(*cols).collect()))
+    assert len(want) == 2500 and sorted(map(repr, warc.lookup(s, df, with_payload=False).select(*cols).collect())) == want
