@@ -7,8 +7,9 @@ projection and cut into cells of ``cell_rows``, and two cells meet only where th
 projection's windows reach from one into the other.  In such a meeting every one of
 ``lines`` further projections is sorted, each vector's window of half-width ``1.5 d`` is
 found by binary search, and collisions are counted per pair.  Pairs that reach the
-calibrated count - the largest that a pair at cosine ``t`` still reaches with probability
-``recall`` - are verified by exact cosine.
+calibrated count are verified by exact cosine.  A pair at cosine ``t`` is lost if its cells
+do not meet or its count falls short: reach and count are set so that it is found with
+probability ``recall`` or more by both together.
 
 What leaves a meeting is bounded by its rows: link counts per vector and a spanning forest of
 the verified links, never the links themselves; so a group of copies with n^2 links
@@ -27,6 +28,7 @@ count once as links; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from math import comb, erf, sqrt
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -37,8 +39,10 @@ from tastespark.llm.common import components, parallelism, prepare, stored
 from tastespark.llm.vectors import hashed, matrix, unit, valid_vector
 from tastespark.plans.indexing import row_number_unbounded
 
-#: Half-width of a counting window, and reach of the first projection, in units of the distance bound.
-WINDOW, REACH = 1.5, 3.5
+#: Half-width of a counting window in units of the distance bound.
+WINDOW = 1.5
+#: Share of the loss that ``recall`` allows which cells that do not meet may take; the count has the rest.
+REACH_SHARE = 0.4
 
 
 def collision_threshold(lines: int, recall: float) -> int:
@@ -51,6 +55,13 @@ def collision_threshold(lines: int, recall: float) -> int:
     return count
 
 
+def reach_and_count(lines: int, recall: float) -> tuple[float, int]:
+    """Reach of the first projection, in units of the distance bound, and the collision count: a pair at the bound, whose
+    projections are independent normal deviates, lies within the reach and has the count with probability ``recall``."""
+    apart = REACH_SHARE * (1 - recall)
+    return NormalDist().inv_cdf(1 - apart / 2), collision_threshold(lines, recall / (1 - apart))
+
+
 def collision_pairs(a: np.ndarray, b: np.ndarray, half: float, count: int) -> np.ndarray:
     """Boolean matrix of the pairs (row of ``a``, row of ``b``) whose projections (columns) collide at
     least ``count`` times: per line, ``b`` is sorted and each of ``a`` has a window of its ranks."""
@@ -106,8 +117,8 @@ def links(df: DataFrame, least: float = 0.93, vec_id: str = "vec_id", vector: st
         F.min("vec_id").alias("cid"), F.count_distinct("vec_id").alias("weight"), F.any_value("label").cast("string").alias("label"),
         F.any_value("v").alias("v")), "neardup-classes")
     bound = sqrt(2 - 2 * least)
-    half, reach = WINDOW * bound, REACH * bound
-    count = collision_threshold(lines, recall)
+    far, count = reach_and_count(lines, recall)
+    half, reach = WINDOW * bound, far * bound
 
     def directions(dim: int) -> np.ndarray:
         """Column 0 orders the cells, the others count collisions."""

@@ -128,6 +128,35 @@ def test_collision_threshold_keeps_recall():
     assert (far >= count).mean() < 0.01
 
 
+@pytest.mark.parametrize("recall", [0.99, 0.999, 0.9999])
+def test_reach_and_count_keep_recall_together(recall):
+    reach, count = neardup.reach_and_count(32, recall)
+    p = math.erf(neardup.WINDOW / math.sqrt(2))
+    counted = sum(math.comb(32, k) * p ** k * (1 - p) ** (32 - k) for k in range(count, 33))
+    assert math.erf(reach / math.sqrt(2)) * counted >= recall
+
+
+def test_pair_far_apart_on_the_first_projection_is_found(make):
+    """Cells of one vector: a pair at cosine 0.931 whose first projections differ by 3.8 distance bounds."""
+    lines = np.random.default_rng([11, 32]).normal(size=(32, 33))
+    rng, d, bound = np.random.default_rng(3), math.sqrt(2 - 2 * 0.931), math.sqrt(2 - 2 * 0.93)
+    first, (_, count) = lines[:, 0], neardup.reach_and_count(32, 0.9999)
+    hits = 0
+    while hits < count:
+        side = rng.normal(size=32)
+        side -= side @ first / (first @ first) * first
+        along = 3.8 * bound / d / (first @ first) * first
+        w = along + side / np.linalg.norm(side) * math.sqrt(1 - along @ along)
+        m = rng.normal(size=32)
+        m -= m @ w * w
+        m /= np.linalg.norm(m)
+        u, v = (math.sqrt(1 - d * d / 4) * m + s * d / 2 * w for s in (1, -1))
+        hits = (np.abs((u - v) @ lines[:, 1:]) <= 0.99 * neardup.WINDOW * bound).sum()
+    assert abs((u - v) @ first) > 3.7 * bound
+    got = neardup.near_duplicates(make([(1, u.tolist(), 0, "", ""), (2, v.tolist(), 0, "", "")], SCHEMA), cell_rows=1).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1)]
+
+
 def test_hilbert_curve_is_a_walk():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
     keys = ann.hilbert_keys(grid, 3)
