@@ -205,14 +205,25 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
 
 
+def numbered_events(batch: DataFrame) -> DataFrame:
+    """event_id, user_id, item_id, ts of every message; equal messages are counted and numbered, so that none is dropped
+    and their names do not depend on the order of rows."""
+    message = ["user_id", "item_id", "rate", "epoch_ms"]
+    counted = batch.groupBy(*message, "event_ts").agg(F.count(F.lit(1)).alias("n"))
+    each = counted.withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+    name = F.when(F.col("i") == 1, F.xxhash64(*message)).otherwise(F.xxhash64(*message, "i"))
+    return each.select(name.alias("event_id"), "user_id", "item_id", F.col("event_ts").alias("ts"))
+
+
 def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame], similar: DataFrame,
                     out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
                     rejects_path: str | None = None, pair_scores: neighbors.PairScores | None = None) -> StreamingQuery:
     """STR2 + SNK3: variant A scores appended per batch, with user id and event time (Q15).
 
     Candidates come from ``similar``, partitioned by the event's item; pair similarities come from ``pair_scores``
-    (``neighbors.PairScores``; ``similar`` itself when not given).  Events are named by a hash of their
-    message, so names hold across batches and reruns; equal messages of a batch are one event."""
+    (``neighbors.PairScores``; ``similar`` itself when not given).  Every message is
+    scored.  Events are named by a hash of their message and, from the second of equal messages of a batch on, its
+    number among them; so names hold on replay, and the batch tells apart equal messages of different batches."""
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "variant-a-ckpt")
     pair_scores = similar if pair_scores is None else pair_scores
@@ -227,8 +238,7 @@ def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame
         if batch.isEmpty():                                   # TK6
             return
         log_ratings(batch, f"{out_path}_ratings", batch_id)
-        ev = batch.select(F.xxhash64("user_id", "item_id", "rate", "epoch_ms").alias("event_id"), "user_id", "item_id",
-                          F.col("event_ts").alias("ts")).dropDuplicates(["event_id"])
+        ev = numbered_events(batch)
         seen = live_history(history, ev.select("user_id").distinct(), f"{out_path}_ratings", batch_id)
         scores = neighbors.neighbor_score_a(ev, seen, similar, pair_scores, **neighbors.VARIANT_A)
         write_batch_partition(scores, out_path, batch_id)

@@ -254,3 +254,23 @@ def test_totals_are_compacted(spark, tmpdir_path):
     assert spark.read.parquet(f"{tmpdir_path}/t_snapshot").agg(F.max("version")).first()[0] == 3
     got = {str(r.id): r.asDict() for r in P.current_totals(spark, f"{tmpdir_path}/t").collect()}
     assert sorted(got) == ["0", "1"] and 6 in got["0"].values() and 9 in got["1"].values()
+
+
+def test_equal_messages_of_a_batch_are_all_scored(spark, tmpdir_path):
+    """The same message three times in one batch and once in the next: four scores, and a replay names them alike."""
+    os.makedirs(f"{tmpdir_path}/msgs")
+    for i, n in enumerate((3, 1)):
+        with open(f"{tmpdir_path}/msgs/m{i}.txt", "w") as f:
+            f.write("1,2,3.0,1700000000000\n" * n)
+        os.utime(f"{tmpdir_path}/msgs/m{i}.txt", (1700000000 + i, 1700000000 + i))
+    hist = spark.createDataFrame([(1, 5, 4.0, 1)], "user_id bigint, item_id bigint, rating double, ts bigint")
+    sim = spark.createDataFrame([(2, 5, 0.9)], "id1 bigint, id2 bigint, similarity double")
+
+    def scored(name):
+        msgs = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{tmpdir_path}/msgs")
+        P.start_variant_a(spark, msgs, hist, sim, f"{tmpdir_path}/{name}", f"{tmpdir_path}/ck-{name}", NOW).awaitTermination()
+        return sorted((r.batch_id, r.event_id) for r in spark.read.parquet(f"{tmpdir_path}/{name}").collect())
+
+    first = scored("a")
+    assert [b for b, _ in first] == [0, 0, 0, 1] and len(set(first)) == 4
+    assert scored("b") == first
