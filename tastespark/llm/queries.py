@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import ann, bpe, chat, lines, mixing, neardup, ngram_join, pii, quality, warc
+from tastespark.llm import ann, bpe, chat, lines, mixing, neardup, ngram_join, periodic, pii, quality, warc
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -75,6 +75,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), TOKENIZER)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs: their number, the longest, and digests of all runs and of the collapsed text, per document."""
+    return periodic.run_digests(periodic.with_planted_repeats(documents(spark, sf_dir)))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc": op2_warc,
@@ -86,6 +91,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {}

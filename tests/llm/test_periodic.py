@@ -1,0 +1,128 @@
+"""Periodic runs against the definition, word by word; tiles and stitching at small tile sizes."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from conftest import SF001
+
+from tastespark.io import table
+from tastespark.llm import periodic
+from tastespark.llm.queries import op11_periodic_runs
+
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_runs(words):
+    """All (start, length, period): for every period the maximal stretches, smallest period of equal ends."""
+    n, best = len(words), {}
+    for q in range(n // 2, 0, -1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(12, 2 * q):
+                best[i, j + q] = q
+            i = j
+    return sorted((s, e - s, q) for (s, e), q in best.items())
+
+
+def plain_row(text, doc_id=None, planted=False):
+    words = SPLIT.findall(text or "")
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if planted and doc_id is not None else 1
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    runs = plain_runs(words)
+    gone = {i for s, k, q in runs for i in range(s + q, s + k)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    numbers = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (len(runs), *numbers, sha("".join(f"{s},{k},{q}\n" for s, k, q in runs)),
+            sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def words_with_runs(rnd, n, alphabet):
+    """Random words with periodic stretches of many scales, nested ones too."""
+    out = []
+    while len(out) < n:
+        piece = [rnd.randrange(alphabet) for _ in range(rnd.choice([1, 2, 3, 5, 8, 20, 50]))]
+        if rnd.random() < 0.3:
+            piece = piece * rnd.randint(2, 4) + piece[:1]
+        out += (piece * rnd.randint(1, 9))[:rnd.randint(1, max(2, n // 2))]
+    return out[:n]
+
+
+def test_solver_against_the_definition():
+    rnd = random.Random(5)
+    for round_ in range(60):
+        parts = [words_with_runs(rnd, rnd.choice([0, 1, 11, 12, 13, 40, 150, 400]), rnd.choice([1, 2, 3, 50])) for _ in range(6)]
+        p, s, e, q = periodic.solve([np.array(x, dtype=np.int64) for x in parts])
+        got = [sorted((int(b), int(c - b), int(d)) for a, b, c, d in zip(p, s, e, q) if a == i) for i in range(len(parts))]
+        assert got == [plain_runs(x) for x in parts], round_
+
+
+@pytest.mark.parametrize("text", ["a " * 12, "a " * 11, "a b " * 6, " ".join("abcdefg") + " " + " ".join("abcdefg"),
+                                  " ".join("abaababaabaab" * 9), "x " + "p q r " * 30 + "p q r " * 2 + "y"])
+def test_single_texts(text):
+    words = periodic.words_of(text)
+    _, s, e, q = periodic.solve([periodic.word_codes(words)])
+    assert sorted(zip(s.tolist(), (e - s).tolist(), q.tolist())) == plain_runs(words)
+
+
+def test_thue_morse_words_have_only_short_runs():
+    word = [0]
+    while len(word) < 4096:
+        word += [1 - x for x in word]
+    p, s, e, q = periodic.solve([np.array(word, dtype=np.int64)])
+    assert sorted(zip(s.tolist(), (e - s).tolist(), q.tolist())) == plain_runs(word)
+
+
+@pytest.mark.parametrize("tile", [32, 64, 4096])
+def test_tiles_stitch_to_the_same_runs(spark, make, tile):
+    rnd = random.Random(tile)
+    texts = [" ".join(f"w{x}" for x in words_with_runs(rnd, n, 3)) for n in (30, 33, 64, 100, 300, 900, 900)]
+    texts += ["a " * 700, "a b c " * 300, None, "", " \t\n ", "é x " * 40, texts[4]]
+    docs = make([(i // 2 if i else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, codes string")
+    got = sorted(map(str, (tuple(r) for r in periodic.run_digests(docs, tile=tile).collect())))
+    ids = [i // 2 if i else None for i in range(len(texts))]
+    assert got == sorted(str((d, *plain_row(t))) for d, t in zip(ids, texts))
+    listed = sorted(tuple(r)[1:] for r in periodic.document_runs(docs, tile=tile).collect())
+    assert listed == sorted(r for t in texts for r in plain_runs(SPLIT.findall(t or "")))
+    clean = sorted(map(str, (r.text for r in periodic.collapsed_text(docs, tile=tile).collect())))
+    kept = []
+    for t in texts:
+        words = SPLIT.findall(t or "")
+        runs = plain_runs(words)
+        gone = {i for s, k, q in runs for i in range(s + q, s + k)}
+        kept.append(" ".join(w for i, w in enumerate(words) if i not in gone) if runs else t)
+    assert clean == sorted(map(str, kept))
+
+
+def test_empty_table(make):
+    docs = make([], "doc_id long, text string")
+    assert periodic.run_digests(docs).collect() == [] and periodic.document_runs(docs).collect() == []
+
+
+def test_registered_query(spark):
+    docs = {r.doc_id: r.text for r in table(spark, SF001, "documents").select("doc_id", "text").collect()}
+    got = {r.doc_id: tuple(r)[1:] for r in op11_periodic_runs(spark, SF001).collect()}
+    assert got == {i: plain_row(t, i, planted=True) for i, t in docs.items()}
+
+
+def test_planting_of_null_and_empty_rows(spark, make):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = [(ids[0], None), (ids[1], ""), (ids[2], "one"), (None, "a b c"), (ids[3], " ".join(f"w{i}" for i in range(50)))]
+    docs = make(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in periodic.run_digests(periodic.with_planted_repeats(docs)).collect()}
+    assert got == {i: plain_row(t, i, planted=True) for i, t in rows}
