@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastespark.io import table
-from tastespark.llm import ann, bpe, chat, lines, mixing, neardup, ngram_join, periodic, pii, quality, warc
+from tastespark.llm import ann, bpe, chat, decontaminate, lines, mixing, neardup, ngram_join, periodic, pii, quality, warc, whitening
 from tastespark.llm.common import documents
 
 #: File of the tokenizer that the production run uses.
@@ -80,6 +80,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(periodic.with_planted_repeats(documents(spark, sf_dir)))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitening: every vector on the 16 leading components of the distinct vectors, and its exact deviation."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decontamination: words, words hit by benchmark windows, and the items found, per document."""
+    found = decontaminate.scan(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("item_ids"), ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc": op2_warc,
@@ -92,6 +105,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
@@ -200,3 +215,28 @@ LEFT JOIN bodies b ON b.conv IS NOT DISTINCT FROM m.conv_id AND b.turn IS NOT DI
 LEFT JOIN reply r ON r.conv = m.conv_id AND r.turn = m.turn AND r.text = m.text
 LEFT JOIN roots t ON r.reply_to IS NOT NULL AND t.conv = m.conv_id AND t.turn = m.turn
 """
+
+# the windows as joined words, equal ones joined; rows are numbered, since ids may repeat
+ORACLES["op13_decontaminate"] = r"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(words[i:i + m - 1], ' ') AS key
+  FROM (SELECT item_id, words, least(10, len(words)) AS m, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM items WHERE len(words) > 0)),
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents),
+grams AS (
+  SELECT rid, m, i, array_to_string(words[i:i + m - 1], ' ') AS key
+  FROM (SELECT rid, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(words) >= m)),
+found AS (SELECT DISTINCT g.rid, g.m, g.i, w.item_id FROM grams g JOIN windows w ON g.m = w.m AND g.key = w.key),
+hits AS (SELECT rid, count(DISTINCT i) AS n FROM (SELECT rid, unnest(range(i, i + m)) AS i FROM found) GROUP BY rid),
+named AS (
+  SELECT rid, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT d.doc_id, len(d.words) AS n_words, COALESCE(h.n, 0) AS n_hit, COALESCE(x.n, 0) AS n_items,
+  sha256(COALESCE(x.ids, '')) AS items_sha256, COALESCE(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h ON d.rid = h.rid LEFT JOIN named x ON d.rid = x.rid
+"""

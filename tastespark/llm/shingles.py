@@ -30,11 +30,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the texts in order (A-Z in lower case), and the first word of each text
-    (one entry more than texts).  A word's hash is a polynomial over random byte values, mixed."""
+    (one entry more than texts).  A word's hash is a polynomial over random byte values, mixed.
+    ``separator`` tells for each byte whether it stands between words; a space always does."""
     data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)]
-    gap = _SEPARATOR[data]
+    gap = separator[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     # the buffer ends in a separator, so words begin and end alternately at the edges
     marks = edge if gap[0] else np.concatenate([[0], edge])
