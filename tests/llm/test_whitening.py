@@ -79,7 +79,7 @@ def test_small_table_with_odd_rows(make):
     rng = np.random.default_rng(1)
     rows = [(i, [float(c) for c in rng.standard_normal(5)]) for i in range(60)]
     rows += [(60, rows[0][1]), (60, rows[0][1]), (None, rows[1][1]), (61, None), (62, []), (63, [1.0, None, 0.0, 0.0, 0.0]),
-             (64, [float("nan")] * 5), (65, [float("inf"), 0, 0, 0, 0.0]), (66, [0.0] * 5), (67, rows[0][1])]
+             (64, [float("nan")] * 5), (65, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (66, [0.0] * 5), (67, rows[0][1])]
     emb = make([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, n int, x string")
     compare(w.whiten(emb).collect(), rows)
     other = make([(i, v) for i, v in rows] + [(99, [1.0, 2.0])], "vec_id long, embedding array<double>")
