@@ -8,7 +8,8 @@ and are shrunk, paths toward their host and hosts toward the global share, the
 more the fewer documents a site has.  The strength of the shrinkage is itself
 estimated from the spread between sites (method of moments for a beta-binomial).
 The posterior replaces the global prior odds in the document's evidence by its
-site's odds, leaving the document's own share out of its path's count; documents
+site's odds, leaving the document's own share out of its path's and its host's
+count (a document alone on its host has the global share as prior); documents
 with a posterior of at least ``keep_at`` stay.
 
 A host is the source's host name (or the whole source where it is no URL), a
@@ -125,10 +126,11 @@ def _strength(rates: DataFrame, mean: Column | float) -> float:
 
 @dataclass
 class Sites:
-    """Per (host, path): ``n``, ``s`` and the host's share; the global share; strength of the path level."""
+    """Per (host, path): ``n``, ``s`` and the host's ``hn``, ``hs``; the global share; strength of both levels."""
 
     table: DataFrame
     share: float
+    host_strength: float
     path_strength: float
 
 
@@ -139,22 +141,27 @@ def fit_sites(scored: DataFrame) -> Sites:
     share = min(max(total["s"] / total["n"], 1e-6), 1 - 1e-6) if total["n"] else 0.5
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     k = _strength(hosts, share)
-    hosts = hosts.select(F.col("host").alias("h"), ((F.col("s") + k * share) / (F.col("n") + k)).alias("host_share"))
+    hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("hn"), F.col("s").alias("hs"))
     both = stored(paths.join(hosts, F.col("host").eqNullSafe(F.col("h")), "left").drop("h"), "quality-sites")
-    return Sites(both, share, _strength(both, F.col("host_share")))
+    return Sites(both, share, k, _strength(both, (F.col("hs") + k * share) / (F.col("hn") + k)))
 
 
 def with_posterior(rows: DataFrame, sites: Sites) -> DataFrame:
     """Adds ``prior`` (the shrunk share of the document's path) and ``posterior`` to rows with host, path, p."""
     t = sites.table.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("n").alias("_n"),
-                           F.col("s").alias("_s"), F.col("host_share").alias("_hs"))
+                           F.col("s").alias("_s"), F.col("hn").alias("_hn"), F.col("hs").alias("_hs"))
     j = rows.join(t, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")), "left")
-    k = F.lit(sites.path_strength)
+
+    def others(n: str, s: str, toward: Column, strength: float) -> Column:
+        """Share of the site's other documents, shrunk toward the level above."""
+        return (F.greatest(F.col(s) - F.col("p"), F.lit(0.0)) + F.lit(strength) * toward) / (F.col(n) - 1 + F.lit(strength))
+
+    host = others("_hn", "_hs", F.lit(sites.share), sites.host_strength)
     prior = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.coalesce(
-        (F.greatest(F.col("_s") - F.col("p"), F.lit(0.0)) + k * F.col("_hs")) / (F.col("_n") - 1 + k), F.lit(sites.share))))
+        others("_n", "_s", host, sites.path_strength), F.lit(sites.share))))
     odds = F.col("prior") / (1 - F.col("prior")) * F.lit((1 - sites.share) / sites.share)
     return j.withColumn("prior", prior).withColumn(
-        "posterior", F.col("p") * odds / (F.col("p") * odds + 1 - F.col("p"))).drop("_h", "_p", "_n", "_s", "_hs")
+        "posterior", F.col("p") * odds / (F.col("p") * odds + 1 - F.col("p"))).drop("_h", "_p", "_n", "_s", "_hn", "_hs")
 
 
 def _present(text: Column) -> Column:

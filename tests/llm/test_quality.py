@@ -43,6 +43,62 @@ def test_priors_shrink_and_decide(make):
     assert abs(out[900].prior - mean) < 0.15                 # a site of one document has nearly the global share
 
 
+def recomputed(rows, keep_at=0.5):
+    """Priors, posteriors and decisions from (host, path, evidence), by the formulas and with plain loops."""
+    n, total = len(rows), sum(p for _, _, p in rows)
+    share = min(max(total / n, 1e-6), 1 - 1e-6)
+
+    def strength(groups):
+        """groups: (size, sum, prior mean)"""
+        size, k = sum(g[0] for g in groups), len(groups)
+        if k < 2:
+            return 100.0
+        spread = sum(c * (s / c - m) ** 2 / max(m * (1 - m), 1e-9) for c, s, m in groups) - (k - 1)
+        spread /= max(size - sum(c * c for c, _, _ in groups) / size, 1e-9)
+        return min(max(1 / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
+
+    hosts, paths = {}, {}
+    for h, p, e in rows:
+        for table, key in ((hosts, h), (paths, (h, p))):
+            c, s = table.get(key, (0, 0.0))
+            table[key] = c + 1, s + e
+    kh = strength([(c, s, share) for c, s in hosts.values()])
+    kp = strength([(c, s, (hosts[h][1] + kh * share) / (hosts[h][0] + kh)) for (h, _), (c, s) in paths.items()])
+    out = []
+    for h, p, e in rows:
+        (hn, hs), (pn, ps) = hosts[h], paths[h, p]
+        host = (max(hs - e, 0.0) + kh * share) / (hn - 1 + kh)
+        prior = min(max((max(ps - e, 0.0) + kp * host) / (pn - 1 + kp), 1e-6), 1 - 1e-6)
+        odds = prior / (1 - prior) * (1 - share) / share
+        posterior = e * odds / (e * odds + 1 - e)
+        out.append((prior, posterior, posterior >= keep_at))
+    return out
+
+
+@pytest.mark.parametrize("given", ["small", "sf0.01"])
+def test_posteriors_against_plain_loops(spark, make, given):
+    if given == "small":
+        docs, labels = corpus()
+        docs += [(900, "the river of stone walks", "en", "https://new.org/a", 1, 0.0, 0.0), (None, "BUY!! " * 9, None, None, 1, 0.0, 0.0)]
+        docs, labels = make(docs, DOCS), make(labels, LABELS)
+    else:
+        docs, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
+    scored = quality.fit(docs, labels)[0].select("doc_id", "host", "path", "p").collect()
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    for r, (prior, posterior, keep) in zip(scored, recomputed([(r.host, r.path, r.p) for r in scored])):
+        mine = got[r.doc_id]
+        assert abs(mine.evidence - r.p) < 1e-9 and abs(mine.prior - prior) < 1e-9 and abs(mine.posterior - posterior) < 1e-9
+        assert mine.keep == keep or abs(posterior - 0.5) < 1e-9
+
+
+def test_a_document_alone_on_its_host_has_the_global_share(spark, make):
+    rows = [(f"h{i % 5}", "p", float(i % 2)) for i in range(40)] + [("alone", "p", 1.0), ("sure", "q", 0.0)]
+    scored = make(rows, "host string, path string, p double")
+    sites = quality.fit_sites(scored)
+    out = {r.host: r.prior for r in quality.with_posterior(scored, sites).filter("host IN ('alone', 'sure')").collect()}
+    assert abs(out["alone"] - sites.share) < 1e-12 and abs(out["sure"] - sites.share) < 1e-12
+
+
 def test_stage_keeps_rows_and_columns(make):
     docs, labels = corpus()
     df = make(docs, DOCS)
