@@ -103,8 +103,8 @@ def thresholds(units: DataFrame, targets: DataFrame) -> DataFrame:
         edge = over.groupBy("source", "_rest").agg(
             F.min(F.struct("_child", (F.col("_before") + F.col("_cum")).alias("b"), "_sum")).alias("m")).select(
             "source", "_rest", F.col("m._child").alias("_prefix"), F.col("m.b").alias("_before"), F.col("m._sum").alias("_sum"))
-    # the boundary hash itself is taken when that comes nearer to the budget
-    end = edge.select(F.col("source").alias("_s"),
+    # the boundary hash itself is taken when that comes nearer to the budget; nothing is where nothing is left to take
+    end = edge.filter("_rest > 0").select(F.col("source").alias("_s"),
                       (F.col("_prefix") + (F.col("_before") + F.col("_sum") / 2 <= F.col("_rest")).cast("bigint")).alias("threshold"))
     return t.join(end, F.col("source").eqNullSafe(F.col("_s")), "left").select(
         "source", "source_size", "target", "repeats", F.coalesce("threshold", F.lit(0).cast("bigint")).alias("threshold"))

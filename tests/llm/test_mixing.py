@@ -56,6 +56,14 @@ def test_cap_reshares_and_null_source(make):
     assert target["a"] == 6 and taken["a"] == 6 and target["b"] == 0
 
 
+def test_empty_documents_of_a_source_at_its_cap(make):
+    """Nothing is left to take beyond three copies: no document is taken a fourth time."""
+    rows = [(i, "a b" if i % 2 else "", "a", None, None) for i in range(40)] + [(i, "w " * 50, "b", None, None) for i in range(50, 90)]
+    got = [g for g in mixing.mix(make(rows, SCHEMA)).collect() if g.source == "a"]
+    assert {g.repeats for g in got} == {3} and got[0].target == 120
+    assert mixing.mixed_rows(make(rows, SCHEMA)).filter("source = 'a'").count() == 120
+
+
 def test_nested_budgets(make):
     """A smaller budget takes a subset: hashes decide, not order."""
     rows = [(i, "w " * 3, "a" if i % 2 else "b", None, None) for i in range(200)]
