@@ -17,12 +17,13 @@ islands of the corpus: base spans label them, and altered copies (phone without
 spelled at-sign, dotted card groups) teach the variants; whatever the rules reject in them
 stays an example of no entity.
 
-Scale: one pass over the texts, no shuffle; the sample is bounded by ``max_islands``, weights are
-about a hundred numbers.
+Scale: one pass over the texts that hold a digit or an at-sign takes the sample, every task keeping its ``max_islands``
+islands of smallest hash, so that a shuffle carries that many rows a task at most; a second pass without a
+shuffle finds the spans.  Weights are about a hundred numbers.
 
 Defined results: null text is empty and has no spans; offsets count code points, ends are
 exclusive; whole texts are searched in linear time; repeated rows give repeated results; without any base span in the
-sample nothing is added; an empty table gives no rows; other columns are ignored.
+sample nothing is added; an empty table gives no rows; other columns are kept, and a column named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -317,10 +318,16 @@ def train(parts: list[str], epochs: int = 25, seed: int = 5) -> np.ndarray:
 def island_sample(docs: DataFrame, text: str, limit: int = MAX_ISLANDS) -> list[str]:
     """At most ``limit`` distinct islands of the corpus, those with the smallest hashes."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The smallest of a task: twice as many are held at most, whatever it reads."""
+        best: dict[str, str] = {}
         for pdf in batches:
-            parts = {t[s:e] for t in pdf["t"] if t for s, e in islands(t) if e - s <= 4 * MAX_CHARS}
-            keyed = sorted((hashlib.md5(p.encode("utf-8", "replace")).hexdigest(), p) for p in parts)[:limit]
-            yield pd.DataFrame(keyed, columns=["h", "part"])
+            for t in pdf["t"]:
+                for s, e in islands(t) if t else ():
+                    if e - s <= 4 * MAX_CHARS:
+                        best[hashlib.md5(t[s:e].encode("utf-8", "replace")).hexdigest()] = t[s:e]
+                if len(best) > 2 * limit:
+                    best = dict(sorted(best.items())[:limit])
+        yield pd.DataFrame(sorted(best.items())[:limit], columns=["h", "part"])
 
     found = docs.select(F.col(f"`{text}`").cast("string").alias("t")).filter(F.col("t").rlike("[0-9@]")).mapInPandas(cut, "h string, part string")
     return [r["part"] for r in found.distinct().orderBy("h").limit(limit).collect()]
