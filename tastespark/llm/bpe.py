@@ -52,6 +52,36 @@ END = "\x00"
 
 # Unicode White_Space, which is what the file's patterns mean by \s
 SPACE = "\t-\r \x85\xa0  -     　"
+# Code points that this Python's tables have as letters or numbers and the tokenizers library's have not
+NO_LETTER_OR_NUMBER = (
+    "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"
+    "\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb"
+    "\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3"
+    "\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191"
+    "\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96"
+    "\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4"
+    "\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f")
+# Marks that composition in the library's tables neither moves nor joins
+FIXED_MARKS = (
+    "\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c\U00010d24-\U00010d27"
+    "\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50\U00010f82-\U00010f85\U00011070\U0001133b\U0001145e"
+    "\U00011839-\U0001183a\U00011930\U0001193d-\U0001193e\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42"
+    "\U00011d44-\U00011d45\U00011d97\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae"
+    "\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef")
+# Lower forms that the library's tables have beyond this Python's
+LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+         **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+_MARK = regex.compile(f"([{FIXED_MARKS}])")
+_ODD = regex.compile(f"[{NO_LETTER_OR_NUMBER}]")
+
+
+def _latin(text: str) -> bool:
+    """No character beyond U+00FF, where all tables agree."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def byte_alphabet() -> list[str]:
@@ -102,7 +132,13 @@ class PrefixEncoder:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) \
             if self.special else None
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(split.replace(r"[^\s", f"[^{SPACE}"))
+        self.plain_words = regex.compile(split.replace(r"[^\s", f"[^{SPACE}"))
+        # letters, numbers and white space as the library's tables have them
+        kinds = {"[\\p{L}]": f"[\\p{{L}}--[{NO_LETTER_OR_NUMBER}]]", "[\\p{N}]": f"[\\p{{N}}--[{NO_LETTER_OR_NUMBER}]]",
+                 "[^\\s\\p{L}\\p{N}]": f"[[^{SPACE}\\p{{L}}\\p{{N}}]||[{NO_LETTER_OR_NUMBER}]]"}
+        for plain, exact in kinds.items():
+            split = split.replace(plain, exact)
+        self.words = regex.compile(split, regex.VERSION1)
         self.byte = byte_alphabet()
         self._merges(model["merges"])
         self._automaton()
@@ -238,7 +274,11 @@ class PrefixEncoder:
         (the capital sigma has one lower form, wherever it stands).  Only words
         are read afterwards, so white space needs no rewriting here."""
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if _latin(text):
+                text = unicodedata.normalize("NFC", text)
+            else:
+                text = "".join([p if i % 2 else unicodedata.normalize("NFC", p) for i, p in enumerate(_MARK.split(text))])
+                text = text.translate(LOWER).replace("Σ", "σ")
         return text.lower()
 
     def pieces(self, text: str) -> list[tuple[int, str, str]]:
@@ -254,7 +294,9 @@ class PrefixEncoder:
 
     def _pieces(self, text: str) -> list[tuple[int, str, str]]:
         cache, word = self.cache, self._word
-        return [cache.get(w) or word(w) for w in self.words.findall(self.normalise(text))]
+        text = self.normalise(text)
+        words = self.plain_words if text.isascii() or _latin(text) or not _ODD.search(text) else self.words
+        return [cache.get(w) or word(w) for w in words.findall(text)]
 
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for p in self.pieces(text or "") for i in p[1].split(" ")]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 
 import public_tokenizers
 import pytest
@@ -23,8 +24,24 @@ def encoder():
     return bpe.PrefixEncoder(bpe.load(PATH))
 
 
+def test_every_code_point(library, encoder):
+    """Class, composition and lower form of all characters, between letters, digits and marks."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        texts = [f"ab{chr(c)}e{chr(c)}1 {chr(c)}\u0301." for c in points[at:at + 50_000]]
+        for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert encoder.encode(text) == want.ids, hex(ord(text[2]))
+
+
+def test_random_marks(library, encoder):
+    marks = [chr(c) for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))]
+    rnd = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rnd.choice(marks) if rnd.random() < 0.6 else chr(rnd.randrange(32, 0x3000)) for _ in range(12))
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_random_texts(library, encoder):
-    # letters, marks and white space of many scripts; characters newer than the library's tables are left out
     letters = "abcdeefghiijklmnopqrsttuvwxyzABCDE   's'téèßñÄIİΣσς0123½٣ \x1c\x85\xa0​\n\t.,!?…—😀👍🏽日本語é<|startoftext|><|endoftext|>"
     rnd = random.Random(3)
     for _ in range(1500):
