@@ -67,10 +67,10 @@ def parse_rating_csv(df: DataFrame, value_col: str = "value") -> DataFrame:
     parts = F.split(F.col(value_col), ",")
     out = df.select(
         "*",
-        F.trim(parts.getItem(0)).try_cast("int").alias("user_id"),
-        F.trim(parts.getItem(1)).try_cast("int").alias("item_id"),
-        F.trim(parts.getItem(2)).try_cast("double").alias("rate"),
-        F.trim(parts.getItem(3)).try_cast("bigint").alias("epoch_ms"),
+        F.trim(F.get(parts, F.lit(0))).try_cast("int").alias("user_id"),
+        F.trim(F.get(parts, F.lit(1))).try_cast("int").alias("item_id"),
+        F.trim(F.get(parts, F.lit(2))).try_cast("double").alias("rate"),
+        F.trim(F.get(parts, F.lit(3))).try_cast("bigint").alias("epoch_ms"),
     )
     valid = (F.size(parts) >= 4) & F.col("user_id").isNotNull() & F.col("item_id").isNotNull() \
         & F.col("rate").isNotNull() & F.col("epoch_ms").isNotNull()

@@ -46,12 +46,29 @@ def split_label(bucket: Column, splits: dict | None = None) -> Column:
     return expr
 
 
+def id_counts(ratings: DataFrame, *groups: str) -> DataFrame:
+    """AG2 / ST4: rows, distinct users and distinct items (and the ratings' sum and number) of each group, exactly, from
+    bitmaps: a map task sends one bitmap for each 32,768 neighbouring ids that it meets instead of every id.
+    Ids fit the int range (ALS), so that a group has at most 65,536 bitmaps of a kind."""
+    user = F.struct(F.lit(0).alias("kind"), F.col("user_id").cast("bigint").alias("id"), F.col("rating").cast("double").alias("rating"))
+    item = F.struct(F.lit(1).alias("kind"), F.col("item_id").cast("bigint").alias("id"), F.lit(None).cast("double").alias("rating"))
+    rows = ratings.select(*groups, F.explode(F.array(user, item)).alias("_r")).select(*groups, "_r.*")
+    per = rows.groupBy(*groups, "kind", F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("id"))).alias("ids"),
+        F.count(F.lit(1)).alias("n"), F.count("rating").alias("rated"), F.sum("rating").alias("total"))
+    users, items = F.col("kind") == 0, F.col("kind") == 1
+
+    def total(which: Column, c: str) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col(c))), F.lit(0)).cast("bigint")
+
+    sums = [total(users, "n").alias("n_ratings"), total(users, "ids").alias("n_users"), total(items, "ids").alias("n_items"),
+            F.sum("total").alias("sum_rating"), F.sum("rated").alias("n_rated")]
+    return per.groupBy(*groups).agg(*sums)
+
+
 def rating_profile(ratings: DataFrame) -> DataFrame:
     """AG1-AG3: rows, distinct users, distinct items, mean rating (one row)."""
-    return ratings.agg(F.count(F.lit(1)).alias("n_ratings"),
-                       F.count_distinct("user_id").alias("n_users"),
-                       F.count_distinct("item_id").alias("n_items"),
-                       F.avg("rating").alias("mean_rating"))
+    return id_counts(ratings).select("n_ratings", "n_users", "n_items", F.try_divide("sum_rating", "n_rated").alias("mean_rating"))
 
 
 def split_labels(bucket: Column, splits: dict | None = None) -> Column:
@@ -64,10 +81,9 @@ def split_labels(bucket: Column, splits: dict | None = None) -> Column:
 def split_counts(ratings: DataFrame, splits: dict | None = None) -> DataFrame:
     """AG1 / AG2 per split in one pass: each row is labelled with every split it
     belongs to, then counted."""
-    lab = ratings.select(F.explode(split_labels(F.col("bucket"), splits)).alias("split"), "user_id", "item_id")
-    return lab.groupBy("split").agg(F.count(F.lit(1)).alias("n_ratings"),
-                                    F.count_distinct("user_id").alias("n_users"),
-                                    F.count_distinct("item_id").alias("n_items"))
+    lab = ratings.select(F.explode(split_labels(F.col("bucket"), splits)).alias("split"), "user_id", "item_id",
+                         F.lit(None).cast("double").alias("rating"))
+    return id_counts(lab, "split").select("split", "n_ratings", "n_users", "n_items")
 
 
 def positive_personal(personal: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import text as text_fn
 from .io import table
-from .operators import content, factors, metrics, neighbors, segments, vectors
+from .operators import content, content_lists, factors, metrics, neighbors, segments, vectors
 from .operators import ratings as ratings_ops
+from .plans.bucketed import bucketed
 from .plans.materialize import stored
 from .session import ensure_checkpoint_dir, ship_package
 
@@ -72,15 +73,16 @@ SIMILAR_TABLE_THRESHOLD = 0.6
 
 
 def _features(spark, sf_dir):
-    """Item features, written once: the candidate search and the pair scorer read them."""
-    return stored(content.item_features(fixtures.catalog(spark, sf_dir)), "features")
+    """Item features, as they are and as numbers, written once: the candidate search and the pair scorer read them."""
+    feats = stored(content.item_features(fixtures.catalog(spark, sf_dir)), "features")
+    return feats, stored(content_lists.coded_features(feats), "coded-features")
 
 
 def _history(spark, sf_dir):
     """The ratings view, written once per query (it is read by several branches:
     anchors, history pairs, exclusions), instead of re-joining lineitem and
-    orders for each branch."""
-    return stored(fixtures.ratings(spark, sf_dir).select("user_id", "item_id", "rating", "ts"), "history")
+    orders for each branch; bucketed by user, so that none of them shuffles it again."""
+    return bucketed(fixtures.ratings(spark, sf_dir).select("user_id", "item_id", "rating", "ts"), "history", "user_id")
 
 
 def _ratings_once(spark, sf_dir):
@@ -92,11 +94,11 @@ def _ratings_once(spark, sf_dir):
 def _scores_b(spark, sf_dir, params, hist=None):
     ev = fixtures.rating_events(spark, sf_dir).select("user_id")
     hist = _history(spark, sf_dir) if hist is None else hist
-    feats = _features(spark, sf_dir)
+    feats, coded = _features(spark, sf_dir)
     # candidates: the anchors of the users with an event against the catalog; lookups: the pairs that occur
     anchors = ratings_ops.latest_rating(hist.join(ev.distinct(), "user_id", "left_semi"))
-    top = content.similar_to(anchors.select(F.col("anchor_item").alias("id")), feats, top_n=params["n"])
-    return neighbors.neighbor_score_b(ev, hist, top, lambda pairs: content.score_pairs(pairs, feats),
+    top = content_lists.top_similar(feats, coded, params["n"], asked=anchors.select(F.col("anchor_item").alias("id")))
+    return neighbors.neighbor_score_b(ev, hist, top, lambda pairs: content_lists.score_lookups(pairs, coded),
                                       fixtures.catalog_basic(spark, sf_dir), n=params["n"],
                                       min_similarity=params["min_similarity"],
                                       score_cut=params["score_cut"], score_source=params["score_source"])
@@ -109,11 +111,11 @@ def q_neighbor_score_a(spark, sf_dir):
     Candidates are the items of the similar-items table (similarity >= 0.6, RC10, Q25) of the
     event's item; pair similarities are looked up exactly, and 0.6 stands only
     for pairs that have none (an item with itself, or outside the catalog)."""
-    feats = _features(spark, sf_dir)
+    _, coded = _features(spark, sf_dir)
     ev = fixtures.rating_events(spark, sf_dir)
-    similar = content.similar_to(ev.select(F.col("item_id").alias("id")), feats, min_similarity=SIMILAR_TABLE_THRESHOLD)
+    similar = content_lists.similar_above(coded, ev.select(F.col("item_id").alias("id")), SIMILAR_TABLE_THRESHOLD)
     out = neighbors.neighbor_score_a(ev, fixtures.ratings(spark, sf_dir), similar,
-                                     lambda pairs: content.score_pairs(pairs, feats), **neighbors.VARIANT_A)
+                                     lambda pairs: content_lists.score_lookups(pairs, coded), **neighbors.VARIANT_A)
     return out.select("event_id", "user_id", "event_ts", "item_id", r9("score"))
 
 

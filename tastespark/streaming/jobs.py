@@ -4,9 +4,13 @@
   handled as one set of joins (latest event per user, history, similarity,
   aggregate), never per record.  Ranking windows are not allowed on
   streaming DataFrames, which is why the scoring sits in ``foreachBatch``.
-* Sinks are idempotent: output is written to ``batch_id=<n>`` partitions with
-  dynamic partition overwrite, so a batch replayed after a failure replaces
-  its own output instead of appending twice.
+* What a stream updates by key (users' lists and ratings, totals) is an upsert table (``sinks.upsert``): a batch
+  rewrites only the buckets it touches, a replayed one changes nothing, and neither reads nor folders grow with the
+  stream's age.  A stream that starts again from an empty checkpoint needs an empty table.
+* Variant A's latest ratings are keyed state (``streaming.recent``).
+* Appended output is written to ``batch_id=<n>`` partitions with dynamic partition overwrite, so a batch replayed after
+  a failure replaces its own output instead of appending twice.
+* Intermediate tables of a batch are removed when its output is written.
 * Offsets and state live in ``checkpointLocation`` under the session's shared
   checkpoint folder.
 """
@@ -22,8 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import parse_rating_csv, split_rejects
 from ..operators import neighbors, segments
 from ..operators.ratings import latest_rating
-from ..plans.materialize import stored
+from ..plans.materialize import dropped_after, stored
 from ..session import scratch_path
+from ..sinks.upsert import UpsertTable
+from .recent import with_recent
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # STR1
 
@@ -51,71 +57,58 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None when the path is missing or holds no data file yet.  Any other failure
-    is raised: an unreadable log must not pass for an empty one."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
-def current_lists(spark: SparkSession, out_path: str, before: int | None = None) -> DataFrame | None:
-    """Each user's newest packed list: the newest snapshot plus only the log
-    batches written after it (partition pruning on ``batch_id``), so the read is
-    bounded by the user count and the compaction interval, not the stream's age.
-
-    ``before`` leaves out what batch ``before`` and later ones wrote: a batch that is
-    replayed after its write sees the state that it saw the first time."""
-    older = F.lit(True) if before is None else F.col("version") < before
-    snap = read_if_written(spark, f"{out_path}/snapshot")
-    version = None if snap is None else snap.filter(older).agg(F.max("version")).first()[0]
-    parts = [] if version is None else [snap.filter(F.col("version") == version).drop("version")]
-    log = read_if_written(spark, f"{out_path}/log")
-    if log is not None:
-        newer = F.col("batch_id") > (-1 if version is None else version)
-        parts.append(log.filter(newer if before is None else newer & (F.col("batch_id") < before)))
-    if not parts:
-        return None
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    newest = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["user_id", "batch_id"])
-
-
-def compact(spark: SparkSession, out_path: str, batch_id: int) -> None:
-    """Write the lists as of batch ``batch_id`` as snapshot ``version=batch_id`` (idempotent)."""
-    cur = current_lists(spark, out_path, batch_id + 1)
-    if cur is None:
-        return
-    # materialise before writing: the snapshot folder is also being read
-    cur = stored(cur, "lists")
-    (cur.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}/snapshot"))
-
-
-def live_history(history: DataFrame | Callable[[], DataFrame], users: DataFrame, log_path: str, before: int) -> DataFrame:
+#: Buckets of the upsert tables of a stream.
+BUCKETS = 64
+
+
+def list_table(spark: SparkSession, out_path: str, buckets: int = BUCKETS) -> UpsertTable:
+    """SNK4: users' packed lists, one row each."""
+    return UpsertTable(spark, f"{out_path}/lists", ["user_id"], buckets=buckets)
+
+
+def rating_table(spark: SparkSession, out_path: str, buckets: int = BUCKETS) -> UpsertTable:
+    """The stream's own ratings, one row for each user and item, a user's in one bucket."""
+    return UpsertTable(spark, f"{out_path}/ratings", ["user_id", "item_id"], by=["user_id"], buckets=buckets)
+
+
+def total_table(spark: SparkSession, out_path: str, buckets: int = BUCKETS) -> UpsertTable:
+    """SNK7: totals of each product."""
+    return UpsertTable(spark, out_path, ["id"], buckets=buckets)
+
+
+def current_lists(spark: SparkSession, out_path: str, before: int | None = None, only: list[int] | None = None) -> DataFrame | None:
+    """Each user's newest packed list; with ``before``, as that batch found it."""
+    return list_table(spark, out_path).read(before, only)
+
+
+def live_history(history: DataFrame | Callable[[], DataFrame], users: DataFrame, ratings: UpsertTable, before: int) -> DataFrame:
     """Ratings of the batch's users as of the batch: the static ``history`` (or what a function reads anew) and the
     ratings that batches earlier than ``before`` brought, the newest per user and item.  Both are reduced to the
-    batch's users before anything is ranked."""
+    batch's users before anything is ranked, the table to their buckets before it is read."""
     base = history() if callable(history) else history
     rows = base.select("user_id", "item_id", "rating", "ts").join(users, "user_id", "left_semi")
-    log = read_if_written(rows.sparkSession, log_path)
+    log = ratings.read(before, ratings.buckets_of(users))
     if log is None:
         return rows
-    told = log.filter(F.col("batch_id") < before).join(users, "user_id", "left_semi").select(
+    told = log.join(users, "user_id", "left_semi").select(
         "user_id", "item_id", "rating", F.col("ts").cast(rows.schema["ts"].dataType).alias("ts"))
-    both = rows.unionByName(told)
-    return both.groupBy("user_id", "item_id").agg(F.max(F.struct("ts", "rating")).alias("m")).select(
+    return newest_ratings(rows.unionByName(told))
+
+
+def newest_ratings(rows: DataFrame) -> DataFrame:
+    """The newest rating of each user and item."""
+    return rows.groupBy("user_id", "item_id").agg(F.max(F.struct("ts", "rating")).alias("m")).select(
         "user_id", "item_id", "m.rating", "m.ts")
 
 
-def log_ratings(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Keep the ratings of a batch for later batches (idempotent per batch)."""
-    write_batch_partition(batch.select("user_id", "item_id", F.col("rate").alias("rating"), F.col("event_ts").alias("ts")), path, batch_id)
+def keep_ratings(batch: DataFrame, ratings: UpsertTable, batch_id: int) -> None:
+    """Keep the ratings of a batch for later batches, the newest of each user and item."""
+    new = newest_ratings(batch.select("user_id", "item_id", F.col("rate").alias("rating"), F.col("event_ts").alias("ts")))
+    old = ratings.read(batch_id, ratings.buckets_of(new))
+    if old is not None:
+        # a late rating does not replace a newer one
+        new = newest_ratings(new.unionByName(old.join(new.select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")))
+    ratings.upsert(stored(new, "batch-ratings", compact=True), batch_id)
 
 
 def parsed_rating_stream(messages: DataFrame) -> DataFrame:
@@ -158,17 +151,13 @@ def recommender_batch(batch: DataFrame, history: DataFrame, similarity: DataFram
 def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame], similarity: DataFrame,
                       top_similar: DataFrame, catalog: DataFrame, out_path: str,
                       checkpoint: str | None = None, trigger: dict | None = None,
-                      params: dict | None = None, rejects_path: str | None = None,
-                      compact_every: int = 10) -> StreamingQuery:
+                      params: dict | None = None, rejects_path: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """STR2 + SNK4: per batch, recompute and upsert each active user's packed list.
 
-    Lists go to ``out_path/log/batch_id=<n>``; every ``compact_every`` batches
-    the current lists are written to ``out_path/snapshot/version=<n>``.  The
-    last list of a user (RC17 input) is read from ``current_lists``, so a
-    user's lists chain from batch to batch (Q18, Q21 upsert).  The rating
-    history is the one given plus the ratings of earlier batches
-    (``out_path/ratings``); a function is called anew for every batch.  A
-    replayed batch reads only what was there before it, so it writes the same again.
+    Lists are the upsert table ``out_path/lists``; the last list of a user (RC17 input) is read from it, so a
+    user's lists chain from batch to batch (Q18, Q21 upsert).  The rating history is the one given plus the ratings of
+    earlier batches (table ``out_path/ratings``); a function is called anew for every batch.  A batch reads only the
+    buckets of its users, and a replayed one sees what was there before it, so it finds the same again.
     """
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "recommender-ckpt")
@@ -179,28 +168,29 @@ def start_recommender(spark: SparkSession, messages: DataFrame, history: DataFra
     catalog = pin_static(catalog, ["id"])
     if isinstance(history, DataFrame):
         history = pin_static(history, ["user_id"])
+    lists, ratings = list_table(spark, out_path, buckets), rating_table(spark, out_path, buckets)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = split_batch(batch, batch_id, rejects_path)
         if batch.isEmpty():                                   # TK6
             return
-        log_ratings(batch, f"{out_path}/ratings", batch_id)
-        users = batch.select("user_id").distinct()
-        seen = live_history(history, users, f"{out_path}/ratings", batch_id)
-        prev = current_lists(spark, out_path, batch_id)
-        last = None
-        if prev is not None:
-            last = prev.join(users, "user_id", "left_semi") \
-                .select("user_id", F.explode("entries").alias("e")).select(
-                    "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
-        recs = recommender_batch(batch, seen, similarity, top_similar, catalog, last, params,
-                                 unordered_similarity=True)
-        packed = neighbors.pack_recommendations(recs)
-        entries = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(
-            F.struct("slot", "item_id", "priority"))).alias("entries"))
-        write_batch_partition(packed.join(entries, "user_id"), f"{out_path}/log", batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(spark, out_path, batch_id)
+        with dropped_after(spark):
+            users = batch.select("user_id").distinct()
+            seen = live_history(history, users, ratings, batch_id)
+            prev = lists.read(batch_id, lists.buckets_of(users))
+            last = None
+            if prev is not None:
+                last = prev.join(users, "user_id", "left_semi") \
+                    .select("user_id", F.explode("entries").alias("e")).select(
+                        "user_id", F.col("e.item_id").alias("item_id"), F.col("e.priority").alias("priority"))
+            recs = recommender_batch(batch, seen, similarity, top_similar, catalog, last, params,
+                                     unordered_similarity=True)
+            packed = neighbors.pack_recommendations(recs)
+            entries = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(
+                F.struct("slot", "item_id", "priority"))).alias("entries"))
+            now = packed.join(entries, "user_id").withColumn("batch_id", F.lit(batch_id))
+            lists.upsert(stored(now, "batch-lists", compact=True), batch_id)
+            keep_ratings(batch, ratings, batch_id)
 
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
 
@@ -215,35 +205,37 @@ def numbered_events(batch: DataFrame) -> DataFrame:
     return each.select(name.alias("event_id"), "user_id", "item_id", F.col("event_ts").alias("ts"))
 
 
-def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame], similar: DataFrame,
+def start_variant_a(spark: SparkSession, messages: DataFrame, history: DataFrame, similar: DataFrame,
                     out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
                     rejects_path: str | None = None, pair_scores: neighbors.PairScores | None = None) -> StreamingQuery:
     """STR2 + SNK3: variant A scores appended per batch, with user id and event time (Q15).
 
+    Every user's latest ratings are keyed state that starts from ``history`` (``streaming.recent``).
     Candidates come from ``similar``, partitioned by the event's item; pair similarities come from ``pair_scores``
     (``neighbors.PairScores``; ``similar`` itself when not given).  Every message is
     scored.  Events are named by a hash of their message and, from the second of equal messages of a batch on, its
     number among them; so names hold on replay, and the batch tells apart equal messages of different batches."""
-    events = parsed_rating_stream(messages)
+    parsed = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "variant-a-ckpt")
     pair_scores = similar if pair_scores is None else pair_scores
     if isinstance(pair_scores, DataFrame):
         pair_scores = pin_static(pair_scores, ["id1", "id2"])
     similar = pin_static(similar, ["id1"])
-    if isinstance(history, DataFrame):
-        history = pin_static(history, ["user_id"])
+    params = dict(neighbors.VARIANT_A)
+    events = with_recent(parsed, history, params["k"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = split_batch(batch, batch_id, rejects_path)
-        if batch.isEmpty():                                   # TK6
-            return
-        log_ratings(batch, f"{out_path}_ratings", batch_id)
-        ev = numbered_events(batch)
-        seen = live_history(history, ev.select("user_id").distinct(), f"{out_path}_ratings", batch_id)
-        scores = neighbors.neighbor_score_a(ev, seen, similar, pair_scores, **neighbors.VARIANT_A)
-        write_batch_partition(scores, out_path, batch_id)
+        with dropped_after(spark):
+            batch = stored(batch, "variant-a-batch", compact=True)
+            batch = split_batch(batch, batch_id, rejects_path)
+            if batch.isEmpty():                               # TK6
+                return
+            told = batch.dropDuplicates(["user_id"]).select("user_id", F.explode(F.arrays_zip("recent_items", "recent_rates")).alias("r"))
+            recent = told.select("user_id", F.col("r.recent_items").alias("recent_item"), F.col("r.recent_rates").alias("recent_rate"))
+            scores = neighbors.neighbor_score_a(numbered_events(batch), None, similar, pair_scores, recent=recent, **params)
+            write_batch_partition(scores, out_path, batch_id)
 
-    return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
+    return _writer(events, trigger, checkpoint).outputMode("append").foreachBatch(handle).start()
 
 
 def start_batch_counter(spark: SparkSession, messages: DataFrame, out_path: str,
@@ -263,40 +255,25 @@ def running_totals(messages: DataFrame) -> DataFrame:
 
 
 def start_running_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
-                         trigger: dict | None = None, compact_every: int = 10) -> StreamingQuery:
-    """STR4 / STR5 + SNK7: per-product cumulative totals and the grand total,
-    written in ``update`` mode through ``foreachBatch``: each batch writes the
+                         trigger: dict | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """STR4 / STR5 + SNK7: per-product cumulative totals,
+    in ``update`` mode through ``foreachBatch``: each batch upserts the
     keys it changed, with values read from state (never re-added to a store)."""
     checkpoint = checkpoint or scratch_path(spark, "totals-ckpt")
     totals = running_totals(messages)
+    table = total_table(spark, out_path, buckets)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch_partition(batch, out_path, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_totals(spark, out_path, batch_id)
+        with dropped_after(spark):
+            table.upsert(stored(batch, "batch-totals", compact=True), batch_id)
 
     return (totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or DEFAULT_TRIGGER)).foreachBatch(handle).start())
 
 
 def current_totals(spark: SparkSession, out_path: str) -> DataFrame:
-    """Per-product totals as of the newest batch that touched each product: the newest snapshot and the log since."""
-    snap = read_if_written(spark, f"{out_path}_snapshot")
-    version = None if snap is None else snap.agg(F.max("version")).first()[0]
-    log = spark.read.parquet(out_path)
-    if version is None:
-        rows = log
-    else:
-        rows = log.filter(F.col("batch_id") > version).unionByName(snap.filter(F.col("version") == version).drop("version"))
-    newest = F.max(F.struct("batch_id", *[c for c in rows.columns if c not in ("id", "batch_id")])).alias("m")
-    return rows.groupBy("id").agg(newest).select("id", *[f"m.{c}" for c in rows.columns if c not in ("id", "batch_id")])
-
-
-def compact_totals(spark: SparkSession, out_path: str, batch_id: int) -> None:
-    """Write the totals as of batch ``batch_id`` beside the log (idempotent); reads then skip the older batches."""
-    cur = stored(current_totals(spark, out_path).withColumn("batch_id", F.lit(batch_id)), "totals")
-    (cur.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{out_path}_snapshot"))
+    """Per-product totals as of the newest batch that touched each product."""
+    return total_table(spark, out_path).read()
 
 
 def start_minute_totals(spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str | None = None,
@@ -321,13 +298,13 @@ def run_available(q_factory: Callable[[], StreamingQuery]) -> None:
     q.awaitTermination()
 
 
-def route_batch(batch: DataFrame, history: DataFrame, model, popular: DataFrame, k: int = 5) -> DataFrame:
+def route_batch(batch: DataFrame, history: DataFrame, model, popular: DataFrame, k: int = 5, items: DataFrame | None = None) -> DataFrame:
     """STR8 for one batch: known users (JN10 semi join) get their ALS top ``k``
-    (RC7), new users (anti join) the popular list (RC19)."""
+    (RC7), new users (anti join) the popular list (RC19).  ``items``: the model's item factors where they are stored already."""
     from ..operators import factors
 
     known, new = segments.split_users(batch, history)
-    rec_known = factors.recommend_for(model, known, k).select(
+    rec_known = factors.recommend_for(model, known, k, items=items).select(
         "user_id", "item_id", F.col("prediction").alias("score"), F.lit("model").alias("source"))
     rec_new = segments.default_for_new_users(new, popular).select(
         "user_id", "item_id", F.col("n_ratings").cast("double").alias("score"), F.lit("popular").alias("source"))
@@ -337,14 +314,18 @@ def route_batch(batch: DataFrame, history: DataFrame, model, popular: DataFrame,
 def start_user_router(spark: SparkSession, messages: DataFrame, history: DataFrame, model, popular: DataFrame,
                       out_path: str, checkpoint: str | None = None, trigger: dict | None = None,
                       k: int = 5, rejects_path: str | None = None) -> StreamingQuery:
-    """STR8: route every batch's users to model or popular recommendations."""
+    """STR8: route every batch's users to model or popular recommendations.  The item factors are stored once."""
+    from ..operators import factors
+
     events = parsed_rating_stream(messages)
     checkpoint = checkpoint or scratch_path(spark, "router-ckpt")
+    items = factors.stored_items(model)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = split_batch(batch, batch_id, rejects_path)
         users = batch.select(F.col("user_id").cast("bigint").alias("user_id")).distinct()
-        write_batch_partition(route_batch(users, history, model, popular, k), out_path, batch_id)
+        with dropped_after(spark):
+            write_batch_partition(route_batch(users, history, model, popular, k, items), out_path, batch_id)
 
     return _writer(events, trigger, checkpoint).foreachBatch(handle).start()
 

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -248,3 +249,30 @@ def test_small_column_functions(spark):
         S2.log2_count(F.col("n")).alias("l2"), S2.log10_floor1(F.col("z")).alias("l10")).first()
     assert (r.g, r.id, r.price) == ("ECONOMY", "17", "42")
     assert r.d == pytest.approx(4.05) and r.l2 == pytest.approx(2.0) and r.l10 == 0.0
+
+
+def test_shared_counts_equal_set_intersections():
+    """Rare tokens, frequent ones over several blocks, tokens of one side, missing rows and null lists."""
+    rnd = np.random.default_rng(7)
+
+    def lists(n, width, vocabulary):
+        out = [sorted({f"t{x}" for x in rnd.zipf(1.2, rnd.integers(0, width)) % vocabulary}) for _ in range(n)]
+        return pd.Series([None if i % 17 == 3 else x for i, x in enumerate(out)], dtype=object)
+
+    for n, width, vocabulary, frequent in ((60, 9, 5000, 4096), (200, 40, 900, 20), (5, 1, 3, 1), (0, 3, 3, 1)):
+        left, right = lists(n, width, vocabulary), lists(n + 3, width, vocabulary)
+        ml, mr = rnd.random(n) < 0.1, rnd.random(n + 3) < 0.1
+        content.FREQUENT_MEETINGS, before = frequent, content.FREQUENT_MEETINGS
+        inter, size_l, size_r = content.shared_counts(left, right, ml, mr)
+        content.FREQUENT_MEETINGS = before
+        sets_l = [set(x or ()) if not m else set() for x, m in zip(left, ml)]
+        sets_r = [set(x or ()) if not m else set() for x, m in zip(right, mr)]
+        assert inter.tolist() == [[len(a & b) for b in sets_r] for a in sets_l]
+        assert size_l.tolist() == [len(x) for x in sets_l] and size_r.tolist() == [len(x) for x in sets_r]
+
+
+def test_pr1_short_messages_are_rejects(spark):
+    """A message of fewer fields fails no task, however its columns are read."""
+    df = spark.createDataFrame([("broken line",), ("1,2",), ("",), (None,), ("1,2,3.5,4",), ("1,2,3.5,4,5",)], "value string")
+    rows = T.parse_rating_csv(df).collect()
+    assert [r["_valid"] for r in rows] == [False, False, False, False, True, True]
