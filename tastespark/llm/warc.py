@@ -363,47 +363,70 @@ def read_all(spark: SparkSession, store: Store, with_payload: bool = False) -> D
 
 
 def captures(store: Store, urls: DataFrame, url: str = "url") -> DataFrame:
-    """The index entries of each distinct url of ``urls``, by binary search and range reads.
+    """The index entries of each distinct url of ``urls``; several urls of a batch or of different batches may share a key."""
+    return found_entries(store, urls, url).dropDuplicates(["file", "offset"])
 
-    Keys are range-partitioned and sorted, so a task loads only the directory rows between its
-    batch's smallest and largest key (filtered in the Parquet scan) and reads each block once.
+
+def found_entries(store: Store, urls: DataFrame, url: str = "url") -> DataFrame:
+    """Index entries of the distinct urls of ``urls``, by binary search and range reads.
+
+    Keys are range-partitioned and sorted, so a task opens the directory once and loads for each batch only the rows
+    between its smallest and largest key (filtered in the Parquet scan).  What it finds are (key, block) pairs, dealt
+    again by block: the captures of one url that very many pages share lie in many blocks, and each block is
+    read once, by one task, its entries given out in bounded frames.
     """
     spark = urls.sparkSession
     prepare(spark)
     directory = store.directory
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files = Files()
         fs, path = open_store(directory)
+        whole = None
         for pdf in batches:
             keys = sorted({capture_key(u) for u in pdf["url"]})
             if not keys:
                 continue
             field = pyarrow.dataset.field
-            part = pyarrow.dataset.dataset(path, filesystem=fs, format="parquet").to_table(
-                filter=(field("last_key") >= keys[0]) & (field("first_key") <= keys[-1])).to_pandas()
+            whole = pyarrow.dataset.dataset(path, filesystem=fs, format="parquet") if whole is None else whole
+            part = whole.to_table(filter=(field("last_key") >= keys[0]) & (field("first_key") <= keys[-1])).to_pandas()
             part = part.sort_values(["first_key", "last_key", "offset"], kind="stable")
             lasts, firsts = part["last_key"].tolist(), part["first_key"].tolist()
-            rows, at, held = [], None, []
+            where = list(zip(part["file"], part["offset"], part["length"]))
+            pairs = []
             for k in keys:
                 b = bisect.bisect_left(lasts, k)
                 while b < len(lasts) and firsts[b] <= k:
-                    if at != b:
-                        r = part.iloc[b]
-                        held, at = _block_entries(files, r["file"], int(r["offset"]), int(r["length"])), b
-                    i = bisect.bisect_left(held, k, key=lambda x: x[0])
-                    while i < len(held) and held[i][0] == k:
-                        _, p, f, o, n = held[i]
-                        rows.append((k, int(p) if p else None, None, f, int(o), int(n)))
-                        i += 1
+                    pairs.append((k, *where[b]))
                     b += 1
+            yield pd.DataFrame(pairs, columns=["key", "file", "offset", "length"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows sorted by block and key; a block stays open until the next one begins."""
+        files, at, held, last, rows = Files(), None, [], None, []
+        for pdf in batches:
+            for k, file, offset, length in zip(pdf["key"], pdf["file"], pdf["offset"], pdf["length"]):
+                if at != (file, offset):
+                    held, at, last = _block_entries(files, file, int(offset), int(length)), (file, offset), None
+                if k == last:
+                    continue
+                last = k
+                i = bisect.bisect_left(held, k, key=lambda x: x[0])
+                while i < len(held) and held[i][0] == k:
+                    _, p, f, o, n = held[i]
+                    rows.append((k, int(p) if p else None, None, f, int(o), int(n)))
+                    i += 1
+                if len(rows) >= 5000:
+                    yield _entry_frame(rows)
+                    rows = []
+        if rows:
             yield _entry_frame(rows)
 
     wanted = urls.select(F.col(f"`{url}`").cast("string").alias("url")).distinct()
     host = F.reverse(F.split(F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#]*)", 1)), r"\."))
     near = wanted.withColumn("_host", F.array_join(host, ",")).repartitionByRange(parallelism(spark), "_host", "url")
-    # several urls of a batch or of different batches may share a key
-    return near.sortWithinPartitions("_host", "url").select("url").mapInPandas(find, ENTRY).dropDuplicates(["file", "offset"])
+    blocks = near.sortWithinPartitions("_host", "url").select("url").mapInPandas(find, "key string, file string, offset bigint, length bigint")
+    dealt = blocks.repartition(parallelism(spark), "file", "offset").sortWithinPartitions("file", "offset", "key")
+    return dealt.mapInPandas(read, ENTRY)
 
 
 def lookup(store: Store, urls: DataFrame, url: str = "url", with_payload: bool = True) -> DataFrame:

@@ -117,3 +117,12 @@ def test_lookup_over_many_blocks(spark, make):
     cols = ["page_id", "payload_digest", "record_type", "refers_to", "intact"]
     want = sorted(map(repr, warc.read_all(spark, s).select(*cols).collect()))
     assert len(want) == 2500 and sorted(map(repr, warc.lookup(s, df, with_payload=False).select(*cols).collect())) == want
+
+
+def test_one_url_on_most_pages_is_read_by_many_tasks(spark, make):
+    rows = [(i, "http://same.org/" if i % 3 else f"http://h{i}.org/", f"p{i}", None, None) for i in range(6000)]
+    df = make(rows, SCHEMA)
+    s = warc.write_archives(df, block_lines=50)
+    per = [r["count"] for r in warc.found_entries(s, df).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == 6000 and max(per) <= 3 * sorted(per)[len(per) // 2]
+    assert warc.lookup(s, df, with_payload=False).filter("intact").select("page_id").distinct().count() == 6000
