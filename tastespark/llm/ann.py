@@ -7,9 +7,10 @@ into cells of about ``cell_rows`` rows; a query visits the cells that its key
 window (``width`` of all rows to either side) touches, every cell ranks its rows for its
 visitors by exact cosine, and the windows of all orderings merge per query.
 
-The window width is fitted on a bounded sample: the smallest that finds
-``recall`` of the true neighbours of sample queries among sample rows in one of the
-orderings.  Every row is indexed.  On data without neighbourhood structure
+The window width is fitted at the size of the table: for ``FIT_QUERIES`` rows, chosen by hash, one scan of all
+rows finds the true neighbours and their places in every ordering; the width is the smallest that holds
+``recall`` of them in one of the orderings.  So it shrinks as neighbourhoods grow denser, and the recall is measured against
+brute force by the fit itself.  Every row is indexed.  On data without neighbourhood structure
 (independent random vectors) no curve can do better than to scan a constant share
 of the rows; the fitted width then says so (README has figures).
 
@@ -39,13 +40,13 @@ from tastespark.llm.vectors import hash_sample, hashed, matrix, unit
 
 #: Projected directions and bits of each in one key.
 DIRECTIONS, BITS = 6, 10
-#: Rows that the fit may use, and queries among them.
-SAMPLE_ROWS, SAMPLE_QUERIES = 4096, 512
+#: Rows by which places on the curves are estimated, and queries whose true neighbours fit the window.
+SAMPLE_ROWS, FIT_QUERIES = 4096, 256
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Positions along the Hilbert curve of integer grid points (a row each): the Gray-code walk,
-    axis by axis from the highest bit, on all rows at once."""
+    """Positions along the Hilbert curve of integer grid points (a row each), by the well-known public transform of
+    transposed coordinates: the Gray-code walk, axis by axis from the highest bit, on all rows at once."""
     x = cells.astype(np.int64).copy()
     dims = x.shape[1]
     for b in range(bits - 1, 0, -1):
@@ -70,12 +71,11 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Curves:
-    """Fitted orderings for one vector length: directions, shifts, sorted sample keys, window width."""
+    """Orderings for one vector length: directions, shifts, sorted sample keys."""
 
     directions: list[np.ndarray]
     shifts: list[np.ndarray]
     sample: list[np.ndarray]
-    width: float
 
     def keys(self, v: np.ndarray, i: int) -> np.ndarray:
         """``v``: unit rows."""
@@ -95,27 +95,64 @@ class Curves:
         return np.clip(at / len(s), 0, 1 - 1e-9)
 
 
-def fit_curves(sample: np.ndarray, orderings: int, recall: float, k: int, seed: int) -> Curves:
-    """Orderings for unit rows ``sample`` and the window width that finds ``recall`` of sample neighbours."""
+def random_curves(sample: np.ndarray, orderings: int, seed: int) -> Curves:
+    """Orderings whose places are estimated by the unit rows ``sample``."""
     rng = np.random.default_rng(seed)
-    n, dim = sample.shape
+    dim = sample.shape[1]
     dims = min(DIRECTIONS, dim)
     directions = [np.linalg.qr(rng.normal(size=(dim, dims)))[0] for _ in range(orderings)]
     directions = [np.hstack([d, np.zeros((dim, DIRECTIONS - dims))]) for d in directions]
-    c = Curves(directions, [rng.random(DIRECTIONS) for _ in range(orderings)], [], 1.0)
-    keys = [c.keys(sample, i) for i in range(orderings)]
-    c.sample = [np.sort(x) for x in keys]
-    if n > 4 * k:
-        q = np.arange(0, n, max(1, n // SAMPLE_QUERIES))
-        s = sample[q] @ sample.T
-        s[np.arange(len(q)), q] = -2
-        true = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        ranks = [np.argsort(np.argsort(x, kind="stable"), kind="stable") for x in keys]
-        near = np.min([np.abs(r[q][:, None] - r[true]) for r in ranks], axis=0)
-        c.width = float((np.quantile(near, recall) + 1) / n)
+    c = Curves(directions, [rng.random(DIRECTIONS) for _ in range(orderings)], [])
+    c.sample = [np.sort(c.keys(sample, i)) for i in range(orderings)]
     return c
 
 
+def _salt(h2: np.ndarray) -> np.ndarray:
+    return h2.astype(np.uint64).astype(np.float64) / 2.0 ** 64
+
+
+def fitted_width(classes: DataFrame, curves, k: int, recall: float) -> float:
+    """The smallest window that holds ``recall`` of the true ``k`` nearest among all classes of ``FIT_QUERIES`` of them: a scan
+    in which every task keeps its best ``k`` for each query, with their places in the orderings."""
+    spark = classes.sparkSession
+    some = hash_sample(classes, FIT_QUERIES).select("h1", "h2", "v").collect()
+    keys = [(r["h1"], r["h2"]) for r in some]
+    asked = unit(matrix([r["v"] for r in some]))
+    shared = spark.sparkContext.broadcast((keys, asked))
+    orderings = len(curves.value.shifts)
+
+    def places(v: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        c = curves.value
+        return np.stack([c.place(c.keys(v, i), i, _salt(h2)) for i in range(orderings)], axis=1)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, queries = shared.value
+        own = {k: i for i, k in enumerate(keys)}
+        best: list[list[tuple]] = [[] for _ in keys]
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            v, h1, h2 = unit(matrix(pdf["v"])), pdf["h1"].to_numpy(), pdf["h2"].to_numpy()
+            cos, at = queries @ v.T, places(v, h2)
+            for j, key in enumerate(zip(h1.tolist(), h2.tolist())):
+                if key in own:
+                    cos[own[key], j] = -2.0
+            top = np.argpartition(-cos, min(k, len(v)) - 1, axis=1)[:, :k]
+            for q in range(len(keys)):
+                best[q] = sorted([*best[q], *((float(cos[q, j]), at[j].tolist()) for j in top[q] if cos[q, j] > -2)], reverse=True)[:k]
+        rows = [(q, s, at) for q, found in enumerate(best) for s, at in found]
+        yield pd.DataFrame(rows, columns=["q", "score", "at"])
+
+    found = classes.select("h1", "h2", "v").mapInPandas(scan, "q int, score double, at array<double>")
+    w = Window.partitionBy("q").orderBy(F.desc("score"))
+    near = found.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).select("q", "at").collect()
+    if not near:
+        return 1.0
+    mine = places(asked, np.array([h for _, h in keys], dtype=np.int64))
+    need = [np.abs(mine[r["q"]] - np.array(r["at"])).min() for r in near]
+    return float(np.quantile(need, recall))
+
+
 def search(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", orderings: int = 16,
            recall: float = 0.95, cell_rows: int = 2048, query_block: int = 2048, seed: int = 7) -> DataFrame:
     """The ``k`` nearest found of every row for which ``is_query`` holds (a condition on ``vec_id``):
@@ -155,16 +192,16 @@ def _search_length(classes: DataFrame, n: int, n_queries: int, k: int, orderings
     """Nearest classes of every asked class, for vectors of one length: q1, q2, h1, h2, least, score."""
     spark = classes.sparkSession
     sample = unit(matrix([r["v"] for r in hash_sample(classes, SAMPLE_ROWS).select("v").collect()]))
-    curves = spark.sparkContext.broadcast(fit_curves(sample, orderings, recall, k, seed))
+    curves = spark.sparkContext.broadcast(random_curves(sample, orderings, seed))
     cells = max(1, -(-n // cell_rows))
-    width = curves.value.width
+    width = fitted_width(classes, curves, k, recall) + 1 / n if n > 4 * k else 1.0
     blocks = max(1, int(-(-n_queries * min(1.0, 2 * width + 1 / cells) // query_block)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = curves.value
         for pdf in batches:
             v = unit(matrix(pdf["v"]))
-            salt = pdf["h2"].to_numpy().astype(np.uint64).astype(np.float64) / 2.0 ** 64
+            salt = _salt(pdf["h2"].to_numpy())
             block = (pdf["h1"].to_numpy() % blocks).astype(np.int32)
             raw = np.array([x.tobytes() for x in matrix(pdf["v"])], dtype=object)
             asked = np.flatnonzero(pdf["asked"].to_numpy())
