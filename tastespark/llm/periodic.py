@@ -280,7 +280,7 @@ def run_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", til
             yield batch_of(batch.column(0).take(pa.array(at, pa.int64())), out)
 
     found = long_runs(rows, tile=tile).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs"))
-    found = stored(found, "periodic-runs")
+    found = stored(found, "periodic-runs", compact=True)
     big = rows.filter(F.length("text") > 2 * tile).select("doc_id", "text", *_text_key(F.col("text")))
     joined = big.join(found, ["k1", "k2"], "left").select("doc_id", "text", "runs")
     schema = f"doc_id {kind}, {DIGEST}"
@@ -324,7 +324,7 @@ def collapsed_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             kept_words(words_of(t), [(x["start"], x["length"], x["period"]) for x in r])).decode("utf-8", "surrogatepass"))
 
     found = stored(long_runs(docs, text, tile).groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("start", "length", "period")).alias("_runs")), "periodic-runs")
+        F.collect_list(F.struct("start", "length", "period")).alias("_runs")), "periodic-runs", compact=True)
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     brief = docs.filter(body.isNull() | (F.length(body) <= 2 * tile)).select(*others, short(body).alias(text))
     big = docs.filter(F.length(body) > 2 * tile).withColumn("_body", short(body)).select(

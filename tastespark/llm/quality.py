@@ -136,13 +136,13 @@ class Sites:
 
 def fit_sites(scored: DataFrame) -> Sites:
     """``scored``: host, path, p.  Two aggregations: by path, and of those by host."""
-    paths = stored(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")), "quality-paths")
+    paths = stored(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")), "quality-paths", compact=True)
     total = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     share = min(max(total["s"] / total["n"], 1e-6), 1 - 1e-6) if total["n"] else 0.5
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     k = _strength(hosts, share)
     hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("hn"), F.col("s").alias("hs"))
-    both = stored(paths.join(hosts, F.col("host").eqNullSafe(F.col("h")), "left").drop("h"), "quality-sites")
+    both = stored(paths.join(hosts, F.col("host").eqNullSafe(F.col("h")), "left").drop("h"), "quality-sites", compact=True)
     return Sites(both, share, k, _strength(both, (F.col("hs") + k * share) / (F.col("hn") + k)))
 
 
