@@ -103,6 +103,8 @@ def thresholds(units: DataFrame, targets: DataFrame) -> DataFrame:
         edge = over.groupBy("source", "_rest").agg(
             F.min(F.struct("_child", (F.col("_before") + F.col("_cum")).alias("b"), "_sum")).alias("m")).select(
             "source", "_rest", F.col("m._child").alias("_prefix"), F.col("m.b").alias("_before"), F.col("m._sum").alias("_sum"))
+        # a row per source; written, so that the next level's plan does not hold this one's twice
+        edge = stored(edge, "mix-edge", compact=True)
     # the boundary hash itself is taken when that comes nearer to the budget; nothing is where nothing is left to take
     end = edge.filter("_rest > 0").select(F.col("source").alias("_s"),
                       (F.col("_prefix") + (F.col("_before") + F.col("_sum") / 2 <= F.col("_rest")).cast("bigint")).alias("threshold"))
@@ -118,8 +120,8 @@ def units_of(docs: DataFrame, doc_id: str, text: str, source: str, seed: str) ->
 def plan(units: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
     """The per-source table of ``thresholds`` for a table of units, written once."""
     sizes = units.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stored(source_targets(stored(sizes, "mix-sizes"), weights, cap), "mix-targets")
-    return stored(thresholds(units, targets), "mix-thresholds")
+    targets = stored(source_targets(stored(sizes, "mix-sizes", compact=True), weights, cap), "mix-targets", compact=True)
+    return stored(thresholds(units, targets), "mix-thresholds", compact=True)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
