@@ -101,13 +101,14 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "components",
     the component), one row per node that occurs in an edge.
     """
     e = stored(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-               f"{name}-edges")
+               f"{name}-edges", compact=True)
     if e.isEmpty():
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(max_rounds):
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # a written side leaves the join free to split the edges of one node
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-low", compact=True)
         # large star: every larger neighbour of u goes to u's smallest neighbour
         big = e.select(F.col("a").alias("u"), F.col("b").alias("v")).join(low, "u").select(
             F.col("m").alias("a"), F.col("v").alias("b")).filter("a <> b").distinct()
@@ -115,11 +116,11 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "components",
         small = big.groupBy("b").agg(F.min("a").alias("m"))
         nxt = big.join(small, "b").select(F.least("a", "m").alias("m0"), "a", "b", "m")
         nxt = nxt.select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).filter("a <> b").distinct()
-        e = stored(nxt, f"{name}-round")
+        e = stored(nxt, f"{name}-round", compact=True)
         n = e.agg(F.count(F.lit(1)).alias("edges"), F.countDistinct("b").alias("children")).first()
         # stars only: every child has one parent and no parent is a child
-        if n["edges"] == n["children"] and e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
-            roots = e.select(F.col("a").alias("node")).distinct()
+        roots = e.select(F.col("a").alias("node")).distinct()
+        if n["edges"] == n["children"] and roots.join(e.select(F.col("b").alias("node")), "node", "left_semi").isEmpty():
             return e.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
                 roots.select("node", F.col("node").alias("component")))
     raise RuntimeError(f"{name}: components did not settle in {max_rounds} rounds")

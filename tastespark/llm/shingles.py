@@ -71,12 +71,19 @@ def shingle_sets(texts: list, width: int = 5):
                 yield a + i, np.zeros(0, dtype=np.uint64)
 
 
-def set_hash(s: np.ndarray) -> int:
-    """64 bits of a set, independent of order; signed."""
+def mixed_sums(s: np.ndarray) -> np.ndarray:
+    """Running sums of a set's mixed hashes, from 0 on."""
+    total = np.zeros(len(s) + 1, dtype=np.uint64)
+    np.cumsum(mix64(s), dtype=np.uint64, out=total[1:])
+    return total
+
+
+def set_hash(s: np.ndarray, total: np.ndarray | None = None) -> int:
+    """64 bits of a set, independent of order; signed.  ``total``: its ``mixed_sums`` where they are there already."""
     if not len(s):
         return 0
-    each = mix64(s ^ np.uint64(0xA5A5A5A55A5A5A5A)) + _STEP[61]
-    return int(mix64(each.sum(keepdims=True, dtype=np.uint64)).view(np.int64)[0])
+    whole = (mixed_sums(s) if total is None else total)[-1:] + np.full(1, len(s), np.uint64) * _STEP[61]
+    return int(mix64(whole).view(np.int64)[0])
 
 
 def parity_sketch(s: np.ndarray, least: int = 256, most: int = 4096) -> bytes:
