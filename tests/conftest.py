@@ -20,6 +20,18 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def tables_go():
+    """Bucketed tables of queries that only return a DataFrame stay in the catalog: none is left to the next module."""
+    yield
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    for t in s.catalog.listTables() if s else []:
+        if not t.isTemporary:
+            s.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
 @pytest.fixture(scope="session")
 def make(spark):
     """Small tables: make(rows, schema)."""
