@@ -27,11 +27,10 @@ length; only the two named columns of the input are read.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 import unicodedata
-from collections import deque
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,14 +40,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastespark.llm.common import hold, make_room, prepare
+from tastespark.llm.common import give_back, hold, make_room, prepare
 
-#: Words remembered by one Python worker; the memory of a task is bounded by it.
+#: Words remembered by one Python worker, and transitions and border tests that its encoder has met; the memory of a task is
+#: bounded by them.
 CACHED_WORDS = 200_000
-#: Border tests remembered by one Python worker.
-CACHED_PAIRS = 400_000
+CACHED_STEPS = 100_000
+CACHED_PAIRS = 200_000
 #: Marks the end of a word inside the automaton.
 END = "\x00"
+#: Keys of transitions and of token pairs are one integer: the second part takes so many bits.
+BITS = 21
 
 # Unicode White_Space, which is what the file's patterns mean by \s
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -92,32 +94,6 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
-class _Steps(dict):
-    """One state's transitions; missing ones follow the suffix links and are remembered."""
-
-    __slots__ = ("model", "link")
-
-    def __missing__(self, c: str) -> int:
-        steps = self.model.step
-        nxt = 0 if self is steps[0] else steps[self.link][c]
-        self[c] = nxt
-        return nxt
-
-
-class _Borders(dict):
-    """Of one token: whether the border after each earlier token holds (-1: the word's start)."""
-
-    __slots__ = ("model", "token")
-
-    def __missing__(self, before: int) -> bool:
-        ok = before < 0 or self.model.border_holds(before, self.token)
-        if self.model.known >= CACHED_PAIRS:
-            self.model.forget_borders()
-        self.model.known += 1
-        self[before] = ok
-        return ok
-
-
 class PrefixEncoder:
     """Encodes and decodes with one tokenizer file."""
 
@@ -142,29 +118,33 @@ class PrefixEncoder:
         self.byte = byte_alphabet()
         self._merges(model["merges"])
         self._automaton()
-        self.decimal = {i: str(i) for i in self.token}
-        self.cache: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        self.decimal = [str(i) for i in range(max(self.token) + 1)]
+        # the ids of a word, four bytes each
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # -- the model ---------------------------------------------------------
 
     def _merges(self, merges: list) -> None:
         self.rank: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int, int]] = {}     # token -> left, right, rank
+        self.parts: dict[int, tuple[int, int]] = {}          # token -> left, right (a key of ``rank``)
+        self.made = array("i", [0]) * (max(self.token) + 1)  # token -> rank of the merge that makes it
         for r, m in enumerate(merges):
             left, right = m if isinstance(m, list) else m.split(" ")
-            a, b, t = self.vocab[left], self.vocab[right], self.vocab[left + right]
-            self.rank[a, b] = r
-            self.parts.setdefault(t, (a, b, r))
+            pair, t = (self.vocab[left], self.vocab[right]), self.vocab[left + right]
+            self.rank[pair] = r
+            if t not in self.parts:
+                self.parts[t], self.made[t] = pair, r
         self.never = len(merges) + 1
         # tokens that encoding can produce: atoms, and those whose parts meet undisturbed
-        self.usable = set()
+        self.usable = bytearray(len(self.made))
         for t in self.vocab.values():
             if t not in self.parts:
-                self.usable.add(t)
-        for t, (a, b, r) in sorted(self.parts.items(), key=lambda x: x[1][2]):
-            if a in self.usable and b in self.usable and self.border_holds(a, b, r):
-                self.usable.add(t)
+                self.usable[t] = True
+        for t in sorted(self.parts, key=self.made.__getitem__):
+            a, b = self.parts[t]
+            if self.usable[a] and self.usable[b] and self.border_holds(a, b, self.made[t]):
+                self.usable[t] = True
 
     def _spine(self, t: int, side: int) -> list[tuple[int, int]]:
         """The tokens along one edge of ``t`` (0: left, 1: right), the outermost first, each with the rank of the
@@ -175,7 +155,7 @@ class PrefixEncoder:
             p = parts.get(t)
             if p is None:
                 return chain
-            t, until = p[side], p[2]
+            t, until = p[side], self.made[t]
 
     def border_holds(self, a: int, b: int, before: int | None = None) -> bool:
         """No merge crosses the border between ``a`` and ``b`` (with ``before``: none of a smaller rank)."""
@@ -189,48 +169,59 @@ class PrefixEncoder:
         return True
 
     def _automaton(self) -> None:
-        """Trie with suffix links; ``ends[state]`` lists (length, token, its borders), longest first."""
+        """Trie with suffix links, as flat tables: ``trie`` has its steps by state and character, ``own`` the token that a state
+        spells (-1: none) and ``ends`` the nearest state along the suffix links, itself included, that spells one (0: none)."""
         n = len(self.suffix)
-        self.known = 0
-        self.borders: dict[int, _Borders] = {}
-        self.length = dict.fromkeys(self.vocab.values(), 0)
-        step: list[_Steps] = [_Steps()]
-        own: list[tuple | None] = [None]
+        self.length = array("i", [0]) * len(self.made)
+        self.trie: dict[int, int] = {}
+        trie, own, above, deep = self.trie, array("i", [-1]), array("q", [0]), array("i", [0])
         for text, t in self.vocab.items():
-            if t not in self.usable:
+            if not self.usable[t]:
                 continue
             if text.endswith(self.suffix):
                 text = text[:-n] + END
             s = 0
-            for c in text:
-                if c not in step[s]:
-                    step[s][c] = len(step)
-                    step.append(_Steps())
-                    own.append(None)
-                s = step[s][c]
-            self.borders[t] = borders = _Borders()
-            borders.model, borders.token = self, t
+            for depth, c in enumerate(text, 1):
+                at = s << BITS | ord(c)
+                s = trie.get(at)
+                if s is None:
+                    s = trie[at] = len(own)
+                    own.append(-1)
+                    above.append(at)
+                    deep.append(depth)
             self.length[t] = len(text)
-            own[s] = (len(text), t, borders)
-        self.step = step
-        self.ends: list[tuple] = [()] * len(step)
-        for x in step:
-            x.model, x.link = self, 0
-        queue = deque((s, 0, c) for c, s in step[0].items())
-        while queue:
-            s, parent, c = queue.popleft()
+            own[s] = t
+        link, ends = array("i", [0]) * len(own), array("i", [0]) * len(own)
+        for s in sorted(range(1, len(own)), key=deep.__getitem__):
+            parent, c = above[s] >> BITS, above[s] & (1 << BITS) - 1
             if parent:
-                f = step[parent].link
-                while f and c not in step[f]:
-                    f = step[f].link
-                step[s].link = dict.get(step[f], c, 0)
-            self.ends[s] = ((own[s],) if own[s] else ()) + self.ends[step[s].link]
-            queue.extend((x, s, d) for d, x in step[s].items())
-
-    def forget_borders(self) -> None:
-        for b in self.borders.values():
-            b.clear()
-        self.known = 0
+                f = link[parent]
+                while f and f << BITS | c not in trie:
+                    f = link[f]
+                link[s] = trie.get(f << BITS | c, 0)
+            ends[s] = s if own[s] >= 0 else ends[link[s]]
+        self.own, self.link, self.ends = own, link, ends
+        self.fallen: dict[int, int] = {}
+        self.borders: dict[int, bool] = {}
+
+    def _fall(self, at: int) -> int:
+        """The step that the trie lacks: that of the nearest state along the suffix links which has one."""
+        s, c = at >> BITS, at & (1 << BITS) - 1
+        to = None
+        while s and to is None:
+            s = self.link[s]
+            to = self.trie.get(s << BITS | c)
+        if len(self.fallen) >= CACHED_STEPS:
+            self.fallen.clear()
+        self.fallen[at] = to = to or 0
+        return to
+
+    def _border(self, pair: int) -> bool:
+        """Whether the border between two tokens holds, remembered."""
+        if len(self.borders) >= CACHED_PAIRS:
+            self.borders.clear()
+        self.borders[pair] = ok = self.border_holds(pair >> BITS, pair & (1 << BITS) - 1)
+        return ok
 
     # -- words ---------------------------------------------------------------
 
@@ -238,13 +229,26 @@ class PrefixEncoder:
         """Ids of one pre-token: the dynamic programme over its prefixes."""
         symbols = word if word.isascii() and word.isprintable() else "".join([self.byte[b] for b in word.encode("utf-8")])
         last = [-1]                    # last token of each prefix; the end mark makes the final prefix
-        step, ends = self.step, self.ends
+        trie, fallen, borders = self.trie, self.fallen, self.borders
+        own, link, ends, lengths = self.own, self.link, self.ends, self.length
         state = 0
         for c in symbols + END:
-            state = step[state][c]
-            for length, t, borders in ends[state]:
-                if borders[last[-length]]:
+            at = state << BITS | ord(c)
+            state = trie.get(at)
+            if state is None:
+                state = fallen.get(at)
+                if state is None:
+                    state = self._fall(at)
+            s = ends[state]
+            while s:
+                t = own[s]
+                before = last[-lengths[t]]
+                if before < 0:         # the word's start
+                    break
+                ok = borders.get(before << BITS | t)
+                if ok or ok is None and self._border(before << BITS | t):
                     break
+                s = ends[link[s]]
             last.append(t)
         out, length, i = [], self.length, len(symbols) + 1
         while i:
@@ -254,13 +258,12 @@ class PrefixEncoder:
         out.reverse()
         return out
 
-    def _word(self, word: str) -> tuple[int, str, str]:
+    def _word(self, word: str) -> bytes:
         """Encode a word that the younger cache lacks.  The older generation is asked first; when
         the younger one is full it becomes the older, so frequent words stay known."""
         got = self.older.get(word)
         if got is None:
-            ids = self.encode_word(word)
-            got = (len(ids), " ".join([self.decimal[i] for i in ids]), " ".join([self.token[i] for i in ids]))
+            got = array("i", self.encode_word(word)).tobytes()
         if len(self.cache) >= CACHED_WORDS // 2:
             self.older = dict(self.cache)
             self.cache.clear()
@@ -281,28 +284,33 @@ class PrefixEncoder:
                 text = text.translate(LOWER).replace("Σ", "σ")
         return text.lower()
 
-    def pieces(self, text: str) -> list[tuple[int, str, str]]:
-        """(ids, their decimal form, their tokens) of each word and special token in order."""
+    def ids(self, text: str) -> array:
+        """The ids of each word and special token in order."""
         if self.specials is None or "<|" not in text:
-            return self._pieces(text)
-        out, at = [], 0
+            return array("i", b"".join(self._pieces(text)))
+        out, at = array("i"), 0
         for m in self.specials.finditer(text):
-            out += self._pieces(text[at:m.start()])
-            out.append((1, str(self.special[m[0]]), m[0]))
+            out.frombytes(b"".join(self._pieces(text[at:m.start()])))
+            out.append(self.special[m[0]])
             at = m.end()
-        return out + self._pieces(text[at:])
+        out.frombytes(b"".join(self._pieces(text[at:])))
+        return out
 
-    def _pieces(self, text: str) -> list[tuple[int, str, str]]:
+    def _pieces(self, text: str) -> list[bytes]:
         cache, word = self.cache, self._word
         text = self.normalise(text)
         words = self.plain_words if text.isascii() or _latin(text) or not _ODD.search(text) else self.words
         return [cache.get(w) or word(w) for w in words.findall(text)]
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for p in self.pieces(text or "") for i in p[1].split(" ")]
+        return self.ids(text or "").tolist()
+
+    def written(self, ids: array) -> str:
+        """Decimal ids, joined by single spaces."""
+        return " ".join(map(self.decimal.__getitem__, ids))
 
     def decode(self, ids) -> str:
-        return " ".join([self.token[int(i)] for i in ids])
+        return " ".join(map(self.token.__getitem__, array("i", ids)))
 
 
 _LOADED: dict[str, PrefixEncoder] = {}
@@ -319,12 +327,6 @@ def _share(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def _forget() -> None:
-    """Drop the encoder; its states refer to it, so the collector has to run."""
-    _LOADED.clear()
-    gc.collect()
-
-
 def _encoder(file: Broadcast) -> PrefixEncoder:
     """One encoder per worker process and file; the parsed file is not kept beside it."""
     key = hashlib.sha256(file.value).hexdigest()
@@ -332,7 +334,8 @@ def _encoder(file: Broadcast) -> PrefixEncoder:
         make_room("bpe")
         _LOADED.clear()
         _LOADED[key] = PrefixEncoder(json.loads(file.value))
-        hold("bpe", _forget)
+        give_back()
+        hold("bpe", _LOADED.clear)
     return _LOADED[key]
 
 
@@ -358,13 +361,13 @@ def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
         for pdf in batches:
             n, ids_hash, text_hash, ids, texts = [], [], [], [], []
             for t in pdf["text"]:
-                got = enc.pieces(t or "")
-                decimal, decoded = " ".join([p[1] for p in got]), " ".join([p[2] for p in got])
-                n.append(sum([p[0] for p in got]))
-                ids_hash.append(hashlib.sha256(decimal.encode()).hexdigest())
+                got = enc.ids(t or "")
+                decoded = enc.decode(got)
+                n.append(len(got))
+                ids_hash.append(hashlib.sha256(enc.written(got).encode()).hexdigest())
                 text_hash.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
                 if keep_ids:
-                    ids.append(np.array(decimal.split(" ") if decimal else [], dtype=np.int32))
+                    ids.append(np.array(got, dtype=np.int32))
                 if keep_text:
                     texts.append(decoded)
             out = {"doc_id": pdf["doc_id"], "n_tokens": n, "ids_sha256": ids_hash, "decoded_sha256": text_hash}
